@@ -9,17 +9,24 @@ FULL, INCREMENTAL = "FULL", "INCREMENTAL"
 
 
 def after_mark(
-    df: DataFrame, column: str, mark: Column | None, *, inclusive: bool = False
+    df: DataFrame,
+    column: str,
+    mark: Column | None,
+    *,
+    inclusive: bool = False,
+    undated: bool = False,
 ) -> DataFrame:
     """Rows past the mark; all rows when there is none yet.
 
     With ``inclusive`` rows equal to the mark are read again: nothing that
     arrives late with the same timestamp is lost, and keyed tables drop the
-    repeats when they keep the latest row per key.
+    repeats when they keep the latest row per key. ``undated`` keeps the rows
+    whose column is NULL.
     """
     if mark is None:
         return df
-    return df.where(F.col(column) >= mark if inclusive else F.col(column) > mark)
+    wanted = F.col(column) >= mark if inclusive else F.col(column) > mark
+    return df.where(wanted | F.col(column).isNull() if undated else wanted)
 
 
 def load_slice(
@@ -29,6 +36,7 @@ def load_slice(
     mark: Column | None,
     *,
     inclusive: bool = False,
+    undated: bool = False,
 ) -> DataFrame:
     """Everything for a FULL load, rows past the mark for an INCREMENTAL one."""
     if load_type == FULL:
@@ -37,7 +45,7 @@ def load_slice(
         raise ValueError(f"unknown load type {load_type!r}")
     if not column:
         raise ValueError("an incremental load needs a watermark column")
-    return after_mark(df, column, mark, inclusive=inclusive)
+    return after_mark(df, column, mark, inclusive=inclusive, undated=undated)
 
 
 def next_mark(df: DataFrame, column: str, mark: Column | None) -> DataFrame:

@@ -29,27 +29,24 @@ def dense_key(
     it. Only the row count per partition reaches the driver. ``order_by`` must
     order the rows fully (a unique key, or a key plus tie-breakers).
     """
-    position, block = f"{name}__position", f"{name}__block"
+    position = f"{name}__position"
     placed = staged(
         df.orderBy(*order_by).withColumn(position, F.monotonically_increasing_id()),
         f"key-{name}",
     )
+    block = F.shiftright(position, _POSITION_BITS).cast("int")
     in_block = F.col(position).bitwiseAND((1 << _POSITION_BITS) - 1)
-    block_of = F.shiftright(position, _POSITION_BITS)
 
-    sizes = placed.groupBy(block_of.alias(block)).agg(F.count(F.lit(1)).alias("n")).collect()
-    offsets, before = [], start
-    for row in sorted(sizes, key=lambda r: r[block]):
-        offsets.append((row[block], before))
-        before += row["n"]
-    # One row per sort partition, so its size is bounded by the shuffle width.
-    shift = df.sparkSession.createDataFrame(offsets, f"{block} bigint, {name}__before bigint")
-    return (
-        placed.withColumn(block, block_of)
-        .join(F.broadcast(shift), block, "inner")
-        .withColumn(name, (F.col(f"{name}__before") + in_block + 1).cast(key_type))
-        .drop(position, block, f"{name}__before")
-    )
+    # One count per sort partition: bounded by the shuffle width.
+    sizes = {
+        r["block"]: r["n"]
+        for r in placed.groupBy(block.alias("block")).agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    before = [start]
+    for i in range(max(sizes, default=0)):
+        before.append(before[-1] + sizes.get(i, 0))
+    rows_before = F.get(F.lit(before).cast("array<bigint>"), block)
+    return placed.withColumn(name, (rows_before + in_block + 1).cast(key_type)).drop(position)
 
 
 def keep_latest(

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerloom.functions.columns import parsed
+
 log = logging.getLogger(__name__)
 
 # Patterns and allowed lists of the rules.
@@ -172,7 +174,8 @@ def _sell_ge_cost(
 
 @rule("CASTABLE")
 def _castable(scope: Scope, column: str, type: str) -> Column:
-    return F.col(column).isNotNull() & F.col(column).try_cast(type.lower()).isNull()
+    """For text columns: a value that is there but does not parse."""
+    return F.col(column).isNotNull() & parsed(F.col(column), type).isNull()
 
 
 @rule("UNIQUE", needs=("copies",))

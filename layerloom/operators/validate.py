@@ -85,6 +85,8 @@ def failure_counts(df: DataFrame, rules: Sequence[Rule], as_of: date, table: str
     """
     found = [(r, violation(df, r, as_of)) for r in rules]
     found = [(r, v) for r, v in found if v is not None]
+    if not found:
+        raise ValueError(f"no rule applies to {table}")
     counted = df.agg(
         F.count(F.lit(1)).alias("checked"),
         *[F.count_if(v).alias(f"rule_{i}") for i, (_, v) in enumerate(found)],

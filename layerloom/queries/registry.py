@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +28,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables; files are listed and their schema read once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
