@@ -9,16 +9,23 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 _CENT = Decimal("0.01")
 
 
-def cents(amount: Column) -> Column:
-    """A two-decimal amount as a whole number of cents."""
-    return F.round(amount * 100).cast("bigint")
+def cents(df: DataFrame, name: str) -> Column:
+    """An amount column as a whole number of cents, in the cheapest exact way
+    for its type."""
+    kind, amount = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.rint(amount * 100).cast("bigint")
+    if isinstance(kind, T.DecimalType) and kind.scale > 2:
+        return (F.round(amount, 2) * 100).cast("bigint")
+    return (amount * 100).cast("bigint")
 
 
 def total(cent_sum: Column) -> Column:

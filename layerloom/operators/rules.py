@@ -187,7 +187,9 @@ def _unique(scope: Scope, column: str, copies: str = "_Copies") -> Column:
 def violation(df: DataFrame, check: Rule, as_of: date) -> Column | None:
     """The violation of one rule on a frame, or None when it cannot apply.
 
-    An unknown rule name is an error; a missing column only a warning.
+    It may be NULL, which counts as passing: ``where``, ``when`` and ``count_if``
+    all treat it so, and a filter on it can still be pushed to the scan. An
+    unknown rule name is an error; a missing column only a warning.
     """
     if check.name not in _RULES:
         raise ValueError(f"unknown data-quality rule {check.name!r}")
@@ -199,7 +201,7 @@ def violation(df: DataFrame, check: Rule, as_of: date) -> Column | None:
     if missing:
         log.warning("rule %s skipped, columns missing: %s", check.label, missing)
         return None
-    return F.coalesce(build(Scope(df.schema, as_of), check.column, **check.args), F.lit(False))
+    return build(Scope(df.schema, as_of), check.column, **check.args)
 
 
 def rule_names() -> list[str]:

@@ -92,7 +92,7 @@ def order_totals(fact: DataFrame, *by: str) -> DataFrame:
     """
     return fact.groupBy(*by, "OrderID").agg(
         F.sum("Quantity").alias("Quantity"),
-        F.sum(money.cents(F.col("TotalAmount"))).alias("Cents"),
+        F.sum(money.cents(fact, "TotalAmount")).alias("Cents"),
         F.count("TotalAmount").alias("Amounts"),
     )
 
@@ -164,16 +164,14 @@ def customer_sales_summary_of_orders(
     key before they meet the dimension: the join sees no frequent keys, and the
     customers' attributes never travel with the order rows.
     """
-    dim = customers.select(*SUMMARY_CUSTOMER_COLUMNS)
-    per_key = _summed(totals, "CustomerSK")
-    known = per_key.join(dim, "CustomerSK", "inner").select(*SUMMARY_CUSTOMER_COLUMNS, *_SUMS)
-    strays = (
-        per_key.join(dim.select("CustomerSK"), "CustomerSK", "left_anti")
-        .agg(*[F.sum(c).alias(c) for c in _SUMS], F.count(F.lit(1)).alias("keys"))
-        .where(F.col("keys") > 0)
-        .select(*[F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in dim.columns], *_SUMS)
+    per_key = _summed(totals, "CustomerSK").alias("k")
+    dim = customers.select(*SUMMARY_CUSTOMER_COLUMNS).alias("c")
+    joined = per_key.join(dim, F.col("k.CustomerSK") == F.col("c.CustomerSK"), "left")
+    # Adds up nothing but the keys without a current version.
+    sums = joined.groupBy(*[F.col(f"c.{c}") for c in SUMMARY_CUSTOMER_COLUMNS]).agg(
+        *[F.sum(c).alias(c) for c in _SUMS]
     )
-    result = _finished(known.unionByName(strays), *SUMMARY_CUSTOMER_COLUMNS)
+    result = _finished(sums, *SUMMARY_CUSTOMER_COLUMNS)
     return result.orderBy(F.desc("TotalSales"), F.asc("CustomerSK")) if ordered else result
 
 

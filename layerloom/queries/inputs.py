@@ -96,6 +96,16 @@ def order_headers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def order_amounts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the summaries need of the order rows. Amounts stay doubles here:
+    whole cents are taken from them directly."""
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("OrderID"),
+        F.col("l_quantity").cast("int").alias("Quantity"),
+        F.col("l_extendedprice").alias("TotalAmount"),
+    )
+
+
 def order_items(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("OrderID"),

@@ -115,7 +115,7 @@ def fact_sales_as_of(spark: SparkSession, sf: str) -> DataFrame:
 def sales_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Daily sales. Rows are added up per order before the order's date is
     looked up, so the join carries one row per order."""
-    totals = sales.order_totals(inputs.order_items(spark, sf))
+    totals = sales.order_totals(inputs.order_amounts(spark, sf))
     dated = totals.join(inputs.order_headers(spark, sf).drop("CustomerID"), "OrderID")
     return _plain(sales.sales_summary_of_orders(dated))
 
@@ -129,7 +129,7 @@ def sales_summary(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sales_summary_raw_date(spark: SparkSession, sf: str) -> DataFrame:
     """Grouped by the order timestamp itself, from rows that carry it."""
-    rows = inputs.order_items(spark, sf).join(inputs.order_headers(spark, sf), "OrderID")
+    rows = inputs.order_amounts(spark, sf).join(inputs.order_headers(spark, sf), "OrderID")
     return _plain(sales.sales_summary(rows, grain=None))
 
 
@@ -142,7 +142,7 @@ CUSTOMER_SUMMARY_SQL = f"""
 
 def _customer_summary(spark: SparkSession, sf: str, ordered: bool) -> DataFrame:
     dim = customers(spark, sf)
-    totals = sales.order_totals(inputs.order_items(spark, sf))
+    totals = sales.order_totals(inputs.order_amounts(spark, sf))
     headers = sales.with_customer_key(inputs.order_headers(spark, sf), dim)
     keyed = totals.join(headers.select("OrderID", "CustomerSK"), "OrderID")
     return sales.customer_sales_summary_of_orders(keyed, dim, ordered=ordered)
