@@ -94,30 +94,29 @@ def highest_key(dimension: DataFrame, surrogate: str) -> int:
     return dimension.agg(F.max(surrogate).alias("top")).first()["top"] or 0
 
 
-def merge_versions(
-    dimension: DataFrame,
+def merge_current(
+    current: DataFrame,
     source: DataFrame,
     key: str,
     run: RunContext,
     *,
+    highest: int,
     surrogate: str | None = None,
     hash_column: str | None = None,
     close_missing: bool = False,
 ) -> DataFrame:
-    """Dimension after a load: history, closed, unchanged and new versions.
+    """What a load makes of the current versions: some are closed, the others
+    stay, and new ones are opened with keys above ``highest``.
 
-    Rows closed by earlier runs are passed through untouched. Keys absent from
-    the source stay current unless ``close_missing``. The source must hold one
-    row per key (see ``keep_latest``) and no NULL key. Columns that exist on one
-    side only are kept and filled with NULL.
+    Earlier history is neither read nor returned. See ``merge_versions``.
     """
     names = run.columns
     surrogate = surrogate or names.surrogate_key
     closing = [CHANGED, MISSING] if close_missing else [CHANGED]
 
     changes = staged(
-        classify(dimension, source, key, run, hash_column=hash_column).where(
-            F.col("change").isin(NEW, CHANGED, *closing)
+        classify(current, source, key, run, hash_column=hash_column).where(
+            F.col("change").isin(NEW, *closing)
         ),
         "scd-changes",
     )
@@ -125,18 +124,15 @@ def merge_versions(
         changes.where(F.col("change").isin(NEW, CHANGED)).select(key),
         [key],
         surrogate,
-        start=highest_key(dimension, surrogate),
-        key_type=dimension.schema[surrogate].dataType.simpleString(),
+        start=highest,
+        key_type=current.schema[surrogate].dataType.simpleString(),
     )
     closed_keys = changes.where(F.col("change").isin(closing)).select(
         key, F.lit(True).alias("__closing")
     )
-
-    history = dimension.where(~F.col(names.is_current))
     is_closing = F.col("__closing").isNotNull()
     survivors = (
-        current_rows(dimension, run)
-        .join(closed_keys, key, "left")
+        current.join(closed_keys, key, "left")
         .withColumns(
             {
                 names.end_date: F.when(is_closing, run.timestamp()).otherwise(
@@ -145,10 +141,41 @@ def merge_versions(
                 names.is_current: ~is_closing,
             }
         )
-        .select(*dimension.columns)
+        .select(*current.columns)
     )
     opened = _opened(source.join(numbered, key, "inner"), run)
-    return history.unionByName(survivors).unionByName(opened, allowMissingColumns=True)
+    return survivors.unionByName(opened, allowMissingColumns=True)
+
+
+def merge_versions(
+    dimension: DataFrame,
+    source: DataFrame,
+    key: str,
+    run: RunContext,
+    *,
+    surrogate: str | None = None,
+    hash_column: str | None = None,
+    close_missing: bool = False,
+) -> DataFrame:
+    """Dimension after a load: history, closed, unchanged and new versions.
+
+    Rows closed by earlier runs are passed through untouched. Keys absent from
+    the source stay current unless ``close_missing``. The source must hold one
+    row per key (see ``keep_latest``) and no NULL key. Columns that exist on one
+    side only are kept and filled with NULL.
+    """
+    merged = merge_current(
+        current_rows(dimension, run),
+        source,
+        key,
+        run,
+        highest=highest_key(dimension, surrogate or run.columns.surrogate_key),
+        surrogate=surrogate,
+        hash_column=hash_column,
+        close_missing=close_missing,
+    )
+    history = dimension.where(~F.col(run.columns.is_current))
+    return history.unionByName(merged, allowMissingColumns=True)
 
 
 def upsert(

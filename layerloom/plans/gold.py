@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from layerloom.context import RunContext
 from layerloom.metadata import DIM, FACT, TYPE2, TableConfig
@@ -21,23 +22,65 @@ FACT_TABLE = "fact_sales"
 SALES_SUMMARY = "sales_summary"
 CUSTOMER_SALES_SUMMARY = "customer_sales_summary"
 
+# Folder column of versioned dimensions.
+STATE, CURRENT, CLOSED = "_VersionState", "current", "closed"
+
+
+def current_versions(lake: Lake, name: str) -> DataFrame:
+    """Read from the last run's folder of current rows alone."""
+    return lake.read(GOLD, name).where(F.col(STATE) == CURRENT).drop(STATE)
+
+
+def versions(lake: Lake, name: str) -> DataFrame:
+    """All versions of a dimension: what each run closed, and the current rows
+    of the last run."""
+    closed = lake.read_batches(GOLD, name).where(F.col(STATE) == CLOSED).drop(STATE)
+    return closed.unionByName(current_versions(lake, name), allowMissingColumns=True)
+
+
+def gold_table(lake: Lake, name: str) -> DataFrame:
+    """A gold table as its readers see it."""
+    rows = lake.read(GOLD, name)
+    return versions(lake, name) if STATE in rows.columns else rows
+
 
 def load_versions(
     lake: Lake, config: TableConfig, name: str, run: RunContext, key: str
 ) -> AuditRow | None:
     """Merge the silver batches that came in since the dimension was last
     built. Reading from the start of that build makes a batch committed
-    meanwhile count as new; merging a batch twice changes nothing."""
+    meanwhile count as new; merging a batch twice changes nothing.
+
+    A run writes the current rows and those it closed. Versions closed by
+    earlier runs stay in the folders of those runs and are never rewritten.
+    """
     surrogate = SURROGATE_KEYS[name]
     last = lake.last_commit(GOLD, name)
     source = valid_rows(lake, config, run, since=last.started_at if last else None)
-    if source is None:
-        return None
     if last is None:
-        versions = scd.initial_versions(source, key, run, surrogate=surrogate)
+        if source is None:
+            return None
+        rows = scd.initial_versions(source, key, run, surrogate=surrogate)
     else:
-        versions = scd.merge_versions(lake.read(GOLD, name), source, key, run, surrogate=surrogate)
-    return lake.write(versions, GOLD, name, run, table_format=config.target_file_format)
+        rows = current_versions(lake, name)
+        if source is not None:
+            rows = scd.merge_current(
+                rows,
+                source,
+                key,
+                run,
+                highest=scd.highest_key(versions(lake, name), surrogate),
+                surrogate=surrogate,
+            )
+    state = F.when(F.col(run.columns.is_current), CURRENT).otherwise(CLOSED)
+    return lake.write(
+        rows.withColumn(STATE, state),
+        GOLD,
+        name,
+        run,
+        table_format=config.target_file_format,
+        partition_by=[STATE],
+    )
 
 
 def load_dimension(lake: Lake, config: TableConfig, name: str, run: RunContext) -> AuditRow | None:
@@ -49,10 +92,6 @@ def load_dimension(lake: Lake, config: TableConfig, name: str, run: RunContext)
     return lake.write(keyed, GOLD, name, run, table_format=config.target_file_format)
 
 
-def current_customers(lake: Lake, run: RunContext) -> DataFrame:
-    return scd.current_rows(lake.read(GOLD, "customer_dim"), run)
-
-
 def load_fact(lake: Lake, config: TableConfig, run: RunContext) -> AuditRow | None:
     orders = valid_rows(lake, config, run)
     if orders is None:
@@ -60,7 +99,7 @@ def load_fact(lake: Lake, config: TableConfig, run: RunContext) -> AuditRow | No
     names = run.columns
     fact = sales.fact_sales(
         orders,
-        current_customers(lake, run),
+        current_versions(lake, "customer_dim"),
         lake.read(GOLD, "product_dim"),
         audit=[names.batch_id, names.run_id, names.processed_at],
     )
@@ -71,7 +110,7 @@ def load_summaries(lake: Lake, run: RunContext) -> list[AuditRow]:
     """Both summaries, written unsorted: order is a matter of the reader."""
     fact = lake.read(GOLD, FACT_TABLE)
     daily = sales.sales_summary(fact, ordered=False)
-    by_customer = sales.customer_sales_summary(fact, current_customers(lake, run), ordered=False)
+    by_customer = sales.customer_sales_summary(fact, current_versions(lake, "customer_dim"), ordered=False)
     return [
         lake.write(daily, GOLD, SALES_SUMMARY, run),
         lake.write(by_customer, GOLD, CUSTOMER_SALES_SUMMARY, run),

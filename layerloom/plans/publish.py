@@ -7,7 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from layerloom.plans.lake import GOLD, Lake
+from layerloom.plans.gold import gold_table
+from layerloom.plans.lake import Lake
 from layerloom.sources.jdbc import write_table
 
 Writer = Callable[[DataFrame, str, Mapping[str, str]], None]
@@ -23,7 +24,7 @@ def publish(
     written = {}
     for row in lake.metadata.published():
         counted = Observation()
-        df = lake.read(GOLD, row.table_name).observe(counted, F.count(F.lit(1)).alias("rows"))
+        df = gold_table(lake, row.table_name).observe(counted, F.count(F.lit(1)).alias("rows"))
         writer(df, row.target_table, options)
         written[row.target_table] = counted.get["rows"]
     return written

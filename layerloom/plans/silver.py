@@ -15,7 +15,7 @@ from layerloom.operators.keys import keep_latest
 from layerloom.operators.validate import mark, with_copies
 from layerloom.plans.lake import BRONZE, SILVER, AuditRow, Lake
 
-OUTCOME = "outcome"
+OUTCOME = "_Outcome"
 VALID, REJECT = "valid", "reject"
 
 

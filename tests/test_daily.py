@@ -10,7 +10,7 @@ from layerloom.context import RunContext
 from layerloom.functions.columns import update_where
 from layerloom.metadata import DqConfig, Metadata
 from layerloom.operators import scd
-from layerloom.plans import checks, silver
+from layerloom.plans import checks, gold, silver
 from layerloom.plans.daily import run_daily
 from layerloom.plans.ingest import Sources
 from layerloom.plans.lake import BRONZE, GOLD, LANDING, SILVER, Lake
@@ -146,7 +146,7 @@ def test_rates_are_unpivoted_and_rejected_with_reasons(world):
 
 def test_changed_customer_gets_a_second_version(world):
     lake, *_ = world
-    dim = lake.read(GOLD, "customer_dim")
+    dim = gold.versions(lake, "customer_dim")
     versions = dim.where("CustomerID = 101").orderBy("CustomerSK").collect()
     assert [(v["_IsCurrent"], v["_EndDate"] is None) for v in versions] == [
         (False, False),
@@ -160,6 +160,13 @@ def test_changed_customer_gets_a_second_version(world):
     assert keys == list(range(1, N_CUSTOMERS + 4))
 
 
+def test_closed_versions_are_written_once(world):
+    lake, _, second = world
+    written = by_name(second)[GOLD, "customer_dim"].records_written
+    assert written == N_CUSTOMERS + 3  # current rows and the one closed that day
+    assert count(lake.read(GOLD, "customer_dim").where("_VersionState = 'closed'")) == 1
+
+
 def test_fact_keeps_every_order_once(world):
     lake, *_ = world
     fact = lake.read(GOLD, "fact_sales")
@@ -228,6 +235,7 @@ def test_publish_writes_enabled_tables_and_counts(world, tmp_path):
 
     written = publish(lake, {"folder": str(tmp_path)}, to_folder)
     assert written["fact_sales"] == N_ORDERS
+    assert written["customer_dim"] == N_CUSTOMERS + 3
     assert set(written) == {p.target_table for p in lake.metadata.published()}
 
 
