@@ -13,6 +13,7 @@ from layerloom.queries import inputs
 from layerloom.queries.inputs import FIRST_LOAD, SECOND_LOAD, THIRD_LOAD, customers_sql
 from layerloom.queries.registry import query, run_at, table
 from layerloom.sources.rates import json_map
+from layerloom.storage import staged
 
 KEY = "CustomerID"
 FIRST, SECOND, THIRD = (
@@ -67,11 +68,11 @@ def _first_versions(spark: SparkSession, sf: str, hashed: list[str] | None = Non
 
 
 def customer_history(spark: SparkSession, sf: str) -> DataFrame:
-    """The dimension after three loads."""
+    """The dimension after three loads. As between real loads, the result of
+    the second is written before the third reads it."""
     dim = _first_versions(spark, sf)
-    for run, day in [(SECOND, SECOND_LOAD), (THIRD, THIRD_LOAD)]:
-        dim = scd.merge_versions(dim, _source(spark, sf, day), KEY, run)
-    return dim
+    dim = staged(scd.merge_versions(dim, _source(spark, sf, SECOND_LOAD), KEY, SECOND), "customers")
+    return scd.merge_versions(dim, _source(spark, sf, THIRD_LOAD), KEY, THIRD)
 
 
 def _plain(df: DataFrame) -> DataFrame:

@@ -106,13 +106,13 @@ def order_amounts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf: str) -> DataFrame:
+def order_items(spark: SparkSession, sf: str, amount: str = MONEY) -> DataFrame:
     return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("OrderID"),
         F.col("l_partkey").alias("ProductID"),
         F.col("l_quantity").cast("int").alias("Quantity"),
         F.col("l_discount").cast("decimal(5,2)").alias("Discount"),
-        F.col("l_extendedprice").cast(MONEY).alias("TotalAmount"),
+        F.col("l_extendedprice").cast(amount).alias("TotalAmount"),
         F.col("l_shipdate").alias("ShipDate"),
     )
 

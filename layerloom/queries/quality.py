@@ -41,23 +41,26 @@ def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # Loose on purpose: finds anything that may be meant as an address or a number.
-ADDRESS_LIKE = r"[^ \t\r\n]*@[^ \t\r\n]*"
+# Starting at a blank keeps the search linear in the length of the text.
+ADDRESS_LIKE = r"(^|[ \t\r\n])([^ \t\r\n]*@[^ \t\r\n]*)"
 NUMBER_LIKE = r"[0-9+][0-9() -]{6,}[0-9]"
-HEADING = r"<h2[^>]*>([^<]*)</h2>"
 
 
 def _contacts(spark: SparkSession, sf: str) -> DataFrame:
-    """The first address and the first long number of each document, if any."""
+    """The first address and the first long number of each document, if any.
+    Only texts with an at sign are searched for an address."""
     text = F.col("text")
     return table(spark, sf, "documents").select(
         "doc_id",
-        F.regexp_extract(text, ADDRESS_LIKE, 0).alias("email"),
+        F.when(F.contains(text, F.lit("@")), F.regexp_extract(text, ADDRESS_LIKE, 2))
+        .otherwise("")
+        .alias("email"),
         F.regexp_replace(F.regexp_extract(text, NUMBER_LIKE, 0), "[ ()-]", "").alias("phone"),
     )
 
 
 CONTACTS_SQL = f"""
-    select doc_id, regexp_extract(text, '{ADDRESS_LIKE}') as email,
+    select doc_id, regexp_extract(text, '{ADDRESS_LIKE}', 2) as email,
            regexp_replace(regexp_extract(text, '{NUMBER_LIKE}'), '[ ()-]', '', 'g') as phone
     from documents"""
 

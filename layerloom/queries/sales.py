@@ -55,7 +55,8 @@ def _fact(spark: SparkSession, sf: str, headers: DataFrame) -> DataFrame:
     the product come from one lookup."""
     dim = dense_key(inputs.products(spark, sf), ["ProductID"], "ProductSK")
     priced = dim.select("ProductID", "ProductSK", F.col("SellingPrice").alias("UnitPrice"))
-    rows = inputs.order_items(spark, sf).join(headers, "OrderID").join(priced, "ProductID")
+    items = inputs.order_items(spark, sf, amount="double")
+    rows = items.join(headers, "OrderID").join(priced, "ProductID")
     fact = sales.fact_sales(rows)
     typed = {
         "CustomerSK": "bigint",
