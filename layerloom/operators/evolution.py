@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 ADDED, MISSING, RETYPED = "ADDED", "MISSING", "RETYPED"
 
@@ -12,16 +13,22 @@ def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.unionByName(new, allowMissingColumns=True)
 
 
+def schema_changes(old: T.StructType, new: T.StructType) -> list[tuple]:
+    """(column, change, old type, new type) for every difference."""
+    before = {f.name: f.dataType.simpleString() for f in old.fields}
+    after = {f.name: f.dataType.simpleString() for f in new.fields}
+    changes = []
+    for name in dict.fromkeys([*before, *after]):
+        was, becomes = before.get(name), after.get(name)
+        if was != becomes:
+            kind = ADDED if was is None else MISSING if becomes is None else RETYPED
+            changes.append((name, kind, was, becomes))
+    return changes
+
+
 def schema_difference(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row per column that was added, went missing or changed its type."""
-    before = {f.name: f.dataType.simpleString() for f in old.schema.fields}
-    after = {f.name: f.dataType.simpleString() for f in new.schema.fields}
-    rows = [
-        (name, ADDED if name not in before else MISSING if name not in after else RETYPED,
-         before.get(name), after.get(name))
-        for name in dict.fromkeys([*before, *after])
-        if before.get(name) != after.get(name)
-    ]
     return new.sparkSession.createDataFrame(
-        rows, "column_name string, change string, old_type string, new_type string"
+        schema_changes(old.schema, new.schema),
+        "column_name string, change string, old_type string, new_type string",
     )

@@ -173,14 +173,19 @@ def _sell_ge_cost(
 
 
 @rule("CASTABLE")
-def _castable(scope: Scope, column: str, type: str) -> Column:
-    """For text columns: a value that is there but does not parse."""
+def _castable(scope: Scope, column: str, type: str = "string", failed: str | None = None) -> Column:
+    """For text columns: a value that is there but does not parse. Once the
+    column has been cast, ``failed`` names a flag that was set before."""
+    if failed:
+        return F.col(failed)
     return F.col(column).isNotNull() & parsed(F.col(column), type).isNull()
 
 
 @rule("UNIQUE", needs=("copies",))
-def _unique(scope: Scope, column: str, copies: str = "_Copies") -> Column:
-    """Reads the count that ``with_copies`` adds."""
+def _unique(
+    scope: Scope, column: str, copies: str = "_Copies", keys: Sequence[str] | None = None
+) -> Column:
+    """Reads the count that ``with_copies`` adds for the keys."""
     return F.col(copies) > 1
 
 

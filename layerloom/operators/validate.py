@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.context import RunContext
+from layerloom.functions.columns import parsed
 from layerloom.operators.rules import ERROR, Rule, violation
 
 LABEL_SEPARATOR = ";"
-_VALUES = "__failed_errors"
+# Columns that live only while rules are checked.
+_TEMPORARY = "__rule_"
 
 
 def with_copies(df: DataFrame, keys: Sequence[str], name: str = "_Copies") -> DataFrame:
@@ -33,6 +36,35 @@ def _failed_labels(df: DataFrame, rules: Sequence[Rule], as_of: date):
     return F.concat_ws(LABEL_SEPARATOR, *labels) if labels else F.lit("")
 
 
+def _with_all_copies(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Rule]]:
+    """Count copies for every UNIQUE rule and point the rule to its count."""
+    bound = []
+    for i, r in enumerate(rules):
+        keys = r.args.get("keys") or [r.column]
+        if r.name == "UNIQUE" and set(keys) <= set(df.columns):
+            df = with_copies(df, keys, f"{_TEMPORARY}copies_{i}")
+            r = replace(r, args={**r.args, "copies": f"{_TEMPORARY}copies_{i}"})
+        bound.append(r)
+    return df, bound
+
+
+def flag_uncastable(
+    raw: DataFrame, rules: Sequence[Rule], types: Mapping[str, str]
+) -> tuple[DataFrame, list[Rule]]:
+    """Set a flag for every CASTABLE rule while the column is still text, and
+    point the rule to it. The type is the declared one unless the rule names one."""
+    bound, flags = [], {}
+    for i, r in enumerate(rules):
+        if r.name == "CASTABLE" and r.column in raw.columns:
+            name = f"{_TEMPORARY}uncastable_{i}"
+            target = r.args.get("type") or types.get(r.column, "string")
+            text = F.col(r.column)
+            flags[name] = text.isNotNull() & parsed(text, target).isNull()
+            r = replace(r, args={**r.args, "failed": name})
+        bound.append(r)
+    return (raw.withColumns(flags) if flags else raw), bound
+
+
 def mark(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -47,19 +79,18 @@ def mark(
     are just recorded.
     """
     names = run.columns
-    failed = _failed_labels(df, rules, run.as_of)
+    df, rules = _with_all_copies(df, rules)
+    failed = {names.failed_rules: _failed_labels(df, rules, run.as_of)}
+    rejecting = names.failed_rules
     if severity_aware:
+        rejecting = f"{_TEMPORARY}errors"
         errors = [r for r in rules if r.severity == ERROR]
-        df = df.withColumns(
-            {names.failed_rules: failed, _VALUES: _failed_labels(df, errors, run.as_of)}
-        )
-        rejected = F.col(_VALUES) != ""
-    else:
-        df = df.withColumn(names.failed_rules, failed)
-        rejected = F.col(names.failed_rules) != ""
-    return df.withColumns(
-        {names.is_rejected: rejected, names.processed_at: run.timestamp()}
-    ).drop(_VALUES)
+        failed[rejecting] = _failed_labels(df, errors, run.as_of)
+    marked = df.withColumns(failed)
+    result = marked.withColumns(
+        {names.is_rejected: F.col(rejecting) != "", names.processed_at: run.timestamp()}
+    )
+    return result.drop(*[c for c in result.columns if c.startswith(_TEMPORARY)])
 
 
 def valid_rows(marked: DataFrame, run: RunContext) -> DataFrame:

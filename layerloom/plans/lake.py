@@ -1,6 +1,6 @@
 """Layered tables and their audit log.
 
-Each run writes a table into a fresh folder ``<layer>/<table>/batch_id=<id>``
+Each run writes a table into a fresh folder ``<layer>/<table>/_LoadBatch=<id>``
 and then appends one row to the audit log. The row is the commit: readers use
 the folder of the last successful one. So a run may read a table and replace it,
 a failed run leaves the old contents in place, and counts, schema and high-water
@@ -13,6 +13,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import astuple, dataclass, fields
 from datetime import datetime, timezone
+from itertools import pairwise
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,11 +22,13 @@ from pyspark.sql import types as T
 
 from layerloom.context import RunContext
 from layerloom.metadata import SCHEMAS, Metadata
+from layerloom.operators.evolution import schema_changes
 from layerloom.sources.files import CSV, JSON
 
 LANDING, BRONZE, SILVER, GOLD = "landing", "bronze", "silver", "gold"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 AUDIT = "audit_log"
+BATCH_FOLDER = "_LoadBatch"
 
 
 @dataclass(frozen=True)
@@ -112,22 +115,39 @@ class Lake:
         path = self.path("metadata", AUDIT)
         frame.write.mode("append").partitionBy("layer", "table_name").parquet(path)
 
+    def schema_history(self, layer: str, table: str) -> list[tuple[str, list[tuple]]]:
+        """(batch, changes against the batch before) where a schema changed."""
+        schemas = [
+            (c.batch_id, T.StructType.fromJson(json.loads(c.table_schema)))
+            for c in self.commits(layer, table)
+        ]
+        changed = [
+            (batch, schema_changes(old, new)) for (_, old), (batch, new) in pairwise(schemas)
+        ]
+        return [(batch, changes) for batch, changes in changed if changes]
+
     # -- tables ------------------------------------------------------------
 
     def exists(self, layer: str, table: str) -> bool:
         return self.last_commit(layer, table) is not None
 
     def _load(self, commits: Sequence[AuditRow]) -> DataFrame:
-        frames = []
+        """The rows of some batches: one scan for all that share a schema."""
+        batches: dict[tuple[str, str, str], list[str]] = {}
         for c in commits:
-            schema = T.StructType.fromJson(json.loads(c.table_schema))
-            if c.table_format in (CSV, JSON):
+            folder = self.path(c.layer, c.table_name)
+            batch = f"{folder}/{BATCH_FOLDER}={c.batch_id}"
+            batches.setdefault((folder, c.table_format, c.table_schema), []).append(batch)
+        frames = []
+        for (folder, table_format, text), paths in batches.items():
+            schema = T.StructType.fromJson(json.loads(text))
+            if table_format in (CSV, JSON):
                 # Text is read as it was written: every value a string.
                 schema = T.StructType([T.StructField(n, T.StringType()) for n in schema.names])
-            reader = self.spark.read.format(c.table_format).schema(schema)
-            if c.table_format == CSV:
+            reader = self.spark.read.format(table_format).schema(schema).option("basePath", folder)
+            if table_format == CSV:
                 reader = reader.option("header", True)
-            frames.append(reader.load(f"{self.path(c.layer, c.table_name)}/batch_id={c.batch_id}"))
+            frames.append(reader.load(paths).drop(BATCH_FOLDER))
         result = frames[0]
         for frame in frames[1:]:
             result = result.unionByName(frame, allowMissingColumns=True)
@@ -203,7 +223,7 @@ class Lake:
             writer = writer.options(**(options or {}))
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
-            writer.save(f"{self.path(layer, table)}/batch_id={run.batch_id}")
+            writer.save(f"{self.path(layer, table)}/{BATCH_FOLDER}={run.batch_id}")
         except Exception as error:
             self._append_audit(row(FAILED, {}, str(error)[:1000]))
             raise

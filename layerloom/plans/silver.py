@@ -12,7 +12,7 @@ from layerloom.functions.columns import typed
 from layerloom.metadata import TableConfig
 from layerloom.operators.incremental import INCREMENTAL
 from layerloom.operators.keys import keep_latest
-from layerloom.operators.validate import mark, with_copies
+from layerloom.operators.validate import flag_uncastable, mark
 from layerloom.plans.lake import BRONZE, SILVER, AuditRow, Lake
 
 OUTCOME = "_Outcome"
@@ -28,12 +28,9 @@ def to_silver(
     severity_aware: bool = False,
 ) -> DataFrame:
     """Bronze rows with declared types, violated rules and rejected flag."""
-    rules = lake.metadata.rules_of(config.table_name)
-    rows = typed(bronze, lake.metadata.types_of(config.table_name))
-    unique = [r.column for r in rules if r.name == "UNIQUE"]
-    if unique:
-        rows = with_copies(rows, unique)
-    return mark(rows, rules, run, severity_aware=severity_aware)
+    types = lake.metadata.types_of(config.table_name)
+    raw, rules = flag_uncastable(bronze, lake.metadata.rules_of(config.table_name), types)
+    return mark(typed(raw, types), rules, run, severity_aware=severity_aware)
 
 
 def load_silver(

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerloom.context import RunContext
+from layerloom.functions.columns import typed
 from layerloom.operators.rules import WARNING, Rule, rule_names, violation
 from layerloom.operators.validate import (
     failure_counts,
+    flag_uncastable,
     mark,
     rejected_rows,
     valid_rows,
@@ -123,6 +125,22 @@ def test_unique_counts_copies(spark):
     assert sorted(r["k"] for r in violations_of(counted, Rule("k", "UNIQUE"), AS_OF).collect()) == [1, 1]
 
 
+def test_unique_and_castable_while_marking(spark):
+    rows = [("1", "a", "9"), ("1", "b", "x"), ("2", "b", None), ("2", "b", "7")]
+    raw = spark.createDataFrame(rows, "k string, l string, n string")
+    rules = [Rule("k", "UNIQUE", args={"keys": ["k", "l"]}), Rule("n", "CASTABLE")]
+    flagged, bound = flag_uncastable(raw, rules, {"n": "INT"})
+    marked = mark(typed(flagged, {"n": "INT"}), bound, RUN)
+    assert marked.columns == ["k", "l", "n", "_FailedRules", "_IsRejected", "_ProcessedTimestamp"]
+    found = sorted((r["k"], r["l"], str(r["n"]), r["_FailedRules"]) for r in marked.collect())
+    assert found == [
+        ("1", "a", "9", ""),
+        ("1", "b", "None", "n:CASTABLE"),
+        ("2", "b", "7", "k:UNIQUE"),
+        ("2", "b", "None", "k:UNIQUE"),
+    ]
+
+
 def test_unknown_rule_is_an_error(spark):
     with pytest.raises(ValueError, match="unknown data-quality rule"):
         violation(spark.range(1), Rule("id", "NO_SUCH_RULE"), AS_OF)

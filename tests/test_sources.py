@@ -111,6 +111,19 @@ def test_metadata_round_trip(spark, tmp_path):
     assert names == ["products", "customers", "orders", "exchange_rates"]
 
 
+def test_schema_history(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    frames = [spark.range(1), spark.range(1), spark.range(1).withColumn("extra", F.lit("x"))]
+    for n, df in enumerate(frames):
+        lake.write(df, BRONZE, "t", RunContext("r", f"b{n}", datetime(2024, 5, 1), DAY))
+    assert lake.schema_history(BRONZE, "t") == [("b2", [("extra", "ADDED", None, "string")])]
+    assert sorted(map(str, lake.read_batches(BRONZE, "t").collect())) == [
+        "Row(id=0, extra='x')",
+        "Row(id=0, extra=None)",
+        "Row(id=0, extra=None)",
+    ]
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     folder = tmp_path / "in"
     lake = Lake(spark, str(tmp_path / "lake"))
