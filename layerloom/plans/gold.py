@@ -11,6 +11,7 @@ from layerloom.operators import sales, scd
 from layerloom.operators.keys import dense_key
 from layerloom.plans.lake import GOLD, AuditRow, Lake
 from layerloom.plans.silver import valid_rows
+from layerloom.storage import staged
 
 # Surrogate keys of the dimensions and names of the gold tables.
 SURROGATE_KEYS = {
@@ -57,6 +58,9 @@ def load_versions(
     surrogate = SURROGATE_KEYS[name]
     last = lake.last_commit(GOLD, name)
     source = valid_rows(lake, config, run, since=last.started_at if last else None)
+    if source is not None:
+        # Read twice below, and reducing it to the latest rows is a shuffle.
+        source = staged(source, f"{name}-batch")
     if last is None:
         if source is None:
             return None

@@ -63,6 +63,12 @@ def _source(spark: SparkSession, sf: str, day: date, hashed: list[str] | None =
     return inputs.customers_as_of(spark, sf, day, hashed)
 
 
+def _batch(spark: SparkSession, sf: str, day: date, hashed: list[str] | None = None) -> DataFrame:
+    """A snapshot as a merge gets it: a written table, read once for the hashes
+    and once for the rows."""
+    return staged(_source(spark, sf, day, hashed), "batch")
+
+
 def _first_versions(spark: SparkSession, sf: str, hashed: list[str] | None = None) -> DataFrame:
     return scd.initial_versions(_source(spark, sf, FIRST_LOAD, hashed), KEY, FIRST)
 
@@ -71,8 +77,8 @@ def customer_history(spark: SparkSession, sf: str) -> DataFrame:
     """The dimension after three loads. As between real loads, the result of
     the second is written before the third reads it."""
     dim = _first_versions(spark, sf)
-    dim = staged(scd.merge_versions(dim, _source(spark, sf, SECOND_LOAD), KEY, SECOND), "customers")
-    return scd.merge_versions(dim, _source(spark, sf, THIRD_LOAD), KEY, THIRD)
+    dim = staged(scd.merge_versions(dim, _batch(spark, sf, SECOND_LOAD), KEY, SECOND), "customers")
+    return scd.merge_versions(dim, _batch(spark, sf, THIRD_LOAD), KEY, THIRD)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -168,7 +174,7 @@ def scd2_latest(spark: SparkSession, sf: str) -> DataFrame:
 @query("scd2_merge", f"select {VERSION_SQL} from {MERGED_SQL}")
 def scd2_merge(spark: SparkSession, sf: str) -> DataFrame:
     dim = _first_versions(spark, sf)
-    return _plain(scd.merge_versions(dim, _source(spark, sf, SECOND_LOAD), KEY, SECOND))
+    return _plain(scd.merge_versions(dim, _batch(spark, sf, SECOND_LOAD), KEY, SECOND))
 
 
 @query("scd2_history", f"select {VERSION_SQL} from {HISTORY_SQL}")
@@ -180,7 +186,7 @@ def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
 @query("scd2_current", f"select {VERSION_SQL} from {MERGED_SQL} where _IsCurrent")
 def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
     dim = _first_versions(spark, sf)
-    merged = scd.merge_versions(dim, _source(spark, sf, SECOND_LOAD), KEY, SECOND)
+    merged = scd.merge_versions(dim, _batch(spark, sf, SECOND_LOAD), KEY, SECOND)
     return _plain(scd.current_rows(merged, SECOND))
 
 
@@ -191,13 +197,13 @@ def scd2_current(spark: SparkSession, sf: str) -> DataFrame:
 def scd2_tracked(spark: SparkSession, sf: str) -> DataFrame:
     """Only a change of the tracked columns opens a new version."""
     dim = _first_versions(spark, sf, inputs.TRACKED)
-    source = _source(spark, sf, SECOND_LOAD, inputs.TRACKED)
+    source = _batch(spark, sf, SECOND_LOAD, inputs.TRACKED)
     return _plain(scd.merge_versions(dim, source, KEY, SECOND))
 
 
 def _recent(spark: SparkSession, sf: str) -> DataFrame:
     """Customers that ordered since the first load: those who did not are missing."""
-    return _source(spark, sf, SECOND_LOAD).where(F.col("LastUpdated") > F.lit(FIRST_LOAD))
+    return _batch(spark, sf, SECOND_LOAD).where(F.col("LastUpdated") > F.lit(FIRST_LOAD))
 
 
 @query(

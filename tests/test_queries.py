@@ -11,10 +11,26 @@ def duck(sf_dir):
     return connect(sf_dir)
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 @pytest.mark.parametrize("name", sorted(driver.queries()))
 def test_query_matches_sql(spark, sf_dir, duck, name):
-    columns, rows = spark_result(driver.queries()[name](spark, sf_dir))
-    sql_columns, sql_rows = sql_result(duck, driver.oracle_sql()[name])
+    df, sql = driver.queries()[name](spark, sf_dir), driver.oracle_sql()[name]
+    relation = duck.sql(sql)
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == dict(
+        zip(relation.columns, map(str, relation.types))
+    )
+    columns, rows = spark_result(df)
+    sql_columns, sql_rows = sql_result(duck, sql)
     assert columns == sql_columns
     assert rows == sql_rows
     assert sum(rows.values()) > 0

@@ -124,6 +124,15 @@ def test_schema_history(spark, tmp_path):
     ]
 
 
+def test_table_format_is_chosen_per_table(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    run = RunContext("r", "b1", datetime(2024, 5, 1), DAY)
+    lake.write(spark.range(3), BRONZE, "t", run, table_format="orc")
+    assert list((tmp_path / "bronze" / "t").rglob("*.orc"))
+    assert lake.read(BRONZE, "t").count() == 3
+    assert lake.last_commit(BRONZE, "t").records_written == 3
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     folder = tmp_path / "in"
     lake = Lake(spark, str(tmp_path / "lake"))
