@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from layerloom.context import RunContext
 from layerloom.functions.columns import parsed
 from layerloom.operators.rules import ERROR, Rule, violation
+from layerloom.storage import staged
 
 LABEL_SEPARATOR = ";"
 # Columns that live only while rules are checked.
@@ -21,12 +22,14 @@ _TEMPORARY = "__rule_"
 def with_copies(df: DataFrame, keys: Sequence[str], name: str = "_Copies") -> DataFrame:
     """Add how many rows share the key (1 for a unique row or a NULL key).
 
-    Keys are counted with a partial aggregate first; only keys that really
-    repeat are joined back, so a clean table joins with an empty side, and one
-    very frequent key is a single row on that side. The wide side of such a
+    Keys are counted with a partial aggregate, and the ones that repeat are
+    written down. Their size is then known: while they are few, they are
+    broadcast and the wide rows are not shuffled at all. Beyond that, a very
+    frequent key is still a single row on that side, and the wide side of the
     join can be split by adaptive execution.
     """
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    repeated = staged(counts.where(F.col(name) > 1), "copies")
     return df.join(repeated, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(1)))
 
 

@@ -114,7 +114,8 @@ def load_summaries(lake: Lake, run: RunContext) -> list[AuditRow]:
     """Both summaries, written unsorted: order is a matter of the reader."""
     fact = lake.read(GOLD, FACT_TABLE)
     daily = sales.sales_summary(fact, ordered=False)
-    by_customer = sales.customer_sales_summary(fact, current_versions(lake, "customer_dim"), ordered=False)
+    customers = current_versions(lake, "customer_dim")
+    by_customer = sales.customer_sales_summary(fact, customers, ordered=False)
     return [
         lake.write(daily, GOLD, SALES_SUMMARY, run),
         lake.write(by_customer, GOLD, CUSTOMER_SALES_SUMMARY, run),

@@ -17,7 +17,8 @@ RUN = run_at(inputs.SECOND_LOAD, "batch-2")
 CUSTOMERS_SQL = f"""
     select *, row_number() over (order by CustomerID) as CustomerSK
     from ({inputs.customers_sql(inputs.SECOND_LOAD)})"""
-PRODUCTS_SQL = "select p_partkey as ProductID, row_number() over (order by p_partkey) as ProductSK from part"
+PRODUCTS_SQL = """
+    select p_partkey as ProductID, row_number() over (order by p_partkey) as ProductSK from part"""
 
 # Mean in whole cents, rounded half up; amounts are never negative here.
 MEASURES_SQL = """
