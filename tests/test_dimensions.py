@@ -26,7 +26,8 @@ def source(spark, values: dict):
 
 
 def rows_of(df):
-    return sorted((r["k"], r["v"], r["_StartDate"], r["_EndDate"], r["_IsCurrent"], r["CustomerSK"]) for r in df.collect())
+    columns = ["k", "v", "_StartDate", "_EndDate", "_IsCurrent", "CustomerSK"]
+    return sorted(map(tuple, df.select(*columns).collect()), key=lambda r: r[-1])
 
 
 @pytest.mark.parametrize("kind", ["string", "bigint", "date"])
@@ -149,7 +150,10 @@ def expected_versions(days):
             x["sk"] = top
         versions += opened
     day = lambda n: None if n is None else DAY + timedelta(days=n)
-    return sorted((x["k"], x["v"], day(x["from"]), day(x["to"]), x["to"] is None, x["sk"]) for x in versions)
+    rows = [
+        (x["k"], x["v"], day(x["from"]), day(x["to"]), x["to"] is None, x["sk"]) for x in versions
+    ]
+    return sorted(rows, key=lambda r: r[-1])
 
 
 @settings(

@@ -1,8 +1,10 @@
 """Physical plans: what must not appear in them, whatever the data."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from layerloom.operators.incremental import load_slice
 from layerloom.operators.keys import dense_key, keep_latest
 from layerloom.queries.registry import table
 
@@ -40,6 +42,15 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
 
 
+def test_mark_of_an_incremental_source_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "customers")
+    spark.range(3).withColumn("LastUpdated", F.current_timestamp()).write.parquet(path)
+    source = spark.read.parquet(path).withColumn("m", F.col("LastUpdated").try_cast("timestamp"))
+    mark = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    wanted = load_slice(source, "INCREMENTAL", "m", mark, inclusive=True, undated=True)
+    assert "PushedFilters: [Or(GreaterThanOrEqual(LastUpdated," in plan_of(wanted)
+
+
 def test_summary_adds_up_before_it_joins(spark, sf_dir):
     plan = plan_of(driver.queries()["sales_summary"](spark, sf_dir))
     assert "partial_sum" in plan.split("Join")[-1]
