@@ -13,9 +13,10 @@ from layerloom.queries.registry import table
 
 MONEY = "decimal(18,2)"
 
-# Days on which customer snapshots are loaded.
-FIRST_LOAD = date(1999, 1, 1)
-SECOND_LOAD = date(2000, 6, 1)
+# Days on which customer snapshots are loaded: early ones, so that many customers are
+# still to come, and some have not ordered between the first two.
+FIRST_LOAD = date(1996, 1, 1)
+SECOND_LOAD = date(1996, 12, 1)
 THIRD_LOAD = date(2001, 8, 1)
 
 HASHED = [
