@@ -2,31 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-
-_local_folders: dict[str, str] = {}
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors can reach, as named by the session.
+    """Folder that the driver and all executors reach, as named by the session.
 
-    Only a local session may go without the setting; it then gets a folder of
-    its own, because driver and executors are the same machine.
+    Without the setting it is a folder of the warehouse, which a cluster shares too.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_SETTING} must name a folder shared by the cluster")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="layerloom-")
-    return _local_folders[app]
+    return f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_staged"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -17,7 +17,8 @@ import time
 import duckdb
 from pyspark.sql import SparkSession
 
-import __spark_entry__ as driver
+import __spark_entry__  # noqa: F401  registers the queries
+from layerloom.queries.registry import ORACLES, QUERIES
 from tests.oracle import TABLES, connect
 
 SOURCE = "/root/testdata/sf0.1"
@@ -68,7 +69,7 @@ def difference(con, result: str, sql: str) -> tuple[int, int, int]:
 
 def main() -> None:
     factor = int(sys.argv[1]) if len(sys.argv) > 1 else 5
-    names = sys.argv[2:] or sorted(driver.queries())
+    names = sys.argv[2:] or sorted(QUERIES)
     base = tempfile.mkdtemp(prefix="run-")
     tables, results = f"{base}/sf", f"{base}/out"
     os.makedirs(tables)
@@ -94,10 +95,10 @@ def main() -> None:
     for name in names:
         out = f"{results}/{name}"
         start = time.perf_counter()
-        df = driver.queries()[name](spark, tables)
+        df = QUERIES[name](spark, tables)
         df.write.parquet(out)
         took = time.perf_counter() - start
-        n, extra, lost = difference(con, out, driver.oracle_sql()[name])
+        n, extra, lost = difference(con, out, ORACLES[name])
         failures += bool(extra or lost)
         verdict = "ok" if not (extra or lost) else "DIFFERENT"
         print(f"{name:28} {took:7.2f}s rows={n} extra={extra} lost={lost} {verdict}", flush=True)

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
+from layerloom.queries.registry import ORACLES, QUERIES
 from tests.oracle import connect, spark_result, sql_result
 
 
@@ -22,9 +23,9 @@ TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, duck, name):
-    df, sql = driver.queries()[name](spark, sf_dir), driver.oracle_sql()[name]
+    df, sql = QUERIES[name](spark, sf_dir), ORACLES[name]
     relation = duck.sql(sql)
     assert {c: TYPES.get(t, t) for c, t in df.dtypes} == dict(
         zip(relation.columns, map(str, relation.types))
@@ -36,5 +37,10 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
     assert sum(rows.values()) > 0
 
 
+def test_all_queries_are_registered():
+    assert QUERIES.items() <= driver.queries().items()
+    assert ORACLES.items() <= driver.oracle_sql().items()
+
+
 def test_entry_runs(spark):
     assert driver.entry(spark).count() > 0
