@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom.llm.quality import judged
 from layerloom.llm.registry import query, table
 from layerloom.llm.simhash import near_duplicates
+from layerloom.llm.sql import QUALITY_SQL
 from layerloom.llm.substring import remove_repeats
 
 
@@ -25,3 +27,18 @@ def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     cleaned = remove_repeats(docs, length=20, with_text=False)
     return cleaned.select("doc.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op5_quality", QUALITY_SQL)
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return judged(docs).select(
+        "doc.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
