@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.quality import judged
 from layerloom.llm.registry import query, table
 from layerloom.llm.simhash import near_duplicates
@@ -42,3 +43,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = docs.filter(learnt_from("doc_id"))
+    out = predict(docs.select("doc_id", "text"), learn)
+    return out.select("doc.doc_id", (~learnt_from("doc.doc_id")).alias("held_out"), "lang_pred", "score")

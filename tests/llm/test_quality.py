@@ -1,0 +1,100 @@
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from layerloom.llm import quality
+from tests.llm import brute
+
+SCHEMA = "doc_id bigint, text string, lang string, source string"
+
+
+def _counts(text):
+    ws = brute.words(text)
+    grams = [tuple(ws[i : i + 8]) for i in range(len(ws) - 7)]
+    n = Counter(grams)
+    repeated = {i + j for i, g in enumerate(grams) if n[g] > 1 for j in range(8)}
+    lines = [x for x in (text or "").split("\n") if brute.words(x)]
+    return (
+        len(ws),
+        sum(map(len, ws)),
+        sum(c in "#*$%&|<>" for c in text or ""),
+        len(lines) - len(set(lines)),
+        len(repeated),
+    )
+
+
+def test_counts_against_brute_force(spark):
+    rng = random.Random(3)
+    texts = [None, "", " \n\t", "\n\n", "eins zwei", "ä\x0bö\x0cü\r\n#é|", "a a a a a a a a", "a " * 9]
+    for _ in range(200):
+        words = [rng.choice(["a", "b", "ç", "d#"]) for _ in range(rng.randint(0, 80))]
+        texts.append("".join(w + rng.choice([" ", "\n", "  "]) for w in words))
+    texts.append("wort " * 40_000)
+    docs = [(i, t, None, None) for i, t in enumerate(texts)]
+    got = quality.with_counts(spark.createDataFrame(docs, SCHEMA), "text").collect()
+    for r in got:
+        counts = (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words)
+        assert counts == _counts(texts[r.doc_id]), r.doc_id
+
+
+def test_buckets_keep_six_bits(spark):
+    values = [0, 1, 63, 64, 65, 127, 128, 131, 1000, 123_456, 2**40 + 12345]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    got = [r[0] for r in df.select(quality._bucket(F.col("v"))).collect()]
+    assert got == [v >> max(v.bit_length() - 6, 0) << max(v.bit_length() - 6, 0) for v in values]
+
+
+def test_merged_sketches_equal_sketches_of_all_rows(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", None]), rng.choice("xyz"), *[rng.randint(1, 900) for _ in range(6)]) for _ in range(500)]
+    names = "n_words n_symbols n_lines n_dup_lines n_repeat_words word_chars".split()
+    df = spark.createDataFrame(rows, ["lang", "source", *names])
+    whole = quality.sketches(df, ["lang"])
+    merged = quality.merged(quality.sketches(df, ["lang", "source"]), ["lang"])
+    assert Counter(map(tuple, whole.collect())) == Counter(map(tuple, merged.collect()))
+
+
+def _prose(rng, n):
+    return " ".join("".join(rng.choices("abcdefg", k=rng.randint(3, 7))) for _ in range(n))
+
+
+def test_thresholds_follow_the_source(spark):
+    """Symbols are usual in one source and unusual in the other."""
+    rng = random.Random(5)
+    docs = []
+    for i in range(800):
+        source = "code" if i % 2 else "prose"
+        text = _prose(rng, 60)
+        if source == "code" or i < 10:
+            text = text.replace(" ", " # ", rng.randint(25, 35))
+        docs.append((i, text, "en", source))
+    docs.append((900, _prose(rng, 60).replace(" ", " | ", 30), "xx", "prose"))  # a language of its own
+    got = {r.doc.doc_id: r for r in quality.judged(spark.createDataFrame(docs, SCHEMA)).collect()}
+    kept = {i for i, r in got.items() if r.kept}
+    assert not kept & {0, 2, 4, 6, 8}
+    assert len([i for i in range(10, 800) if i in kept]) >= 780
+    assert not any(r.base_failed for r in got.values())
+
+
+def test_edge_cases(spark):
+    docs = [
+        (1, None, None, None), (None, "", "en", None), (3, "too short", None, "s"), (4, "w " * 50, "en", "s"),
+        (5, _prose(random.Random(6), 50), None, None), (5, _prose(random.Random(6), 50), None, None),
+    ]
+    df = spark.createDataFrame(docs, SCHEMA).withColumns({"kept": F.lit(1), "n_words": F.lit(2), "_words": F.lit(3)})
+    out = quality.judged(df, with_docs=True)
+    assert out.select("doc.*").columns == df.columns
+    got = sorted((r.doc.doc_id or 0, r.base_failed, r.kept) for r in out.collect())
+    assert got == [(0, True, False), (1, True, False), (3, True, False), (4, True, False), (5, False, True), (5, False, True)]
+
+
+def test_empty_table(spark):
+    assert quality.judged(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_no_python_in_the_plan(spark, sf_dir):
+    from layerloom.llm.queries import op5_quality
+
+    plan = op5_quality(spark, sf_dir)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
