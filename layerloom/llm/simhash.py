@@ -159,8 +159,12 @@ def near_duplicates(
     linked = nodes.join(labels, F.col("fingerprint") == F.col("node"))
     firsts = linked.groupBy("component").agg(F.min("first").alias("reached"))
     reached = linked.join(firsts, "component").select("fingerprint", "reached")
-    classes = nodes.join(reached, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("reached", "first").alias("component")
+    # Written down, the last join is a plain one whose frequent fingerprints Spark can split.
+    classes = staged(
+        nodes.join(reached, "fingerprint", "left").select(
+            "fingerprint", F.coalesce("reached", "first").alias("component")
+        ),
+        "classes",
     )
     return prints.join(classes, "fingerprint").select("id", "fingerprint", "component")
 
