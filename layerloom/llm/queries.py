@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.llm.langid import learnt_from, predict
+from layerloom.llm.packing import pack
 from layerloom.llm.quality import judged
 from layerloom.llm.registry import query, table
 from layerloom.llm.simhash import near_duplicates
@@ -51,3 +53,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = docs.filter(learnt_from("doc_id"))
     out = predict(docs.select("doc_id", "text"), learn)
     return out.select("doc.doc_id", (~learnt_from("doc.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op1_packing")
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    out = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0, window=1024)
+    return out.withColumnRenamed("id", "doc_id")
