@@ -21,13 +21,14 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_staged"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     The result has no lineage to recompute when executors are lost, its columns
     can be pruned by each consumer, and its size is known to the optimizer.
+    ``compression`` overrides the session's Parquet codec.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
