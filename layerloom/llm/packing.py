@@ -245,7 +245,9 @@ def pack(
     kind = dict(keyed.dtypes)["id"]
     rows = keyed.select(F.col(ROW).alias("row"), "id", queue_of.column.alias("queue"), "text")
     ids = staged(
-        rows.mapInArrow(_tokenize(tokenizer, end), f"row bigint, id {kind}, queue int, n bigint, ids binary"), "ids"
+        rows.mapInArrow(_tokenize(tokenizer, end), f"row bigint, id {kind}, queue int, n bigint, ids binary"),
+        "ids",
+        compression="zstd",
     )
     left = {r.queue: r.n for r in ids.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     phases = schedule(left, window, queue_of.shares)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,10 +11,12 @@ from pyspark.sql import functions as F
 from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.packing import pack
 from layerloom.llm.quality import judged
+from layerloom.llm.rans import read_ids, write_ids
 from layerloom.llm.registry import query, table
 from layerloom.llm.simhash import near_duplicates
 from layerloom.llm.sql import QUALITY_SQL
 from layerloom.llm.substring import remove_repeats
+from layerloom.storage import shared_folder
 
 
 @query("op7_simhash")
@@ -60,3 +64,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=0, window=1024)
     return out.withColumnRenamed("id", "doc_id")
+
+
+@query("op10_rans")
+def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = f"{shared_folder(spark)}/rans-{uuid.uuid4().hex}"
+    write_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"), end=1)
+    out = read_ids(spark, path)
+    return out.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
