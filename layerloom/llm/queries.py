@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom.llm.forest import nearest
 from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.packing import pack
 from layerloom.llm.quality import judged
@@ -73,3 +74,8 @@ def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_ids(docs, path, public_tokenizers.path("word_bpe_49k.json"), end=1)
     out = read_ids(spark, path)
     return out.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query("op3_forest")
+def op3_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
