@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.llm.forest import nearest
+from layerloom.llm.katz import katz_scores
 from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.packing import pack
 from layerloom.llm.quality import judged
@@ -79,3 +80,10 @@ def op10_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_forest")
 def op3_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op2_katz")
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(10)) == 0
+    return katz_scores(docs, held_out).withColumnRenamed("id", "doc_id")
