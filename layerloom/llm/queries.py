@@ -5,18 +5,19 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.llm.forest import nearest
 from layerloom.llm.katz import katz_scores
 from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.packing import pack
+from layerloom.llm.preference import preference_pairs, with_other_ending
 from layerloom.llm.quality import judged
 from layerloom.llm.rans import read_ids, write_ids
 from layerloom.llm.registry import query, table
 from layerloom.llm.simhash import near_duplicates
-from layerloom.llm.sql import QUALITY_SQL
+from layerloom.llm.sql import PREFERENCE_SQL, QUALITY_SQL
 from layerloom.llm.substring import remove_repeats
 from layerloom.storage import shared_folder
 
@@ -87,3 +88,23 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(10)) == 0
     return katz_scores(docs, held_out).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_preference", PREFERENCE_SQL)
+def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation is preferred to itself with the ending of another one."""
+    turns = table(spark, sf_dir, "conversations")
+    pairs = preference_pairs(turns, with_other_ending(turns))
+
+    def spans(mask: str) -> Column:
+        return F.array_join(F.transform(mask, lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",").alias(mask)
+
+    return pairs.select(
+        F.col("pair").alias("conv_id"),
+        "prompt_turns",
+        "prompt",
+        "chosen",
+        "rejected",
+        spans("chosen_mask"),
+        spans("rejected_mask"),
+    )

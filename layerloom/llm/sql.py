@@ -90,3 +90,39 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged j left join chosen c
   on j.lang is not distinct from c.lang and j.source is not distinct from c.source
 """
+
+PREFERENCE_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  where conv_id is not null and turn is not null
+),
+last as (
+  select conv_id, max({'turn': turn, 'role': role, 'text': text}) as l from turns group by conv_id
+),
+numbered as (select *, row_number() over (order by conv_id) as number, count(*) over () as n from last),
+endings as (
+  select a.conv_id, a.l.turn as turn, b.l.role as role, b.l.text as text
+  from numbered a join numbered b on b.number = a.number % a.n + 1
+),
+pairs as (
+  select conv_id, turn, t.role, t.text, l.turn as end, e.role as r_role, e.text as r_text,
+         turn = l.turn as ends, e.role = t.role and e.text = t.text as same
+  from turns t join last l using (conv_id) left join endings e using (conv_id, turn)
+),
+rendered as (
+  select conv_id, turn, ends, coalesce(same, true) as shared,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as c,
+         '<|' || r_role || '|>' || chr(10) || r_text || '<|end|>' || chr(10) as r,
+         role = 'assistant' as c_learnt, r_role = 'assistant' as r_learnt,
+         length(role) + 5 as c_from, length(r_role) + 5 as r_from
+  from pairs
+)
+select conv_id,
+       (count(*) filter (where shared))::int as prompt_turns,
+       coalesce(string_agg(c, '' order by turn) filter (where shared), '') as prompt,
+       coalesce(max(c) filter (where not shared), '') as chosen,
+       coalesce(max(r) filter (where not shared), '') as rejected,
+       coalesce(max(c_from || '-' || length(c)) filter (where not shared and c_learnt), '') as chosen_mask,
+       coalesce(max(r_from || '-' || length(r)) filter (where not shared and r_learnt), '') as rejected_mask
+from rendered group by conv_id
+"""
