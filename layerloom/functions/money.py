@@ -1,45 +1,42 @@
 """Exact money aggregates.
 
-Amounts are summed as whole cents in a BIGINT, which hash aggregation keeps in
-place, and are turned back into decimals once per group. The mean is rounded
-half up from the exact quotient, never from an already rounded one.
+Amounts are summed with all the digits they have and rounded once, when a group
+is finished. The mean is rounded half up from the exact quotient, never from an
+already rounded one.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-_CENT = Decimal("0.01")
+#: Digits kept of amounts whose type does not say how many they have.
+FLOAT_SCALE = 6
+_WIDEST = 38
 
 
-def cents(df: DataFrame, name: str) -> Column:
-    """An amount column as a whole number of cents, in the cheapest exact way
-    for its type."""
+def exact(df: DataFrame, name: str) -> Column:
+    """An amount column as a decimal that loses nothing when it is summed."""
     kind, amount = df.schema[name].dataType, F.col(name)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return F.rint(amount * 100).cast("bigint")
-    if isinstance(kind, T.DecimalType) and kind.scale > 2:
-        return (F.round(amount, 2) * 100).cast("bigint")
-    return (amount * 100).cast("bigint")
-
-
-def total(cent_sum: Column) -> Column:
-    """Sum of cents as a decimal with two digits."""
-    return (cent_sum.cast("decimal(20,0)") * F.lit(_CENT)).cast("decimal(20,2)")
-
-
-def mean(cent_sum: Column, n: Column) -> Column:
-    """Sum of cents over a row count, rounded half up to two digits."""
-    wide = "decimal(30,0)"
-    magnitude = F.abs(cent_sum).cast(wide)
-    halves = (magnitude * 2 + n).cast(wide)
-    divisor = (n * 2).cast(wide)
-    # The remainder is dropped first, so the division below is exact.
-    rounded = (halves - halves % divisor) / divisor
-    signed = F.when(cent_sum < 0, -rounded).otherwise(rounded)
-    return (signed.cast("decimal(20,0)") * F.lit(_CENT)).cast("decimal(20,2)")
+        return amount.cast(f"decimal(28,{FLOAT_SCALE})")
+    return amount if isinstance(kind, T.DecimalType) else amount.cast("decimal(20,0)")
+
+
+def total(amount_sum: Column) -> Column:
+    """An exact sum, rounded half up to two digits."""
+    return F.round(amount_sum, 2).cast("decimal(20,2)")
+
+
+def mean(amount_sum: Column, n: Column, scale: int) -> Column:
+    """An exact sum with ``scale`` digits over a row count, rounded half up to two digits."""
+    digits = max(scale, 2)
+    wide = f"decimal({_WIDEST},0)"
+    units = (F.abs(amount_sum).cast(f"decimal({_WIDEST},{digits})") * F.lit(10**digits)).cast(wide)
+    divisor = (n * F.lit(2 * 10 ** (digits - 2))).cast("decimal(24,0)")
+    doubled = (units * 2).cast("decimal(34,0)") + (divisor / 2).cast("decimal(24,0)")
+    # The remainder is dropped first, so the division is exact.
+    cents = ((doubled - doubled % divisor).cast("decimal(34,0)") / divisor).cast("decimal(22,0)")
+    signed = F.when(amount_sum < 0, -cents).otherwise(cents)
+    return (signed / 100).cast("decimal(20,2)")

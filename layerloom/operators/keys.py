@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ def dense_key(
     name: str,
     *,
     start: int = 0,
-    key_type: str = "int",
+    key_type: str = "bigint",
 ) -> DataFrame:
     """Number the rows ``start + 1 .. start + n`` in the given order.
 
@@ -54,14 +55,18 @@ def keep_latest(
 ) -> DataFrame:
     """One row per key: the one that sorts last; NULLs sort first.
 
+    Rows with a NULL in a key are no versions of one another and all stay.
+
     An aggregate rather than a ranking window, so each task reduces its own
     rows before the shuffle and a very frequent key costs one row per task.
     """
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.distinct()
+    keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    alone = F.when(keyless, F.monotonically_increasing_id()).alias("__alone")
     return (
-        df.groupBy(*keys)
+        df.groupBy(*keys, alone)
         .agg(F.max_by(F.struct(*others), F.struct(*order_by)).alias("__row"))
         .select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
     )

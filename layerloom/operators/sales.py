@@ -85,14 +85,14 @@ def fact_sales(
 
 
 def order_totals(fact: DataFrame, *by: str) -> DataFrame:
-    """One row per order: its quantity, cents and number of amounts.
+    """One row per order: its quantity, exact amount and number of amounts.
 
     The common first step of the summaries. Counting these rows counts distinct
     orders, and an order with very many rows is reduced before any shuffle.
     """
     return fact.groupBy(*by, "OrderID").agg(
         F.sum("Quantity").alias("Quantity"),
-        F.sum(money.cents(fact, "TotalAmount")).alias("Cents"),
+        F.sum(money.exact(fact, "TotalAmount")).alias("Amount"),
         F.count("TotalAmount").alias("Amounts"),
     )
 
@@ -101,21 +101,22 @@ def _summed(totals: DataFrame, *by: str) -> DataFrame:
     return totals.groupBy(*by).agg(
         F.count("OrderID").alias("TotalOrders"),
         F.sum("Quantity").alias("TotalQuantity"),
-        F.sum("Cents").alias("Cents"),
+        F.sum("Amount").alias("Amount"),
         F.sum("Amounts").alias("Amounts"),
     )
 
 
-_SUMS = ["TotalOrders", "TotalQuantity", "Cents", "Amounts"]
+_SUMS = ["TotalOrders", "TotalQuantity", "Amount", "Amounts"]
 
 
 def _finished(sums: DataFrame, *by: str) -> DataFrame:
+    scale = sums.schema["Amount"].dataType.scale
     return sums.select(
         *by,
         "TotalOrders",
         "TotalQuantity",
-        money.total(F.col("Cents")).alias("TotalSales"),
-        money.mean(F.col("Cents"), F.col("Amounts")).alias("AverageOrderValue"),
+        money.total(F.col("Amount")).alias("TotalSales"),
+        money.mean(F.col("Amount"), F.col("Amounts"), scale).alias("AverageOrderValue"),
     )
 
 

@@ -225,7 +225,7 @@ class Lake:
                 writer = writer.partitionBy(*partition_by)
             writer.save(f"{self.path(layer, table)}/{BATCH_FOLDER}={run.batch_id}")
         except Exception as error:
-            self._append_audit(row(FAILED, {}, str(error)[:1000]))
+            self._append_audit(row(FAILED, {}, str(error)))
             raise
         committed = row(SUCCESS, observed.get)
         self._append_audit(committed)

@@ -36,16 +36,17 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customers_as_of(
-    spark: SparkSession, sf: str, day: date, hashed: list[str] | None = None
+    spark: SparkSession, sf: str, day: date | None, hashed: list[str] | None = None
 ) -> DataFrame:
     """Customers that had ordered by a day, with what was known about them then.
 
     Priority and LastUpdated come from the latest order up to that day, so
     snapshots of different days hold new, changed and unchanged customers.
+    Without a day it is all customers, with or without orders.
     """
+    orders = table(spark, sf, "orders")
     last = keep_latest(
-        table(spark, sf, "orders")
-        .where(F.col("o_orderdate") <= F.lit(day))
+        (orders if day is None else orders.where(F.col("o_orderdate") <= F.lit(day)))
         .select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority"),
         ["o_custkey"],
         ["o_orderdate", "o_orderkey"],
@@ -56,7 +57,7 @@ def customers_as_of(
     snapshot = (
         table(spark, sf, "customer")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(last, F.col("c_custkey") == F.col("o_custkey"))
+        .join(last, F.col("c_custkey") == F.col("o_custkey"), "left" if day is None else "inner")
         .select(
             F.col("c_custkey").alias("CustomerID"),
             F.col("c_name").alias("CustomerName"),
@@ -71,7 +72,8 @@ def customers_as_of(
     return snapshot.withColumn("_RecordHash", record_hash(snapshot, hashed or HASHED))
 
 
-def customers_sql(day: date, hashed: list[str] | None = None) -> str:
+def customers_sql(day: date | None, hashed: list[str] | None = None) -> str:
+    until = "true" if day is None else f"o_orderdate <= date '{day}'"
     values = ", ".join(f"coalesce(cast({c} as varchar), '')" for c in hashed or HASHED)
     return f"""
     select *, sha256(concat_ws('||', {values})) as _RecordHash
@@ -82,9 +84,9 @@ def customers_sql(day: date, hashed: list[str] | None = None) -> str:
       from customer
       join nation on c_nationkey = n_nationkey
       join region on n_regionkey = r_regionkey
-      join (select *, row_number() over (partition by o_custkey
+      {"left" if day is None else ""} join (select *, row_number() over (partition by o_custkey
                                          order by o_orderdate desc, o_orderkey desc) as rn
-            from orders where o_orderdate <= date '{day}') o
+            from orders where {until}) o
         on o_custkey = c_custkey and rn = 1
     )"""
 
@@ -98,12 +100,13 @@ def order_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_amounts(spark: SparkSession, sf: str) -> DataFrame:
-    """What the summaries need of the order rows. Amounts stay doubles here:
-    whole cents are taken from them directly."""
+    """What the summaries need of the order rows. Discounted amounts have four
+    digits, so that rounding them before they are added up would show."""
+    price, discount = F.col("l_extendedprice").cast(MONEY), F.col("l_discount").cast("decimal(5,2)")
     return table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("OrderID"),
         F.col("l_quantity").cast("int").alias("Quantity"),
-        F.col("l_extendedprice").alias("TotalAmount"),
+        (price * (1 - discount)).cast("decimal(18,4)").alias("TotalAmount"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.metadata import RULES
@@ -46,48 +46,59 @@ ADDRESS_LIKE = r"(^|[ \t\r\n])([^ \t\r\n]*@[^ \t\r\n]*)"
 NUMBER_LIKE = r"[0-9+][0-9() -]{6,}[0-9]"
 
 
-def _contacts(spark: SparkSession, sf: str) -> DataFrame:
-    """The first address and the first long number of each document, if any.
-    Only texts with an at sign are searched for an address."""
+def _addresses() -> Column:
+    """All addresses of a text. Only texts with an at sign are searched."""
     text = F.col("text")
-    return table(spark, sf, "documents").select(
-        "doc_id",
-        F.when(F.contains(text, F.lit("@")), F.regexp_extract(text, ADDRESS_LIKE, 2))
-        .otherwise("")
-        .alias("email"),
-        F.regexp_replace(F.regexp_extract(text, NUMBER_LIKE, 0), "[ ()-]", "").alias("phone"),
-    )
+    found = F.regexp_extract_all(text, F.lit(ADDRESS_LIKE), F.lit(2))
+    return F.when(F.contains(text, F.lit("@")), found).otherwise(F.array().cast("array<string>"))
+
+
+def _numbers() -> Column:
+    found = F.regexp_extract_all("text", F.lit(NUMBER_LIKE), F.lit(0))
+    return F.transform(found, lambda n: F.regexp_replace(n, "[ ()-]", ""))
 
 
-CONTACTS_SQL = f"""
-    select doc_id, regexp_extract(text, '{ADDRESS_LIKE}', 2) as email,
-           regexp_replace(regexp_extract(text, '{NUMBER_LIKE}'), '[ ()-]', '', 'g') as phone
-    from documents"""
+def _each(spark: SparkSession, sf: str, values: Column, name: str) -> DataFrame:
+    """One row per value found in a document."""
+    documents = table(spark, sf, "documents")
+    return documents.select("doc_id", F.explode(values).alias(name))
 
 
-@query("dq_not_empty", f"select doc_id, email from ({CONTACTS_SQL}) where trim(email) = ''")
+@query(
+    "dq_not_empty",
+    f"""select doc_id, email
+        from (select doc_id, array_to_string(regexp_extract_all(text, '{ADDRESS_LIKE}', 2), ' ') as email
+              from documents)
+        where trim(email) = ''""",
+)
 def dq_not_empty(spark: SparkSession, sf: str) -> DataFrame:
-    return _violations(_contacts(spark, sf).select("doc_id", "email"), "email", "NOT_EMPTY")
+    """Documents without any address."""
+    found = table(spark, sf, "documents").select("doc_id", F.array_join(_addresses(), " ").alias("email"))
+    return _violations(found, "email", "NOT_EMPTY")
 
 
 @query(
     "dq_email",
-    f"""select doc_id, email from (select doc_id, nullif(email, '') as email from ({CONTACTS_SQL}))
+    f"""select doc_id, email
+        from (select doc_id, unnest(regexp_extract_all(text, '{ADDRESS_LIKE}', 2)) as email from documents)
         where not regexp_matches(email, '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}$')""",
 )
 def dq_email(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents without an address are NULL here and pass."""
-    found = _contacts(spark, sf).select("doc_id", F.nullif("email", F.lit("")).alias("email"))
+    """Every address of every document."""
+    found = _each(spark, sf, _addresses(), "email")
     return _violations(found, "email", "VALID_EMAIL")
 
 
 @query(
     "dq_phone",
-    f"""select doc_id, phone from (select doc_id, nullif(phone, '') as phone from ({CONTACTS_SQL}))
+    f"""select doc_id, phone
+        from (select doc_id, regexp_replace(n, '[ ()-]', '', 'g') as phone
+              from (select doc_id, unnest(regexp_extract_all(text, '{NUMBER_LIKE}')) as n from documents))
         where not regexp_matches(phone, '^\\d{{10}}$')""",
 )
 def dq_phone(spark: SparkSession, sf: str) -> DataFrame:
-    found = _contacts(spark, sf).select("doc_id", F.nullif("phone", F.lit("")).alias("phone"))
+    """Every long number of every document."""
+    found = _each(spark, sf, _numbers(), "phone")
     return _violations(found, "phone", "VALID_PHONE")
 
 

@@ -117,20 +117,24 @@ def test_update_where(spark):
     )
 )
 def test_money_is_exact(spark, groups):
-    rows = [(g, Decimal(c) / 100) for g, cents in enumerate(groups) for c in cents]
-    df = spark.createDataFrame(rows, "g int, amount decimal(18,2)")
-    sums = df.groupBy("g").agg(
-        F.sum(money.cents(df, "amount")).alias("c"), F.count("amount").alias("n")
-    )
-    doubles = df.select(F.col("amount").cast("double"))
-    wide = df.select(F.col("amount").cast("decimal(20,6)"))
-    for other in (doubles, wide):
-        assert other.agg(F.sum(money.cents(other, "amount"))).first()[0] == sum(map(sum, groups))
-    out = sums.select("g", money.total(F.col("c")), money.mean(F.col("c"), F.col("n"))).collect()
-    for g, total, mean in out:
-        exact = Decimal(sum(groups[g])) / 100
-        assert total == exact
-        assert mean == (exact / len(groups[g])).quantize(Decimal("0.01"), ROUND_HALF_UP)
+    for scale, kind in ((0, "bigint"), (2, "decimal(18,2)"), (4, "decimal(18,4)"), (4, "double")):
+        unit = 10**scale
+        rows = [(g, Decimal(c) / unit) for g, parts in enumerate(groups) for c in parts]
+        df = spark.createDataFrame(rows, "g int, amount decimal(18,4)")
+        df = df.withColumn("amount", F.col("amount").cast(kind))
+        sums = df.groupBy("g").agg(
+            F.sum(money.exact(df, "amount")).alias("s"), F.count("amount").alias("n")
+        )
+        mean = money.mean(F.col("s"), F.col("n"), sums.schema["s"].dataType.scale)
+        for g, total, mean in sums.select("g", money.total(F.col("s")), mean).collect():
+            exact, cent = Decimal(sum(groups[g])) / unit, Decimal("0.01")
+            assert total == exact.quantize(cent, ROUND_HALF_UP)
+            assert mean == (exact / len(groups[g])).quantize(cent, ROUND_HALF_UP)
+
+
+def test_amounts_are_rounded_after_they_are_summed(spark):
+    df = spark.createDataFrame([(Decimal("0.004"),)] * 3, "amount decimal(18,3)")
+    assert df.agg(money.total(F.sum(money.exact(df, "amount")))).first()[0] == Decimal("0.01")
 
 
 def test_schema_difference_and_union(spark):
