@@ -159,15 +159,12 @@ def _tokenize(path: str, end: int):
         enc = encoder(path)
         close = np.array([end], enc.dtype).tobytes()
         for batch in batches:
-            for i in range(0, batch.num_rows, _CHUNK):
-                part = batch.slice(i, _CHUNK)
-                ids = [x + close for x in enc.encode([t or "" for t in part.column("text").to_pylist()])]
-                n = [len(x) // enc.dtype.itemsize for x in ids]
-                kept = [part.column(c) for c in ("row", "id", "queue")]
-                yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
-                    names=["row", "id", "queue", "n", "ids"],
-                )
+            ids = [x + close for x in enc.encode(batch.column("text"))]
+            n = [len(x) // enc.dtype.itemsize for x in ids]
+            kept = [batch.column(c) for c in ("row", "id", "queue")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(n, pa.int64()), pa.array(ids, pa.binary())], names=["row", "id", "queue", "n", "ids"]
+            )
 
     return kernel
 

@@ -40,7 +40,6 @@ _HEADER = struct.Struct("<4sHHIIIQQII")
 _LOW = np.uint64(1 << 31)  # states lie in 2**31 .. 2**63
 _WORD = np.uint64(32)
 _MIN_BITS = 18
-_CHUNK = 256
 
 
 @dataclass(frozen=True)
@@ -181,13 +180,9 @@ def _tokenize(path: str, end: int):
         enc = encoder(path)
         close = np.array([end], enc.dtype).tobytes()
         for batch in batches:
-            for i in range(0, batch.num_rows, _CHUNK):
-                part = batch.slice(i, _CHUNK)
-                ids = [x + close for x in enc.encode([t or "" for t in part.column("text").to_pylist()])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("id"), part.column("part"), pa.array(ids, pa.binary())],
-                    names=["row", "id", "part", "ids"],
-                )
+            ids = [x + close for x in enc.encode(batch.column("text"))]
+            kept = [batch.column(c) for c in ("row", "id", "part")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.binary())], names=["row", "id", "part", "ids"])
 
     return kernel
 

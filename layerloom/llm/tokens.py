@@ -1,56 +1,151 @@
-"""Token ids of many texts with the tokenizers library.
+"""Token ids of many texts, every distinct piece of which is tokenized only once.
 
 Texts are cut before runs of white space. The tokenizers used here never join
 bytes across such a cut, so the ids of a text are those of its pieces one after
-the other, and every distinct piece needs to be tokenized only once.
+the other.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Collection, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-#: Cached pieces per Python worker; the cache starts anew beyond it.
-CACHE_PIECES = 1_000_000
+from layerloom.llm.words import RunHashes
 
-_PIECES = re.compile(r"\s*\S+|\s+", re.ASCII)
+#: Known pieces per Python worker; they are learnt anew beyond it.
+KNOWN_PIECES = 3_000_000
+#: Bytes of text that are worked on at a time, and the longest piece that is remembered.
+_CHUNK_BYTES = 1 << 22
+_LONGEST = 64
+
+# Classes of bytes: white space, and first bytes of what may ask for the text to be taken whole.
+_SPACE, _SUSPECT = 1, 2
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*range(9, 14), 32]] = _SPACE
+_CLASS[[0xC2, 0xE1, 0xE2, 0xE3, ord("<")]] = _SUSPECT
 # White space beyond ASCII may belong to a run that the cut would split, and
 # special tokens are looked for in the whole text.
-_OTHER_SPACES = [*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-_WHOLE = re.compile("[" + "".join(map(chr, _OTHER_SPACES)) + "]|<\\|")
+_WHOLE = {chr(c).encode() for c in [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]}
+_WHOLE.add(b"<|")
+
+_BYTE_HASHES = np.random.default_rng(5).integers(0, 1 << 64, 256, np.uint64)
+
+
+class PieceCache:
+    """Ids of texts, as little-endian unsigned numbers of ``dtype``.
+
+    Pieces are told apart by 64-bit hashes of their bytes. Subclasses tokenize.
+    """
+
+    def __init__(self, size: int, whole: Collection[bytes] = ()):
+        self.size = size
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self._whole = whole
+        self._forget()
+
+    def _plain(self, texts: list[bytes]) -> Sequence[Sequence[int]]:
+        """The ids of some texts."""
+        raise NotImplementedError
 
+    def _forget(self) -> None:
+        self._keys = np.zeros(0, np.uint64)  # sorted
+        self._begin = np.zeros(0, np.int64)  # of each key's ids
+        self._n = np.zeros(0, np.int64)
+        self._ids = np.zeros(1 << 20, self.dtype)
+        self._used = 0
 
-class Encoder:
-    """Ids of texts, as little-endian unsigned numbers of ``dtype``."""
+    def _learn(self, at: np.ndarray, keys: np.ndarray, pieces: list[bytes]) -> None:
+        """Tokenize unknown pieces; ``at`` is where their sorted keys go."""
+        found = self._plain(pieces)
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(n.sum())
+        if self._used + total > len(self._ids):
+            self._ids = np.concatenate([self._ids, np.zeros(len(self._ids) + total, self.dtype)])
+        self._ids[self._used : self._used + total] = np.fromiter(chain.from_iterable(found), self.dtype, total)
+        begin = self._used + np.cumsum(n) - n
+        self._used += total
+        self._keys = np.insert(self._keys, at, keys)
+        self._begin, self._n = np.insert(self._begin, at, begin), np.insert(self._n, at, n)
+
+    def _encode(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Ids of the texts that lie end to end in the data."""
+        if not len(data):
+            return [b""] * len(begins)
+        raw = data.tobytes()
+        kind = _CLASS[data]
+        space = kind == _SPACE
+        cut = np.zeros(len(data), bool)
+        cut[1:] = space[1:] & ~space[:-1]
+        cut[begins[begins < ends]] = True
+        start = np.flatnonzero(cut)
+        stop = np.append(start[1:], len(data))
+        hashes = RunHashes(_BYTE_HASHES[data])
+        distinct, first, place = np.unique(hashes.of(start, stop), return_index=True, return_inverse=True)
+        if len(self._keys) > KNOWN_PIECES:
+            self._forget()
+        at = np.searchsorted(self._keys, distinct)
+        new = np.ones(len(distinct), bool)
+        inside = at < len(self._keys)
+        new[inside] = self._keys[at[inside]] != distinct[inside]
+        if new.any():
+            which = first[new]
+            spans = zip(start[which].tolist(), stop[which].tolist())
+            self._learn(at[new], distinct[new], [raw[a:b] for a, b in spans])
+            at = np.searchsorted(self._keys, distinct)
+        n, begin = self._n[at][place], self._begin[at][place]
+        upto = np.cumsum(n)
+        ids = self._ids[np.repeat(begin - (upto - n), n) + np.arange(int(upto[-1]))]
+        # Ids of whole texts, from those before their first and after their last piece.
+        edges = np.append(0, upto)
+        low, high = edges[np.searchsorted(start, begins)], edges[np.searchsorted(start, ends)]
+        out = [ids[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist())]
+        uncut = self._taken_whole(raw, np.flatnonzero(kind == _SUSPECT), start, stop, begins, ends)
+        for i, found in zip(uncut, self._plain([raw[begins[i] : ends[i]] for i in uncut]) if uncut else ()):
+            out[i] = np.array(found, self.dtype).tobytes()
+        return out
+
+    def _taken_whole(self, raw, suspects, start, stop, begins, ends) -> list[int]:
+        """Texts that must not be cut, or have pieces too long to be told apart by a hash."""
+        at = [i for i in suspects.tolist() if raw[i : i + 2] in self._whole or raw[i : i + 3] in self._whole]
+        at += start[stop - start > _LONGEST].tolist()
+        return sorted(set((np.searchsorted(ends, np.array(at, np.int64), "right")).tolist()))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of a string or binary array; NULL is like an empty text."""
+        texts = texts.fill_null("" if pa.types.is_string(texts.type) else b"").cast(pa.large_binary())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        out: list[bytes] = []
+        i = 0
+        while i < len(texts):
+            j = max(int(np.searchsorted(offsets, offsets[i] + _CHUNK_BYTES, "right")) - 1, i + 1)
+            j = min(j, len(texts))
+            edges = offsets[i : j + 1] - offsets[i]
+            out += self._encode(data[offsets[i] : offsets[j]], edges[:-1], edges[1:])
+            i = j
+        return out
+
+
+class Encoder(PieceCache):
+    """Ids by the tokenizers library."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self._tokenizer = Tokenizer.from_file(path)
-        self.size = self._tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self._known: dict[str, bytes] = {}
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        pieces = [None if _WHOLE.search(t) else _PIECES.findall(t) for t in texts]
-        if len(self._known) > CACHE_PIECES:
-            self._known.clear()
-        known = self._known
-        missing = list(set().union(*(p for p in pieces if p)).difference(known))
-        known.update(zip(missing, self._plain(missing)))
-        whole = iter(self._plain([t for t, p in zip(texts, pieces) if p is None]))
-        return [next(whole) if p is None else b"".join(map(known.__getitem__, p)) for p in pieces]
+        super().__init__(self._tokenizer.get_vocab_size(with_added_tokens=True), _WHOLE)
+
+    def _plain(self, texts: list[bytes]) -> list[list[int]]:
+        decoded = [t.decode("utf-8", "replace") for t in texts]
+        return [e.ids for e in self._tokenizer.encode_batch_fast(decoded, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder per worker and vocabulary file, with its cache."""
+    """One encoder per worker and vocabulary file, with what it knows."""
     return Encoder(path)
