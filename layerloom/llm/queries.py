@@ -12,6 +12,7 @@ from layerloom.llm.forest import nearest
 from layerloom.llm.katz import katz_scores
 from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.packing import pack
+from layerloom.llm.pieces import decode_pieces, encode_pieces
 from layerloom.llm.preference import preference_pairs, with_other_ending
 from layerloom.llm.quality import judged
 from layerloom.llm.rans import read_ids, write_ids
@@ -108,3 +109,16 @@ def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
         spans("chosen_mask"),
         spans("rejected_mask"),
     )
+
+
+@query("op6_pieces")
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as pieces, and whether the pieces give the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = decode_pieces(encode_pieces(docs, model), model)
+    return decoded.join(
+        docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")), "id"
+    ).select(
+        F.col("id").alias("doc_id"), "n_pieces", "ids_crc32", (F.xxhash64("text") == F.col("hash")).alias("round_trip")
+    )
