@@ -30,7 +30,7 @@ class TableConfig:
     file_format: str
     target_file_format: str
     load_type: str
-    primary_key: str
+    primary_key: str  # several columns are separated by commas
     business_key: str
     scd_type: str
     watermark_column: str | None
@@ -114,7 +114,8 @@ SCHEMAS = {
 }
 
 # The default rows of the metadata tables. The table format is
-# ours (parquet), as are the fact's name and the exchange rate dimension.
+# ours (parquet), as are the fact's name and the exchange rate dimension, its key (the
+# pair of currencies) and its watermark column, which says which of two rates is later.
 TABLES = [
     TableConfig("products", FILES, "products", "csv", "parquet", "FULL", "ProductID", "ProductID",
                 TYPE1, None, "products", "products", "products", "product_dim", "Y", 1),
@@ -124,7 +125,7 @@ TABLES = [
     TableConfig("orders", FILES, "orders", "csv", "parquet", "INCREMENTAL", "OrderID", "OrderID",
                 NO_HISTORY, "OrderDate", "orders", "orders", "orders", "fact_sales", "Y", 3),
     TableConfig("exchange_rates", API, "exchange_rates", "json", "parquet", "FULL",
-                "TargetCurrency", "TargetCurrency", NO_HISTORY, None, "exchange_rates",
+                "BaseCurrency,TargetCurrency", "BaseCurrency,TargetCurrency", NO_HISTORY, "RateDate", "exchange_rates",
                 "exchange_rates", "exchange_rates", "exchange_rate_dim", "Y", 4),
 ]
 DATATYPES = [

@@ -52,6 +52,7 @@ class Scope:
 
     schema: T.StructType
     as_of: date
+    now: datetime | None = None
 
     def is_date(self, column: str) -> bool:
         return isinstance(self.schema[column].dataType, T.DateType)
@@ -143,14 +144,18 @@ def _order_total(
 
 @rule("NOT_FUTURE_DATE")
 def _not_future(
-    scope: Scope, column: str, now: datetime | None = None, midnight: bool = True
+    scope: Scope, column: str, now: datetime | str | None = None, midnight: bool = False
 ) -> Column:
-    """Later than the run's date. A timestamp is compared with midnight of that
-    date, so any later hour of the same day counts as future; pass the run's
-    clock as ``now`` with ``midnight=False`` to compare with that instead."""
+    """Later than the run. A date is compared with the run's date, a timestamp
+    with its clock, or with ``now`` (an ISO time) if the rule gives one. With
+    ``midnight`` it is compared with midnight of the run's date, so that any
+    later hour of that day counts as future; so it is where there is no clock."""
+    now = now or scope.now
     if scope.is_date(column) or midnight or now is None:
         return F.col(column) > F.lit(scope.as_of)
-    return F.col(column) > F.lit(now.isoformat(sep=" ")).cast(scope.schema[column].dataType)
+    if isinstance(now, datetime):
+        now = now.isoformat(sep=" ")
+    return F.col(column) > F.lit(now).cast(scope.schema[column].dataType)
 
 
 @rule("VALID_DOB")
@@ -189,7 +194,9 @@ def _unique(
     return F.col(copies) > 1
 
 
-def violation(df: DataFrame, check: Rule, as_of: date) -> Column | None:
+def violation(
+    df: DataFrame, check: Rule, as_of: date, now: datetime | None = None
+) -> Column | None:
     """The violation of one rule on a frame, or None when it cannot apply.
 
     It may be NULL, which counts as passing: ``where``, ``when`` and ``count_if``
@@ -206,7 +213,7 @@ def violation(df: DataFrame, check: Rule, as_of: date) -> Column | None:
     if missing:
         log.warning("rule %s skipped, columns missing: %s", check.label, missing)
         return None
-    return build(Scope(df.schema, as_of), check.column, **check.args)
+    return build(Scope(df.schema, as_of, now), check.column, **check.args)
 
 
 def rule_names() -> list[str]:

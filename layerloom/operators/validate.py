@@ -33,8 +33,8 @@ def with_copies(df: DataFrame, keys: Sequence[str], name: str = "_Copies") -> Da
     return df.join(repeated, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(1)))
 
 
-def _failed_labels(df: DataFrame, rules: Sequence[Rule], as_of: date):
-    found = [(r, violation(df, r, as_of)) for r in rules]
+def _failed_labels(df: DataFrame, rules: Sequence[Rule], run: RunContext):
+    found = [(r, violation(df, r, run.as_of, run.run_ts)) for r in rules]
     labels = [F.when(v, F.lit(r.label)) for r, v in found if v is not None]
     return F.concat_ws(LABEL_SEPARATOR, *labels) if labels else F.lit("")
 
@@ -83,12 +83,12 @@ def mark(
     """
     names = run.columns
     df, rules = _with_all_copies(df, rules)
-    failed = {names.failed_rules: _failed_labels(df, rules, run.as_of)}
+    failed = {names.failed_rules: _failed_labels(df, rules, run)}
     rejecting = names.failed_rules
     if severity_aware:
         rejecting = f"{_TEMPORARY}errors"
         errors = [r for r in rules if r.severity == ERROR]
-        failed[rejecting] = _failed_labels(df, errors, run.as_of)
+        failed[rejecting] = _failed_labels(df, errors, run)
     marked = df.withColumns(failed)
     result = marked.withColumns(
         {names.is_rejected: F.col(rejecting) != "", names.processed_at: run.timestamp()}
@@ -115,8 +115,9 @@ def failure_counts(df: DataFrame, rules: Sequence[Rule], as_of: date, table: str
     """Rows checked and violations, one result row per applicable rule.
 
     A single scan with one partial counter per rule; only the counters, not
-    the rows, are shuffled.
+    the rows, are shuffled. UNIQUE rules count the copies of their keys first.
     """
+    df, rules = _with_all_copies(df, rules)
     found = [(r, violation(df, r, as_of)) for r in rules]
     found = [(r, v) for r, v in found if v is not None]
     if not found:

@@ -10,7 +10,7 @@ from layerloom.metadata import DIM, FACT, TYPE2, TableConfig
 from layerloom.operators import sales, scd
 from layerloom.operators.keys import dense_key
 from layerloom.plans.lake import GOLD, AuditRow, Lake
-from layerloom.plans.silver import valid_rows
+from layerloom.plans.silver import key_columns, valid_rows
 from layerloom.storage import staged
 
 # Surrogate keys of the dimensions and names of the gold tables.
@@ -92,7 +92,7 @@ def load_dimension(lake: Lake, config: TableConfig, name: str, run: RunContext)
     rows = valid_rows(lake, config, run)
     if rows is None:
         return None
-    keyed = dense_key(rows, [config.business_key], SURROGATE_KEYS[name])
+    keyed = dense_key(rows, key_columns(config.business_key), SURROGATE_KEYS[name])
     return lake.write(keyed, GOLD, name, run, table_format=config.target_file_format)
 
 

@@ -34,7 +34,7 @@ def read_source(lake: Lake, config: TableConfig, sources: Sources, run: RunConte
         return jdbc.read_table(lake.spark, config.source_name, sources.jdbc_options, split)
     if config.source_type == API:
         path = f"{sources.folder}/{config.source_name}"
-        return rates.read_answers(lake.spark, path, F.lit(run.as_of))
+        return rates.read_answers(lake.spark, path)
     raise ValueError(f"unknown source type {config.source_type!r}")
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from layerloom.context import RunContext
 from layerloom.metadata import SCHEMAS, Metadata
-from layerloom.operators.evolution import schema_changes
+from layerloom.operators.evolution import schema_changes, widened
 from layerloom.sources.files import CSV, JSON
 
 LANDING, BRONZE, SILVER, GOLD = "landing", "bronze", "silver", "gold"
@@ -90,25 +90,43 @@ class Lake:
                 return None
             raise
 
-    def commits(self, layer: str, table: str) -> list[AuditRow]:
-        """Successful writes of one table, oldest first."""
+    def _successes(self, layer: str, table: str) -> DataFrame | None:
         log = self.audit_log()
         if log is None:
-            return []
-        found = log.where(
+            return None
+        return log.where(
             (F.col("layer") == layer) & (F.col("table_name") == table) & (F.col("status") == SUCCESS)
         )
+
+    def commits(self, layer: str, table: str, since: datetime | None = None) -> list[AuditRow]:
+        """Successful writes of one table after a moment, oldest first."""
+        found = self._successes(layer, table)
+        if found is None:
+            return []
+        if since is not None:
+            found = found.where(F.col("processed_at") > F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
         names = [f.name for f in fields(AuditRow)]
         rows = [AuditRow(*r) for r in found.select(*names).collect()]
         return sorted(rows, key=lambda r: r.processed_at)
 
     def last_commit(self, layer: str, table: str) -> AuditRow | None:
-        return (self.commits(layer, table) or [None])[-1]
+        """One row reaches the driver, however many runs there were."""
+        found = self._successes(layer, table)
+        if found is None:
+            return None
+        names = [f.name for f in fields(AuditRow)]
+        row = found.agg(F.max_by(F.struct(*names), "processed_at").alias("last")).first()["last"]
+        return None if row is None else AuditRow(*row)
+
+    def is_committed(self, layer: str, table: str, batch_id: str) -> bool:
+        found = self._successes(layer, table)
+        return found is not None and bool(found.where(F.col("batch_id") == batch_id).head(1))
 
     def last_mark(self, layer: str, table: str) -> datetime | None:
         """Highest mark committed so far, or the configured first one."""
-        marks = [c.watermark for c in self.commits(layer, table) if c.watermark]
-        return max(marks) if marks else self.metadata.first_mark(table)
+        found = self._successes(layer, table)
+        mark = None if found is None else found.agg(F.max("watermark")).first()[0]
+        return mark or self.metadata.first_mark(table)
 
     def _append_audit(self, row: AuditRow) -> None:
         frame = self.spark.createDataFrame([astuple(row)], AUDIT_SCHEMA).coalesce(1)
@@ -146,12 +164,10 @@ class Lake:
                 schema = T.StructType([T.StructField(n, T.StringType()) for n in schema.names])
             reader = self.spark.read.format(table_format).schema(schema).option("basePath", folder)
             if table_format == CSV:
-                reader = reader.option("header", True)
+                # Values may hold line breaks.
+                reader = reader.option("header", True).option("multiLine", True)
             frames.append(reader.load(paths).drop(BATCH_FOLDER))
-        result = frames[0]
-        for frame in frames[1:]:
-            result = result.unionByName(frame, allowMissingColumns=True)
-        return result
+        return widened(frames)
 
     def read(self, layer: str, table: str) -> DataFrame:
         """The table as of its last successful write."""
@@ -160,6 +176,13 @@ class Lake:
             raise LookupError(f"table {layer}/{table} has not been written")
         return self._load([commit])
 
+    def read_batch(self, layer: str, table: str, batch_id: str) -> DataFrame:
+        """The rows of one committed batch."""
+        found = [c for c in self.commits(layer, table) if c.batch_id == batch_id]
+        if not found:
+            raise LookupError(f"batch {batch_id} of {layer}/{table} has not been written")
+        return self._load(found)
+
     def read_or_none(self, layer: str, table: str) -> DataFrame | None:
         return self.read(layer, table) if self.exists(layer, table) else None
 
@@ -167,9 +190,7 @@ class Lake:
         self, layer: str, table: str, since: datetime | None = None
     ) -> DataFrame | None:
         """Rows of every batch, or of those committed after a moment."""
-        commits = [
-            c for c in self.commits(layer, table) if since is None or c.processed_at > since
-        ]
+        commits = self.commits(layer, table, since)
         return self._load(commits) if commits else None
 
     def write(
@@ -187,7 +208,7 @@ class Lake:
     ) -> AuditRow:
         """Write one batch and commit it. Counts and mark are taken while the
         rows are written, so the table is never read again to count it."""
-        if any(c.batch_id == run.batch_id for c in self.commits(layer, table)):
+        if self.is_committed(layer, table, run.batch_id):
             raise ValueError(f"batch {run.batch_id} of {layer}/{table} is committed already")
         started = _now()
         observed = Observation()

@@ -15,6 +15,10 @@ from layerloom.operators.keys import keep_latest
 from layerloom.operators.validate import flag_uncastable, mark
 from layerloom.plans.lake import BRONZE, SILVER, AuditRow, Lake
 
+def key_columns(keys: str) -> list[str]:
+    return [k.strip() for k in keys.split(",")]
+
+
 OUTCOME = "_Outcome"
 VALID, REJECT = "valid", "reject"
 
@@ -34,14 +38,22 @@ def to_silver(
 
 
 def load_silver(
-    lake: Lake, config: TableConfig, run: RunContext, *, severity_aware: bool = False
+    lake: Lake,
+    config: TableConfig,
+    run: RunContext,
+    *,
+    severity_aware: bool = False,
+    bronze_batch: str | None = None,
 ) -> AuditRow:
-    """Validate the bronze batch and write both outcomes in one pass.
+    """Validate one bronze batch, by default the last, and write both outcomes in one pass.
 
     Only valid rows move the mark: a rejected row with a date far ahead must
     not make later loads skip everything.
     """
-    bronze = lake.read(BRONZE, config.table_name)
+    if bronze_batch is None:
+        bronze = lake.read(BRONZE, config.table_name)
+    else:
+        bronze = lake.read_batch(BRONZE, config.table_name, bronze_batch)
     rows = to_silver(lake, bronze, config, run, severity_aware=severity_aware)
     rejected = F.col(run.columns.is_rejected)
     wm = config.watermark_column
@@ -79,11 +91,11 @@ def valid_rows(
     rows = _outcome(rows, VALID).drop(names.failed_rules)
     order = [config.watermark_column] if config.watermark_column in rows.columns else []
     return keep_latest(
-        rows, [config.primary_key], [*order, names.processed_at, names.record_hash]
+        rows, key_columns(config.primary_key), [*order, names.processed_at, names.record_hash]
     )
 
 
 def rejected_rows(lake: Lake, config: TableConfig) -> DataFrame | None:
-    """Rejected rows of the last batch, with the rules they violated."""
-    rows = lake.read_or_none(SILVER, config.table_name)
+    """Rejected rows of all batches, with the rules they violated."""
+    rows = lake.read_batches(SILVER, config.table_name)
     return None if rows is None else _outcome(rows, REJECT)

@@ -190,6 +190,19 @@ def dq_not_future(spark: SparkSession, sf: str) -> DataFrame:
     return _violations(orders, "o_orderdate", "NOT_FUTURE_DATE")
 
 
+NOON = "2024-01-15 12:00:00"
+
+
+@query(
+    "dq_not_future_clock",
+    f"select event_id, ts from events where ts > timestamp '{NOON}'",
+)
+def dq_not_future_clock(spark: SparkSession, sf: str) -> DataFrame:
+    """Against a moment of the day, as a metadata row gives it."""
+    events = table(spark, sf, "events").select("event_id", "ts")
+    return _violations(events, "ts", "NOT_FUTURE_DATE", now=NOON)
+
+
 @query(
     "dq_dob",
     f"select o_orderkey, o_orderdate from orders where o_orderdate >= date '{AS_OF}'",
@@ -349,6 +362,8 @@ SUMMARY_CHECKS = [
     ("orders", "ShipDate", "SHIP_AFTER_ORDER", "ERROR", "ShipDate < OrderDate"),
     ("orders", "TotalAmount", "VALID_ORDER_TOTAL", "ERROR",
      "abs(TotalAmount - (Quantity * UnitPrice - Discount)) > 1"),
+    ("orders", "ProductID", "UNIQUE", "WARNING",
+     "count(*) over (partition by OrderID, ProductID) > 1"),
     ("products", "ProductID", "NOT_NULL", "ERROR", "ProductID is null"),
     ("products", "ProductName", "NOT_EMPTY", "ERROR", "trim(ProductName) = ''"),
     ("products", "Category", "VALID_CATEGORY", "ERROR",
@@ -367,6 +382,10 @@ SUMMARY_CHECKS = [
 ]
 
 
+# A product that stands in an order more than once.
+REPEATED = [Rule("ProductID", "UNIQUE", WARNING, {"keys": ["OrderID", "ProductID"]})]
+
+
 @query(
     "dq_summary",
     f"""
@@ -378,7 +397,8 @@ SUMMARY_CHECKS = [
     """
     + " union all ".join(
         f"""select '{t}' as table_name, '{c}' as column_name, '{r}' as rule, '{s}' as severity,
-                   count(*) as checked, count(*) filter ({v}) as failed from {t}_rows"""
+                   count(*) as checked, count(*) filter (v) as failed
+            from (select {v} as v from {t}_rows)"""
         for t, c, r, s, v in SUMMARY_CHECKS
     ),
 )
@@ -392,6 +412,7 @@ def dq_summary(spark: SparkSession, sf: str) -> DataFrame:
     }
     result = None
     for name, df in tables.items():
-        counted = failure_counts(df, _default_rules(name), AS_OF, name)
+        rules = _default_rules(name) + (REPEATED if name == "orders" else [])
+        counted = failure_counts(df, rules, AS_OF, name)
         result = counted if result is None else result.unionByName(counted)
     return result

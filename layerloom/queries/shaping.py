@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.functions import columns as cols
-from layerloom.operators.evolution import evolve_union
+from layerloom.operators.evolution import evolve_union, widened
+from layerloom.plans.ingest import to_bronze
 from layerloom.queries.registry import query, run_at, table
 
 RUN = run_at(date(2024, 2, 1), "batch-1")
@@ -35,9 +36,7 @@ def _with_money(df: DataFrame, column: str) -> DataFrame:
     from b""",
 )
 def bronze_customer(spark: SparkSession, sf: str) -> DataFrame:
-    raw = cols.as_strings(_with_money(table(spark, sf, "customer"), "c_acctbal"))
-    stamped = cols.stamp_ingested(cols.sanitize_columns(raw), RUN)
-    hashed = stamped.withColumn("_RecordHash", cols.record_hash(stamped, CUSTOMER_COLUMNS))
+    hashed = to_bronze(_with_money(table(spark, sf, "customer"), "c_acctbal"), RUN)
     return hashed.withColumn("_IngestionTimestamp", F.to_date("_IngestionTimestamp"))
 
 
@@ -152,3 +151,22 @@ def schema_evolution_union(spark: SparkSession, sf: str) -> DataFrame:
         "c_custkey", "c_name", "c_mktsegment", F.col("r_name").alias("region")
     )
     return evolve_union(old, new)
+
+
+@query(
+    "schema_evolution_retyped",
+    """select o_orderkey::varchar as id, o_totalprice::decimal(18,2)::varchar as amount from orders
+       union all
+       select c_name, c_acctbal::decimal(18,2)::varchar from customer
+       union all
+       select p_partkey::varchar, p_size::varchar from part""",
+)
+def schema_evolution_retyped(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches in which a key became text and an amount a whole number."""
+    money = lambda c: F.col(c).cast("decimal(18,2)").alias("amount")
+    batches = [
+        table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), money("o_totalprice")),
+        table(spark, sf, "customer").select(F.col("c_name").alias("id"), money("c_acctbal")),
+        table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("amount")),
+    ]
+    return widened(batches)

@@ -15,8 +15,13 @@ def _strings(columns: Sequence[str]) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line; every column is a string."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """CSV with a header line; every column is a string.
+
+    Columns are taken by position, so all files must have the same header: a
+    file with another one is an error when it is read, not a silent mix-up.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    return reader.option("enforceSchema", False).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -24,7 +24,12 @@ def rate_rows(answers: DataFrame, rate_date: Column) -> DataFrame:
     )
 
 
-def read_answers(spark: SparkSession, path: str, rate_date: Column) -> DataFrame:
-    """Answers saved as JSON files, one object per file."""
+def read_answers(spark: SparkSession, path: str, rate_date: Column | None = None) -> DataFrame:
+    """Answers saved as JSON files, one object per file.
+
+    Rates are of the day on which their answer was saved, unless a date is given.
+    """
     answers = spark.read.schema(ANSWER_SCHEMA).option("multiLine", True).json(path)
+    if rate_date is None:
+        rate_date = F.to_date("_metadata.file_modification_time")
     return rate_rows(answers, rate_date)

@@ -1,15 +1,17 @@
 """Ingest files as they arrive, with Structured Streaming.
 
 Each trigger takes the files that came in since the last one and passes them
-through the same bronze and silver steps as a batch load. The stream's epoch
-names the batch, so an epoch that is replayed after a failure replaces what it
-had begun to write, and one that is committed already is left alone.
+through the same bronze and silver steps as a batch load. The query's id, which
+its checkpoint keeps, and the epoch name the batch, so an epoch that is replayed
+after a failure replaces what it had begun to write, one that is committed
+already is left alone, and another query on the same table has other batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -22,10 +24,6 @@ from layerloom.plans.lake import BRONZE, SILVER, Lake
 from layerloom.plans.silver import load_silver
 
 
-def _committed(lake: Lake, layer: str, table: str, batch_id: str) -> bool:
-    return any(c.batch_id == batch_id for c in lake.commits(layer, table))
-
-
 def ingest_files(
     lake: Lake,
     config: TableConfig,
@@ -35,8 +33,9 @@ def ingest_files(
     checkpoint: str,
     *,
     files_per_trigger: int | None = None,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc).replace(tzinfo=None),
 ) -> StreamingQuery:
-    """Process all files not seen before, then stop.
+    """Process all files not seen before, then stop. Every epoch is stamped by the clock.
 
     ``checkpoint`` must be a folder shared by the cluster and kept between runs.
     """
@@ -48,13 +47,17 @@ def ingest_files(
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
 
     def load(batch: DataFrame, epoch: int) -> None:
-        step = replace(run, batch_id=f"stream-{epoch:012d}")
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        now = clock()
+        step = replace(
+            run, batch_id=f"stream-{query_id}-{epoch:012d}", run_ts=now, as_of=now.date()
+        )
         name = config.table_name
-        if not _committed(lake, BRONZE, name, step.batch_id):
+        if not lake.is_committed(BRONZE, name, step.batch_id):
             bronze = to_bronze(batch, step, business=list(columns))
             lake.write(bronze, BRONZE, name, step, table_format=config.target_file_format)
-        if not _committed(lake, SILVER, name, step.batch_id):
-            load_silver(lake, config, step)
+        if not lake.is_committed(SILVER, name, step.batch_id):
+            load_silver(lake, config, step, bronze_batch=step.batch_id)
 
     return (
         reader.load(folder)

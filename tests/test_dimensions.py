@@ -73,7 +73,7 @@ def test_keep_latest(spark):
     df = spark.createDataFrame(rows, "k int, t int, v string")
     out = keep_latest(df, ["k"], ["t"])
     assert out.columns == df.columns
-    assert sorted((r["k"] or 0, r["v"]) for r in out.collect()) == [(0, "f"), (1, "b"), (2, "d")]
+    assert sorted((r["k"] or 0, r["v"]) for r in out.collect()) == [(0, "e"), (0, "f"), (1, "b"), (2, "d")]
     assert distinct_keys(df, ["k"]).count() == 3
 
 

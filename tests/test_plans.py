@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
+import __spark_entry__  # noqa: F401  registers the queries
 from layerloom.operators.incremental import load_slice
 from layerloom.operators.keys import dense_key, keep_latest
-from layerloom.queries.registry import table
+from layerloom.queries.registry import QUERIES, table
 
 PYTHON_NODES = ("PythonEval", "MapInPandas", "FlatMapGroups", "ArrowEval", "PythonUDF")
 
@@ -15,9 +15,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    plan = plan_of(driver.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     assert not any(node in plan for node in PYTHON_NODES)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "Window" not in plan
@@ -35,10 +35,10 @@ def test_latest_row_is_reduced_before_the_shuffle(spark, sf_dir):
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):
-    plan = plan_of(driver.queries()["dq_positive"](spark, sf_dir))
+    plan = plan_of(QUERIES["dq_positive"](spark, sf_dir))
     assert "LessThanOrEqual(c_acctbal,0.0)" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in plan
-    plan = plan_of(driver.queries()["incremental_slice"](spark, sf_dir))
+    plan = plan_of(QUERIES["incremental_slice"](spark, sf_dir))
     assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts," in plan
 
 
@@ -52,5 +52,5 @@ def test_mark_of_an_incremental_source_reaches_the_scan(spark, tmp_path):
 
 
 def test_summary_adds_up_before_it_joins(spark, sf_dir):
-    plan = plan_of(driver.queries()["sales_summary"](spark, sf_dir))
+    plan = plan_of(QUERIES["sales_summary"](spark, sf_dir))
     assert "partial_sum" in plan.split("Join")[-1]

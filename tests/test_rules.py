@@ -64,6 +64,14 @@ def test_not_future_against_the_clock(spark):
     rule = Rule("c", "NOT_FUTURE_DATE", args={"now": RUN.run_ts, "midnight": False})
     values = [datetime(2024, 5, 1, 8), datetime(2024, 5, 1, 10)]
     assert rejected(spark, values, "timestamp_ntz", rule) == values[1:]
+    # The run's clock counts by itself, midnight if asked for, and a time given as text.
+    df = spark.createDataFrame([(v,) for v in values], "c timestamp_ntz")
+    marked = rejected_rows(mark(df, [Rule("c", "NOT_FUTURE_DATE")], RUN), RUN)
+    assert [r["c"] for r in marked.collect()] == values[1:]
+    midnight = Rule("c", "NOT_FUTURE_DATE", args={"midnight": True})
+    assert rejected(spark, values, "timestamp_ntz", midnight) == values
+    late = Rule("c", "NOT_FUTURE_DATE", args={"now": "2024-05-01 11:00:00"})
+    assert rejected(spark, values, "timestamp_ntz", late) == []
 
 
 def test_allowed_values_are_an_argument(spark):
