@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from layerloom.llm.rows import wrapped
 from layerloom.storage import staged
 
-_SPACES = " \t\n\x0b\x0c\r"
-_SYMBOLS = "#*$%&|<>"
+_SPACES = r"[\x20\x09-\x0D]+"
+_WORD = r"[^\x20\x09-\x0D]"
+_SYMBOL = "[#*$%&|<>]"
 WINDOW_WORDS = 8
 
 #: Fewest words, and largest share of repeated words in percent, whatever the corpus.
@@ -30,6 +31,9 @@ MEASURES = {
 }
 #: Distance from the quartiles that is always allowed, in the units of the measure.
 SLACK = {"symbols": 50, "dup_lines": 100, "repeats": 50, "word_length": 50}
+#: What a text may have beyond its fence whatever its length, counted as the numerator is:
+#: in short texts a few symbols, lines or letters make a large share.
+FREE = {"symbols": 3, "dup_lines": 2, "repeats": 32, "word_length": 25}
 #: Measures that may be too small as well.
 TWO_SIDED = ("word_length",)
 #: Quartile distances allowed beyond a quartile.
@@ -41,7 +45,13 @@ SKETCH_BITS = 6
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    return F.array_remove(F.split(text, _SPACES), "")
+
+
+def _doubled(hashes: str, step: int) -> Column:
+    """Hashes of runs twice as long, from those that start now and ``step`` words later."""
+    later = F.slice(hashes, F.lit(step + 1), F.greatest(F.size(hashes), F.lit(1)))
+    return F.zip_with(hashes, later, lambda a, b: F.xxhash64(a, b))
 
 
 def with_counts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -51,21 +61,17 @@ def with_counts(docs: DataFrame, text_col: str) -> DataFrame:
     step is a column of its own, so that no array is computed twice.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, _SPACES, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(_WORD))
     counted = (
         docs.withColumn("_words", _words(text))
         .withColumn("_lines", lines)
         .withColumn("n_words", F.size("_words").cast("long"))
-        .withColumn("word_chars", F.length(F.translate(text, _SPACES, "")).cast("long"))
-        .withColumn("n_symbols", (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("_words", "")).cast("long"))
+        .withColumn("n_symbols", (F.length(text) - F.length(F.regexp_replace(text, _SYMBOL, ""))).cast("long"))
         .withColumn("n_lines", F.size("_lines").cast("long"))
         .withColumn("n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"))
     )
-    starts = F.sequence(F.lit(1), F.size("_words") - (WINDOW_WORDS - 1))
-    windows = F.when(
-        F.size("_words") >= WINDOW_WORDS,
-        F.transform(starts, lambda i: F.xxhash64(F.slice("_words", i, WINDOW_WORDS))),
-    )
+    windows = F.slice("_hashes8", F.lit(1), F.greatest(F.size("_words") - (WINDOW_WORDS - 1), F.lit(0)))
     # Only texts that repeat a window are sorted.
     placed = F.when(
         F.size(F.array_distinct("_windows")) < F.size("_windows"),
@@ -90,11 +96,14 @@ def with_counts(docs: DataFrame, text_col: str) -> DataFrame:
         lambda a, n: a + n,
     )
     return (
-        counted.withColumn("_windows", windows)
+        counted.withColumn("_hashes2", _doubled("_words", 1))
+        .withColumn("_hashes4", _doubled("_hashes2", 2))
+        .withColumn("_hashes8", _doubled("_hashes4", 4))
+        .withColumn("_windows", windows)
         .withColumn("_placed", placed)
         .withColumn("_repeated", repeated)
         .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
-        .drop("_words", "_lines", "_windows", "_placed", "_repeated")
+        .drop("_words", "_lines", "_hashes2", "_hashes4", "_hashes8", "_windows", "_placed", "_repeated")
     )
 
 
@@ -162,19 +171,15 @@ def thresholds(counts: DataFrame) -> DataFrame:
     fine = staged(sketches(counts, ["lang", "source"]), "sketches")
     by_pair = fences(fine, ["lang", "source"], "pair")
     by_lang = fences(merged(fine, ["lang"]), ["lang"], "lang").withColumnRenamed("lang", "l_lang")
-    one = F.lit(1).alias("one")
-    corpus = fences(merged(fine.select("*", one), ["one"]), ["one"], "all")
-    joined = (
-        by_pair.withColumn("one", F.lit(1))
-        .join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
-        .join(corpus, "one")
-    )
+    # The fences of the corpus are one row.
+    corpus = fences(merged(fine.withColumn("one", F.lit(1)), ["one"]), ["one"], "all").first()
+    joined = by_pair.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
 
     def chosen(bound: str) -> Column:
         return (
             F.when(F.col("pair_docs") >= MIN_DOCS, F.col(f"pair_{bound}"))
             .when(F.col("lang_docs") >= MIN_DOCS, F.col(f"lang_{bound}"))
-            .otherwise(F.col(f"all_{bound}"))
+            .otherwise(F.lit(corpus[f"all_{bound}"] if corpus else None).cast("long"))
             .alias(bound)
         )
 
@@ -188,9 +193,10 @@ def _within(measure: str) -> Column:
     """Whether a measure keeps its fences, without dividing."""
     top, factor, below = MEASURES[measure]
     value, base = F.col(top) * factor, F.greatest(F.col(below), F.lit(1))
-    holds = value <= F.col(f"{measure}_high") * base
+    free = FREE[measure] * factor
+    holds = value <= F.col(f"{measure}_high") * base + free
     if measure in TWO_SIDED:
-        holds = holds & (value >= F.col(f"{measure}_low") * base)
+        holds = holds & (value >= F.col(f"{measure}_low") * base - free)
     return holds
 
 

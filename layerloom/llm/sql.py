@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-# Fences: quartiles of log-linear sketches, 3 quartile distances and a slack beyond them,
+# Fences: quartiles of log-linear sketches, 3 quartile distances and a slack beyond them, and a
+# little that is free in texts of any length,
 # per language and source, or per language or over all documents where there are fewer than 200.
 QUALITY_SQL = r"""
 with words as (
@@ -84,9 +85,9 @@ chosen as (
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and coalesce(
-         n_symbols * 1000 <= f.sym * n_words and n_dup_lines * 1000 <= f.dup * n_lines
-         and n_repeat_words * 1000 <= f.rep * n_words
-         and word_chars * 100 between f.short * n_words and f.long * n_words, false) as kept
+         n_symbols * 1000 <= f.sym * n_words + 3000 and n_dup_lines * 1000 <= f.dup * n_lines + 2000
+         and n_repeat_words * 1000 <= f.rep * n_words + 32000
+         and word_chars * 100 between f.short * n_words - 2500 and f.long * n_words + 2500, false) as kept
 from judged j left join chosen c
   on j.lang is not distinct from c.lang and j.source is not distinct from c.source
 """
