@@ -96,7 +96,8 @@ def fact_sales(spark: SparkSession, sf: str) -> DataFrame:
     with o as ({inputs.ORDER_ROWS_SQL}), c as ({CUSTOMER_HISTORY_SQL}), p as ({PRODUCTS_SQL})
     select {FACT_COLUMNS_SQL}
     from o
-    left join c on o.CustomerID = c.CustomerID and o.OrderDate >= c._StartDate
+    left join (select *, min(_StartDate) over (partition by CustomerID) as first from c) c
+           on o.CustomerID = c.CustomerID and (o.OrderDate >= c._StartDate or c._StartDate = c.first)
                and (c._EndDate is null or o.OrderDate < c._EndDate)
     left join p on o.ProductID = p.ProductID""",
 )
