@@ -164,7 +164,9 @@ def nearest(
     met = by_shard.select(*key, "id", "vector", F.lit(False).alias("asks")).union(
         by_block.select(*key, "id", "vector", F.lit(True).alias("asks"))
     )
-    found = met.groupBy(*key).applyInPandas(
+    # Cells are few and heavy, so they are dealt out whatever their size in bytes.
+    cells = plan.agg(F.sum(F.col("shards").cast("long") * F.col("blocks"))).first()[0] or 1
+    found = met.repartition(2 * cells, *key).groupBy(*key).applyInPandas(
         lambda rows: _nearest(rows[~rows["asks"]], rows[rows["asks"]], k, probed, trees),
         "query_id bigint, vec_id bigint, score double",
     )
