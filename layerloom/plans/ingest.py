@@ -22,7 +22,7 @@ class Sources:
 
     folder: str
     jdbc_options: Mapping[str, str] = field(default_factory=dict)
-    jdbc_splits: Mapping[str, jdbc.Split] = field(default_factory=dict)
+    jdbc_splits: Mapping[str, jdbc.Split | None] = field(default_factory=dict)
 
 
 def read_source(lake: Lake, config: TableConfig, sources: Sources, run: RunContext) -> DataFrame:
@@ -30,7 +30,11 @@ def read_source(lake: Lake, config: TableConfig, sources: Sources, run: RunConte
         path = f"{sources.folder}/{config.source_name}"
         return files.read_files(lake.spark, path, config.file_format)
     if config.source_type == DATABASE:
-        split = sources.jdbc_splits.get(config.table_name)
+        if config.table_name not in sources.jdbc_splits:
+            raise ValueError(
+                f"database table {config.table_name!r} needs a split, or jdbc.ONE_CONNECTION if it is small"
+            )
+        split = sources.jdbc_splits[config.table_name]
         return jdbc.read_table(lake.spark, config.source_name, sources.jdbc_options, split)
     if config.source_type == API:
         path = f"{sources.folder}/{config.source_name}"

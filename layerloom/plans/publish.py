@@ -9,17 +9,16 @@ from pyspark.sql import functions as F
 
 from layerloom.plans.gold import gold_table
 from layerloom.plans.lake import Lake
-from layerloom.sources.jdbc import write_table
 
 Writer = Callable[[DataFrame, str, Mapping[str, str]], None]
 
 
 def publish(
-    lake: Lake, options: Mapping[str, str], writer: Writer = write_table
+    lake: Lake, options: Mapping[str, str], writer: Writer
 ) -> dict[str, int]:
     """Replace the target of every enabled table; rows written per target.
 
-    Rows are counted while they are written.
+    The writer of a database is ``partial(write_table, connections=...)``. Rows are counted while they are written.
     """
     written = {}
     for row in lake.metadata.published():

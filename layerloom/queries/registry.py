@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-@lru_cache(maxsize=None)
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables; files are listed and their schema read once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,24 +26,30 @@ class Split:
         }
 
 
+#: For tables known to be small: the whole table through one connection.
+ONE_CONNECTION = None
+
+
 def read_table(
-    spark: SparkSession, table: str, options: Mapping[str, str], split: Split | None = None
+    spark: SparkSession, table: str, options: Mapping[str, str], split: Split | None
 ) -> DataFrame:
     """Read a table. Filters and column choice reach the database.
 
-    Without a split the whole table comes through one connection; pass one for
-    tables of any size (rows outside the bounds are read too, by the end parts).
+    Rows outside the bounds of the split are read too, by the end parts.
     """
     reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
-    if split:
+    if split is not ONE_CONNECTION:
         reader = reader.options(**split.options())
     return reader.load()
 
 
 def write_table(
-    df: DataFrame, table: str, options: Mapping[str, str], *, connections: int = 8
+    df: DataFrame, table: str, options: Mapping[str, str], *, connections: int
 ) -> None:
-    """Replace the rows of a table, keeping its definition, indexes and grants."""
+    """Replace the rows of a table, keeping its definition, indexes and grants.
+
+    ``connections`` is what the database bears at a time.
+    """
     (
         df.write.format("jdbc")
         .options(**options)

@@ -201,6 +201,6 @@ def test_database_options():
     class Frame:
         write = Recorder()
 
-    jdbc.write_table(Frame, "dbo.fact", {"url": "jdbc:x"})
+    jdbc.write_table(Frame, "dbo.fact", {"url": "jdbc:x"}, connections=8)
     told = Frame.write.told
     assert told["mode"] == "overwrite" and told["truncate"] and told["dbtable"] == "dbo.fact"
