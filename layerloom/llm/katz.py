@@ -30,7 +30,7 @@ from layerloom.llm.words import lower_ascii, mixed, word_hashes
 from layerloom.storage import shared_folder, staged
 
 #: Words from which a block is closed after its document.
-BLOCK_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 20
 #: Counts above this are taken as they are, without discount.
 MOST_DISCOUNTED = 5
 
@@ -105,18 +105,28 @@ def _block(texts: list[list[bytes]], ids: list, held: list[bool], kind: pa.DataT
     inner = np.ones(len(tokens), bool)
     inner[np.cumsum(lengths) - 1] = False
     tokens[inner] = place[np.array(flat, np.int64)]
+    # Frequent words get small numbers, which take less room.
+    often = np.bincount(tokens, minlength=len(keys)).astype("<u4")
+    number = np.empty(len(keys), "<u4")
+    number[_by_frequency(often)] = np.arange(len(keys))
     return pa.RecordBatch.from_arrays(
         [
             pa.array([ids], pa.list_(kind)),
             pa.array([held], pa.list_(pa.bool_())),
             pa.array([lengths.tolist()], pa.list_(pa.int64())),
             pa.array([_packed_keys(keys)], pa.binary()),
-            pa.array([_packed(tokens.astype("<u4"))], pa.binary()),
+            pa.array([_packed(often)], pa.binary()),
+            pa.array([_packed(number[tokens])], pa.binary()),
         ],
-        names=["ids", "held", "lengths", "words", "tokens"],
+        names=["ids", "held", "lengths", "words", "often", "tokens"],
     )
 
 
+def _by_frequency(often: np.ndarray) -> np.ndarray:
+    """Places of words, the most frequent first."""
+    return np.argsort(-often.astype(np.int64), kind="stable")
+
+
 class _Texts:
     """A block taken apart: its tokens and pairs as places among its distinct ones."""
 
@@ -124,7 +134,7 @@ class _Texts:
         self.ids, self.held = row["ids"], np.array(row["held"], bool)
         self.lengths = np.array(row["lengths"], np.int64)
         self.words = _unpacked_keys(row["words"])
-        self.tokens = _unpacked(row["tokens"], "<u4").astype(np.int64)
+        self.tokens = _by_frequency(_unpacked(row["often"], "<u4"))[_unpacked(row["tokens"], "<u4")]
         self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
         self.before = np.empty_like(self.tokens)
         self.before[1:] = self.tokens[:-1]
@@ -397,7 +407,7 @@ def katz_scores(
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     blocks = staged(
         rows.mapInArrow(
-            _blocks, f"ids array<{kind}>, held array<boolean>, lengths array<bigint>, words binary, tokens binary"
+            _blocks, f"ids array<{kind}>, held array<boolean>, lengths array<bigint>, words binary, often binary, tokens binary"
         ).withColumn("block", F.monotonically_increasing_id()),
         "texts",
     )
