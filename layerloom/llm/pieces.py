@@ -14,6 +14,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 from layerloom.llm.tokens import PieceCache
 
 SPACE = "▁"  # stands for a space
+_ROWS = 1_000  # documents whose ids are held at a time
+_MATCHED = 1 << 14  # units that are indexed at a time
 
 
 class PieceModel:
@@ -154,22 +157,28 @@ def _ranges(codes: np.ndarray, pieces: np.ndarray, lengths: np.ndarray) -> tuple
         rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)[1]
         width *= 2
     suffixes = np.argsort(rank[: len(codes)], kind="stable")
-    bounds = []
-    for fill in (0, np.iinfo(np.int32).max):  # the least and the greatest text with a prefix
+    # Where the first character is missing there is nothing to search for.
+    initial = codes[suffixes]
+    begin = np.searchsorted(initial, pieces[:, 0], "left")
+    end = np.searchsorted(initial, pieces[:, 0], "right")
+    some = np.flatnonzero(begin < end)
+    pieces, lengths = pieces[some], lengths[some]
+    row = np.arange(len(some))
+    bounds = [begin.copy(), begin.copy()]
+    for bound, fill in zip(bounds, (0, np.iinfo(np.int32).max)):  # the least and the greatest text with a prefix
         wanted = np.where(np.arange(depth) < lengths[:, None], pieces, fill)
-        low, high = np.zeros(len(pieces), np.int64), np.full(len(pieces), len(codes))
+        low, high = begin[some], end[some]
         while (low < high).any():
             middle = (low + high) // 2
-            text = padded[np.minimum(suffixes[np.minimum(middle, len(codes) - 1)][:, None] + np.arange(depth), len(padded) - 1)]
+            text = padded[suffixes[np.minimum(middle, len(codes) - 1)][:, None] + np.arange(depth)]
             unequal = text != wanted
             at = unequal.argmax(axis=1)
-            row = np.arange(len(pieces))
             # The end of a range lies behind a text that equals the piece.
-            less = np.where(unequal.any(axis=1), text[row, at] < wanted[row, at], fill > 0)
+            less = np.where(unequal[row, at], text[row, at] < wanted[row, at], fill > 0)
             open_ = low < high
             low = np.where(open_ & less, middle + 1, low)
             high = np.where(open_ & ~less, middle, high)
-        bounds.append(low)
+        bound[some] = low
     return suffixes, bounds[0], bounds[1]
 
 
@@ -183,6 +192,9 @@ class PieceEncoder(PieceCache):
         # The sign for a space may stand in a text and belong to a run of spaces.
         super().__init__(len(m.bytes_of), {SPACE.encode()})
         self._code = {c: i + 1 for i, c in enumerate(m.letters)}  # 0 ends a unit
+        self._code_of_point = np.zeros(ord(m.letters[-1]) + 1 if m.letters else 1, np.int64)
+        for c, i in self._code.items():
+            self._code_of_point[ord(c)] = i
         table = np.zeros((len(m.pieces), m.longest), np.int64)
         for k, p in enumerate(m.pieces):
             table[k, : len(p)] = [self._code[c] for c in p]
@@ -215,11 +227,12 @@ class PieceEncoder(PieceCache):
             at = np.searchsorted(known, distinct)
         return ok[at][place]
 
-    def _match(self, units: list[str]) -> list[np.ndarray]:
+    def _match(self, units: list[str]) -> list[list[int]]:
         """Ids of units made of letters of the model."""
         m = self.model
         sizes = np.fromiter(map(len, units), np.int64, len(units))
-        codes = np.fromiter((self._code[c] for c in "".join(units)), np.int64, int(sizes.sum()))
+        points = np.frombuffer("".join(units).encode("utf-32-le"), "<u4")
+        codes = self._code_of_point[points]
         # Every unit is closed by a 0, which no piece holds.
         unit = np.repeat(np.arange(len(units)), sizes)
         text = np.zeros(len(codes) + len(units), np.int64)
@@ -239,7 +252,8 @@ class PieceEncoder(PieceCache):
         stop = start + np.concatenate([self._lengths[piece], np.ones(len(lone), np.int64)])
         unit_at = np.searchsorted(begin, start, "right") - 1
         stop_in = stop - begin[unit_at]
-        order = np.argsort(stop_in, kind="stable")
+        # Small numbers are sorted by their digits.
+        order = np.argsort(stop_in.astype(np.uint16) if stop_in.max() < 1 << 16 else stop_in, kind="stable")
         start, stop, symbol, stop_in = start[order], stop[order], symbol[order], stop_in[order]
         unit_first = begin[unit_at][order] == start
         last = np.full(len(text) + 1, -1, np.int64)  # symbol of the path that ends here
@@ -254,40 +268,42 @@ class PieceEncoder(PieceCache):
             last[stop[take]], came[stop[take]] = symbol[take], start[take]
         return self._paths(units, begin, sizes, last, came)
 
-    def _paths(self, units, begin, sizes, last, came) -> list[np.ndarray]:
+    def _paths(self, units, begin, sizes, last, came) -> list[list[int]]:
         """Follow the paths back from the ends of all units at once."""
         m = self.model
         steps: list[tuple[np.ndarray, np.ndarray]] = []
+        count = np.zeros(len(units), np.int64)
         which, at = np.arange(len(units)), begin + sizes
         while len(which):
             steps.append((which, last[at]))
+            count[which] += 1
             at = came[at]
             more = at > begin[which]
             which, at = which[more], at[more]
-        unit = np.concatenate([w for w, _ in steps[::-1]])
-        symbol = np.concatenate([s for _, s in steps[::-1]])
-        order = np.argsort(unit, kind="stable")
-        unit, symbol = unit[order], symbol[order]
-        edges = np.searchsorted(unit, np.arange(len(units) + 1))
-        out = []
-        for u, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
-            part = symbol[a:b]
-            if (part < len(m.pieces)).all():
-                out.append(m.ids[part].astype("<u4"))
-            else:  # letters of pieces that are no pieces themselves
-                ids: list[int] = []
-                for s in part.tolist():
-                    ids += [int(m.ids[s])] if s < len(m.pieces) else self._fallback(m.letters[s - len(m.pieces)])
-                out.append(np.array(ids, "<u4"))
+        ends = np.cumsum(count)
+        symbols = np.empty(int(ends[-1]), np.int64)
+        for k, (which, symbol) in enumerate(steps):
+            symbols[ends[which] - 1 - k] = symbol
+        lone = symbols >= len(m.pieces)  # letters of pieces that are no pieces themselves
+        ids = m.ids[np.where(lone, 0, symbols)].tolist()
+        edges = [0, *ends.tolist()]
+        out = [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        for u in np.unique(np.searchsorted(ends, np.flatnonzero(lone), "right")).tolist():
+            out[u] = []
+            for s in symbols[edges[u] : edges[u + 1]].tolist():
+                out[u] += [int(m.ids[s])] if s < len(m.pieces) else self._fallback(m.letters[s - len(m.pieces)])
         return out
 
-    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
+    def _plain(self, texts: list[bytes]) -> list[list[int]]:
         units = [self._units.findall(t.decode("utf-8", "replace").replace(" ", SPACE)) for t in texts]
         distinct = sorted(set().union(*units))
         plain = [u for u in distinct if u[0] in self._code]
-        known = dict(zip(plain, self._match(plain))) if plain else {}
-        known.update((u, np.array(self._fallback(u), "<u4")) for u in distinct if u[0] not in self._code)
-        return [np.concatenate([known[u] for u in us]) if us else np.zeros(0, "<u4") for us in units]
+        known: dict[str, list[int]] = {}
+        for i in range(0, len(plain), _MATCHED):
+            some = plain[i : i + _MATCHED]
+            known.update(zip(some, self._match(some)))
+        known.update((u, self._fallback(u)) for u in distinct if u[0] not in self._code)
+        return [known[us[0]] if len(us) == 1 else list(chain.from_iterable(known[u] for u in us)) for us in units]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text; the model puts a space before a text that is not empty."""
@@ -320,16 +336,18 @@ def encode_pieces(
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in batches:
-            ids = [np.frombuffer(x, enc.dtype).astype("<u4").tobytes() for x in enc.encode(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                names=["id", "n_pieces", "ids_crc32", "ids"],
-            )
+            for i in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(i, _ROWS)
+                ids = [np.frombuffer(x, enc.dtype).astype("<u4").tobytes() for x in enc.encode(part.column(1))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    names=["id", "n_pieces", "ids_crc32", "ids"],
+                )
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(rows.dtypes)["id"]
@@ -342,10 +360,13 @@ def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(model)
         for batch in batches:
-            texts = [None if x is None else enc.decode(np.frombuffer(x, "<u4")) for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "text"]
-            )
+            for i in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(i, _ROWS)
+                ids = part.column("ids").to_pylist()
+                texts = [None if x is None else enc.decode(np.frombuffer(x, "<u4")) for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "text"]
+                )
 
     kind = ", ".join(f"{c} {t}" for c, t in encoded.dtypes)
     return encoded.mapInArrow(kernel, f"{kind}, text string")

@@ -20,7 +20,7 @@ from layerloom.llm.registry import query, table
 from layerloom.llm.simhash import near_duplicates
 from layerloom.llm.sql import PREFERENCE_SQL, QUALITY_SQL
 from layerloom.llm.substring import remove_repeats
-from layerloom.storage import shared_folder
+from layerloom.storage import shared_folder, staged
 
 
 @query("op7_simhash")
@@ -116,9 +116,9 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as pieces, and whether the pieces give the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = decode_pieces(encode_pieces(docs, model), model)
-    return decoded.join(
-        docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash")), "id"
-    ).select(
-        F.col("id").alias("doc_id"), "n_pieces", "ids_crc32", (F.xxhash64("text") == F.col("hash")).alias("round_trip")
+    encoded = staged(encode_pieces(docs, model), "pieces", compression="zstd")
+    decoded = decode_pieces(encoded, model).select("id", "n_pieces", "ids_crc32", F.xxhash64("text").alias("back"))
+    given = docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    return decoded.join(given, "id").select(
+        F.col("id").alias("doc_id"), "n_pieces", "ids_crc32", (F.col("back") == F.col("hash")).alias("round_trip")
     )
