@@ -12,8 +12,9 @@ ADDED, MISSING, RETYPED = "ADDED", "MISSING", "RETYPED"
 
 
 def evolve_union(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Union by name; a column only one side has is NULL on the other."""
-    return old.unionByName(new, allowMissingColumns=True)
+    """Union by name; a column only one side has is NULL on the other, and one
+    whose type changed gets a type that holds both."""
+    return widened([old, new])
 
 
 # Types of which each holds all values of those before it.
@@ -49,7 +50,7 @@ def widened(frames: Sequence[DataFrame]) -> DataFrame:
     for frame in frames:
         changed = {f.name: F.col(f.name).cast(target[f.name]) for f in frame.schema.fields if f.dataType != target[f.name]}
         frame = frame.withColumns(changed) if changed else frame
-        result = frame if result is None else evolve_union(result, frame)
+        result = frame if result is None else result.unionByName(frame, allowMissingColumns=True)
     return result
 
 

@@ -145,3 +145,5 @@ def test_schema_difference_and_union(spark):
     both = evolve_union(old, new).orderBy("id").collect()
     assert [tuple(r) for r in both] == [(1, "a", None), (2, None, 3.0)]
     assert schema_difference(old, old).count() == 0
+    text = evolve_union(old, spark.createDataFrame([("x",)], "id string"))
+    assert sorted(r["id"] for r in text.collect()) == ["1", "x"]
