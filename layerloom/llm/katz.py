@@ -127,6 +127,12 @@ def _by_frequency(often: np.ndarray) -> np.ndarray:
     return np.argsort(-often.astype(np.int64), kind="stable")
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch; they are large, so only one at a time is turned into objects."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class _Texts:
     """A block taken apart: its tokens and pairs as places among its distinct ones."""
 
@@ -158,7 +164,7 @@ def _ask(parts: int):
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 texts = _Texts(row)
                 out = []
                 for level, keys, places in ((1, texts.words, texts.tokens), (2, texts.pairs, texts.pair)):
@@ -281,7 +287,7 @@ def _score(model: Model, parts: int, names: list[str], schema: pa.Schema):
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 t = _Texts(row)
                 counts = _answers(row["answers"], 1, len(t.words)) >> 1
                 pairs = _answers(row["answers"], 2, len(t.pairs))
@@ -351,7 +357,7 @@ def _weights(rows: pd.DataFrame) -> pd.DataFrame:
 def _finish(kind: pa.DataType):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 parts = sorted((r["part"], r["data"]) for r in row["weights"] or [])
                 logs = np.concatenate([_unpacked(d, "<f8") for _, d in parts] or [np.zeros(0)])
                 assert len(logs) == 2 * row["part"]
