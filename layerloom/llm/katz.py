@@ -16,6 +16,7 @@ block wherever it stands. Keys are 64-bit hashes.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -75,36 +76,52 @@ def _slices(keys: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, int, int
 # Blocks of texts
 
 
+class _Open:
+    """A block that still takes texts; of its words it keeps the distinct ones and a number each."""
+
+    def __init__(self, kind: pa.DataType):
+        self.kind = kind
+        self.numbers: dict[bytes, int] = {}
+        self.flat = array("I")
+        self.lengths: list[int] = []
+        self.ids: list[object] = []
+        self.held: list[bool] = []
+
+    def add(self, i: object, held: bool, text: bytes) -> None:
+        words, number = lower_ascii(text).split(), self.numbers.setdefault
+        self.flat.extend([number(w, len(self.numbers)) for w in words])
+        self.lengths.append(len(words) + 1)
+        self.ids.append(i)
+        self.held.append(held)
+
+    def size(self) -> int:
+        return len(self.flat) + len(self.lengths)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    texts: list[list[bytes]] = []
-    ids: list[object] = []
-    held: list[bool] = []
-    size = 0
+    block = None
     for batch in batches:
-        kind = batch.schema.field("id").type
         columns = [batch.column(c) for c in ("id", "held", "text")]
         for i, h, text in zip(*columns):
-            texts.append(lower_ascii(text.as_py() or b"").split())
-            ids.append(i.as_py())
-            held.append(h.as_py())
-            size += len(texts[-1]) + 1
-            if size >= BLOCK_WORDS:
-                yield _block(texts, ids, held, kind)
-                texts, ids, held, size = [], [], [], 0
-    if texts:
-        yield _block(texts, ids, held, kind)
-
-
-def _block(texts: list[list[bytes]], ids: list, held: list[bool], kind: pa.DataType) -> pa.RecordBatch:
-    numbers: dict[bytes, int] = {}
-    flat = [numbers.setdefault(w, len(numbers)) for words in texts for w in words]
-    keys = np.append(word_hashes(list(numbers)), [_START, _END])
+            block = block or _Open(batch.schema.field("id").type)
+            block.add(i.as_py(), h.as_py(), text.as_py() or b"")
+            if block.size() >= BLOCK_WORDS:
+                yield _closed(block)
+                block = None
+    if block:
+        yield _closed(block)
+
+
+def _closed(block: _Open) -> pa.RecordBatch:
+    ids, held, kind = block.ids, block.held, block.kind
+    keys = np.append(word_hashes(list(block.numbers)), [_START, _END])
     keys, place = np.unique(keys, return_inverse=True)
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
-    tokens = np.full(int(lengths.sum()), place[-1], np.uint32)
+    place = place.astype("<u4")
+    lengths = np.array(block.lengths, np.int64)
+    tokens = np.full(int(lengths.sum()), place[-1], "<u4")
     inner = np.ones(len(tokens), bool)
     inner[np.cumsum(lengths) - 1] = False
-    tokens[inner] = place[np.array(flat, np.int64)]
+    tokens[inner] = place[np.frombuffer(block.flat, np.uint32)]
     # Frequent words get small numbers, which take less room.
     often = np.bincount(tokens, minlength=len(keys)).astype("<u4")
     number = np.empty(len(keys), "<u4")
@@ -140,14 +157,24 @@ class _Texts:
         self.ids, self.held = row["ids"], np.array(row["held"], bool)
         self.lengths = np.array(row["lengths"], np.int64)
         self.words = _unpacked_keys(row["words"])
-        self.tokens = _by_frequency(_unpacked(row["often"], "<u4"))[_unpacked(row["tokens"], "<u4")]
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        order = _by_frequency(_unpacked(row["often"], "<u4")).astype(np.int32)
+        self.tokens = order[_unpacked(row["tokens"], "<u4")]
+        self.doc = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
         self.before = np.empty_like(self.tokens)
         self.before[1:] = self.tokens[:-1]
         self.before[np.cumsum(self.lengths) - self.lengths] = np.searchsorted(self.words, _START)
+        keys = self.words[self.before]
         with np.errstate(over="ignore"):
-            keys = mixed(self.words[self.before] * _PAIR + self.words[self.tokens])
-        self.pairs, self.first, self.pair = np.unique(keys, return_index=True, return_inverse=True)
+            keys *= _PAIR
+            keys += self.words[self.tokens]
+            keys = mixed(keys)
+        # Distinct pairs, a place of each, and the pair at every place.
+        places = np.argsort(keys)
+        keys = keys[places]
+        starts = np.append(True, keys[1:] != keys[:-1])
+        self.pairs, self.first = keys[starts], places[starts].astype(np.int32)
+        self.pair = np.empty(len(keys), np.int32)
+        self.pair[places] = np.cumsum(starts, dtype=np.int32) - 1
 
     def learnt(self, places: np.ndarray, n: int) -> np.ndarray:
         """How often each distinct token or pair occurs in the texts to learn from."""
@@ -320,7 +347,8 @@ def _score(model: Model, parts: int, names: list[str], schema: pa.Schema):
                     out.append(("need", part, row["block"], _packed_keys(t.words[need[a:b]]), None, *[None] * 6))
                 # Which divisor (even) or backoff weight (odd) each token adds, by place among the needed.
                 uses = np.searchsorted(need, t.before[asks]) * 2 + ~seen[asks]
-                which, often = np.unique(t.doc[asks] * (2 * len(need) + 2) + uses, return_counts=True)
+                uses += t.doc[asks].astype(np.int64) * (2 * len(need) + 2)
+                which, often = np.unique(uses, return_counts=True)
                 data = _packed(np.stack([which, often], axis=1).astype("<i8").reshape(-1))
                 docs = len(t.lengths)
                 summed = [np.bincount(t.doc, x, docs) for x in (model.base(counts)[t.tokens], score)]
@@ -393,7 +421,7 @@ def katz_scores(
     Texts are lower-cased (A-Z) words, closed by an end token. The model learns
     from the documents that are not held out and scores all, in log10. The count
     tables of both levels and the backoff weights are written to ``tables`` in
-    ``parts`` parts of the key space (by default the shuffle width).
+    ``parts`` parts of the key space (by default twice the shuffle width).
 
     - NULL and empty texts are the end token alone.
     - A NULL ``held_out`` counts as held out.
@@ -403,7 +431,7 @@ def katz_scores(
     """
     spark = docs.sparkSession
     tables = tables or f"{shared_folder(spark)}/katz-{uuid.uuid4().hex}"
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(held_out, F.lit(True)).alias("held"),

@@ -28,10 +28,11 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers, one to one."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _powers(base: int, n: int) -> np.ndarray:
