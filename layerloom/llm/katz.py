@@ -407,6 +407,16 @@ def _finish(kind: pa.DataType):
     return kernel
 
 
+def _bucketed(blocks: DataFrame) -> DataFrame:
+    """Write blocks down in buckets by number: answers are brought to them, the texts stay where they are."""
+    spark = blocks.sparkSession
+    name = f"texts_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{shared_folder(spark)}/{name}"
+    blocks.write.bucketBy(buckets, "block").saveAsTable(name, format="parquet", path=path)
+    return spark.table(name)
+
+
 def katz_scores(
     docs: DataFrame,
     held_out: Column,
@@ -439,11 +449,10 @@ def katz_scores(
     )
     kind = dict(rows.dtypes)["id"]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    blocks = staged(
+    blocks = _bucketed(
         rows.mapInArrow(
             _blocks, f"ids array<{kind}>, held array<boolean>, lengths array<bigint>, words binary, often binary, tokens binary"
-        ).withColumn("block", F.monotonically_increasing_id()),
-        "texts",
+        ).withColumn("block", F.monotonically_increasing_id())
     )
 
     counted = f"{tables}/counts"
