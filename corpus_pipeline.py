@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from layerloom.llm.langid import UNDECIDED, learnt_from, predict
 from layerloom.llm.packing import pack
 from layerloom.llm.quality import judged
+from layerloom.llm.registry import import_on_workers
 from layerloom.llm.simhash import without_near_duplicates
 from layerloom.llm.substring import remove_repeats
 from layerloom.storage import staged
@@ -72,6 +73,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import_on_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
