@@ -20,14 +20,19 @@ EMBEDDING = 8
 WINDOW = 128  # bytes that the network sees at a time
 STEP = WINDOW - max(WIDTHS) + 1  # windows overlap so that no run of bytes is cut
 
-#: Bounds of the labelled sample: languages, documents of each, and windows of a document.
-MAX_LANGUAGES = 64
+#: Bounds of the labelled sample: documents of a language, and windows of a document.
 DOCS_PER_LANGUAGE = 256
 WINDOWS_PER_DOC = 8
+#: Training steps, at least and for each language.
+STEPS, STEPS_PER_LANGUAGE = 250, 25
 
 UNDECIDED = "und"
 _LETTER = regex.compile(r"\p{L}")
+#: The same in Spark, whose older character tables leave letters of young scripts unassigned.
+_LETTERS = r"\p{L}\p{Cn}"
 _BATCH_WINDOWS = 1024
+#: Characters of the sample's texts in all, shared out evenly, and of one text at most and at least.
+_SAMPLE_CHARS, _MOST_CHARS, _LEAST_CHARS = 1 << 26, 1 << 16, WINDOW * WINDOWS_PER_DOC
 
 
 @dataclass(frozen=True)
@@ -84,15 +89,20 @@ def probabilities(network: Network, windows: np.ndarray, pairs: list[np.ndarray]
     return np.concatenate(parts)
 
 
-def train(texts: list[tuple[str, str]], *, steps: int = 250, batch: int = 128, seed: int = 7) -> Network | None:
+def train(
+    texts: list[tuple[str, str]], *, steps: int | None = None, batch: int = 128, seed: int = 7
+) -> Network | None:
     """Fit the network with Adam on (language, text) pairs; None without any.
 
     Half of the windows are cut to a random length, so that short texts are learnt too.
+    Steps grow with the number of languages, so that each is seen as often among many.
     """
     texts = sorted(t for t in texts if _LETTER.search(t[1]))
     languages = tuple(sorted({lang for lang, _ in texts}))
     if not languages:
         return None
+    steps = max(STEPS, STEPS_PER_LANGUAGE * len(languages)) if steps is None else steps
+    number = {lang: k for k, lang in enumerate(languages)}
     rng = np.random.default_rng(seed)
     samples, labels = [], []
     for lang, text in texts:
@@ -100,7 +110,7 @@ def train(texts: list[tuple[str, str]], *, steps: int = 250, batch: int = 128, s
         if len(found) > WINDOWS_PER_DOC:
             found = found[np.sort(rng.choice(len(found), WINDOWS_PER_DOC, replace=False))]
         samples.append(found)
-        labels += [languages.index(lang)] * len(found)
+        labels += [number[lang]] * len(found)
     x, y = np.concatenate(samples), np.array(labels)
     of_language = [np.flatnonzero(y == k) for k in range(len(languages))]
 
@@ -153,34 +163,33 @@ def train(texts: list[tuple[str, str]], *, steps: int = 250, batch: int = 128, s
 def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, str]]:
     """(language, text) of about ``DOCS_PER_LANGUAGE`` documents of each language.
 
-    Documents are taken by a hash of their id, at the rate that their language
-    asks for. Of more than ``MAX_LANGUAGES`` languages the most frequent are learnt.
+    Every language that has a text with a letter is in the sample. Documents are
+    taken by a hash of their id and text, at the rate that their language asks
+    for, and the one with the smallest hash always; equal ones are taken once.
     """
-    labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = (
-        labelled.groupBy(F.col(lang_col).alias("lang"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
+    letter = F.col(text_col).rlike(f"[{_LETTERS}]")
+    scale = 1 << 30
+    share = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_col), F.lit(scale))
+    labelled = docs.filter(F.col(lang_col).isNotNull() & letter).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), share.alias("share")
     )
+    counts = labelled.groupBy("lang").agg(F.approx_count_distinct("share").alias("n"), F.min("share").alias("first")).collect()
     if not counts:
         return []
-    scale = 1 << 30
-    share = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.length(text_col)), F.lit(scale))
-    taken = F.lit(False)
-    for r in counts:
-        # A quarter more than wanted; the surplus is cut below.
-        rate = min(scale, math.ceil(1.25 * DOCS_PER_LANGUAGE / r.n * scale))
-        taken = taken | ((F.col(lang_col) == r.lang) & (share < rate))
-    # Windows are drawn at random from the text, of which so much is read.
-    most = 64 * 1024
-    at = F.greatest(F.length(text_col) - most, F.lit(0))
-    piece = F.substring(F.col(text_col), F.pmod(share, at + 1).cast("int") + 1, F.lit(most))
-    rows = labelled.filter(taken).select(F.col(lang_col).alias("lang"), share.alias("share"), piece.alias("text"))
-    rows = sorted((r.lang, r.share, r.text) for r in rows.orderBy("share").limit(2 * DOCS_PER_LANGUAGE * len(counts)).collect())
+    # A quarter more than wanted; the surplus is cut below.
+    wanted = math.ceil(1.25 * DOCS_PER_LANGUAGE)
+    below = [max(r["first"] + 1, min(scale, math.ceil(wanted / r.n * scale))) for r in counts]
+    rates = F.map_from_arrays(F.lit([r.lang for r in counts]), F.lit(below).cast("array<bigint>"))
+    # Windows are drawn at random from the text, of which so much is read, from the first letter if need be.
+    most = min(_MOST_CHARS, max(_LEAST_CHARS, _SAMPLE_CHARS // (wanted * len(counts))))
+    at = F.greatest(F.length("text") - most, F.lit(0))
+    piece = F.substring("text", F.pmod("share", at + 1).cast("int") + 1, F.lit(most))
+    lettered = F.substring("text", F.length(F.regexp_extract("text", f"^[^{_LETTERS}]*+", 0)) + 1, F.lit(most))
+    taken = labelled.filter(F.col("share") < F.element_at(rates, F.col("lang")))
+    drawn = taken.select("lang", "share", F.when(piece.rlike(f"[{_LETTERS}]"), piece).otherwise(lettered).alias("text"))
+    once = drawn.groupBy("lang", "share").agg(F.min("text").alias("text"))
     out, n = [], {}
-    for lang, _, text in rows:
+    for lang, _, text in sorted((r.lang, r.share, r.text) for r in once.collect()):
         n[lang] = n.get(lang, 0) + 1
         if n[lang] <= DOCS_PER_LANGUAGE:
             out.append((lang, text))
@@ -234,7 +243,8 @@ def predict(
 ) -> DataFrame:
     """doc (a struct of the columns), lang_pred and score of every document.
 
-    The network is trained on a bounded sample of ``learn``. Every window of the
+    The network is trained on a sample of ``learn``, bounded for each language, and
+    tells apart all its languages that have a text with a letter. Every window of the
     whole text is scored; the language with the largest mean probability wins,
     and that mean is the score.
 

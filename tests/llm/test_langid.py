@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -83,6 +84,34 @@ def test_edge_cases(spark):
             assert r.lang_pred == "aa"
 
 
+def test_every_language_is_learnt(spark):
+    """More languages than once had an output, one of them seen once, late in a long text and among repeated rows."""
+    rng = random.Random(6)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    sounds = {f"l{k:02}": ["".join(rng.choices(letters, k=3)) for _ in range(6)] for k in range(80)}
+    rows = []
+    for lang, own in sounds.items():
+        for _ in range(12 if lang != "l79" else 6):
+            rows.append((len(rows), " ".join("".join(rng.choices(own, k=3)) for _ in range(60)), lang))
+    rows += [(i, "12 ²½ !? " * 3, "none") for i in range(5000, 5010)]
+    rows += [(6000, "1 2 3 " * 40_000 + "что это", "late")] + [(None, "7 8 9 !", "late")] * 2000
+    rows += [(None, "ßöüß ßüö", "copies")] * 1000
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sample = langid.labelled_sample(docs, "doc_id", "text", "lang")
+    assert {lang for lang, _ in sample} == {*sounds, "late", "copies"}
+    assert all(langid._LETTER.search(text) for _, text in sample)
+    assert [text for lang, text in sample if lang == "copies"] == ["ßöüß ßüö"]
+    clean = docs.filter(F.col("lang").startswith("l") & (F.col("lang") != "late"))
+    out = langid.predict(clean, docs).collect()
+    assert np.mean([r.doc.lang == r.lang_pred and r.score >= 0.4 for r in out]) >= 0.97
+
+
+def test_sample_is_bounded_for_each_language(spark):
+    docs = spark.createDataFrame([(i, f"kalo {i}", "aa" if i % 50 else "bb") for i in range(4000)], SCHEMA)
+    n = Counter(lang for lang, _ in langid.labelled_sample(docs, "doc_id", "text", "lang"))
+    assert 200 <= n["aa"] <= langid.DOCS_PER_LANGUAGE and n["bb"] == 80
+
+
 @pytest.mark.parametrize("rows", [[], [(1, "kalo", None)]])
 def test_nothing_to_learn_from(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA)
