@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -323,14 +323,14 @@ def encoder(path: str) -> PieceEncoder:
 
 
 def encode_pieces(
-    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", *, carried: Sequence[str] = ()
 ) -> DataFrame:
     """(id, n_pieces, ids_crc32, ids) of every document; ids are little-endian u32.
 
     - NULL and empty texts have no pieces.
     - Characters that are in no piece become their bytes, or the unknown piece.
     - Repeated rows and ids are encoded one by one; an empty table gives an empty
-      result; further columns are ignored.
+      result; further columns are ignored, but for ``carried`` ones, which follow the others.
     """
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,13 +345,15 @@ def encode_pieces(
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array([zlib.crc32(x) for x in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
+                        *part.columns[2:],
                     ],
-                    names=["id", "n_pieces", "ids_crc32", "ids"],
+                    names=["id", "n_pieces", "ids_crc32", "ids", *carried],
                 )
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = dict(rows.dtypes)["id"]
-    return rows.mapInArrow(kernel, f"id {kind}, n_pieces bigint, ids_crc32 bigint, ids binary")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *carried)
+    (_, kind), _, *others = rows.dtypes
+    schema = [f"id {kind}", "n_pieces bigint", "ids_crc32 bigint", "ids binary", *[f"`{c}` {t}" for c, t in others]]
+    return rows.mapInArrow(kernel, ", ".join(schema))
 
 
 def decode_pieces(encoded: DataFrame, model: str) -> DataFrame:

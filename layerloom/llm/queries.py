@@ -115,10 +115,10 @@ def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as pieces, and whether the pieces give the text back."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = staged(encode_pieces(docs, model), "pieces", compression="zstd")
-    decoded = decode_pieces(encoded, model).select("id", "n_pieces", "ids_crc32", F.xxhash64("text").alias("back"))
-    given = docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
-    return decoded.join(given, "id").select(
-        F.col("id").alias("doc_id"), "n_pieces", "ids_crc32", (F.col("back") == F.col("hash")).alias("round_trip")
+    given = F.xxhash64(F.coalesce("text", F.lit("")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", given.alias("given"))
+    # The hash goes with its row: ids may be repeated or missing.
+    encoded = staged(encode_pieces(docs, model, carried=["given"]), "pieces", compression="zstd")
+    return decode_pieces(encoded, model).select(
+        F.col("id").alias("doc_id"), "n_pieces", "ids_crc32", (F.xxhash64("text") == F.col("given")).alias("round_trip")
     )

@@ -72,3 +72,10 @@ def test_edge_cases(spark, library):
     assert pieces.encode_pieces(df.limit(0), PATH).collect() == []
     nothing = spark.createDataFrame([(None,)], "ids binary")
     assert pieces.decode_pieces(nothing, PATH).first().text is None
+
+
+def test_query_keeps_repeated_and_missing_ids(spark, tmp_path, library):
+    docs = [(None, "no id"), (None, "nor this"), (3, "one"), (3, "another text"), (3, "one"), (4, None)]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id or 0, r.n_pieces, r.round_trip) for r in op6_pieces(spark, str(tmp_path)).collect())
+    assert got == sorted((i or 0, len(library.encode(t or "")), True) for i, t in docs)
