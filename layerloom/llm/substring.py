@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.llm.rows import ROW, with_row_key, wrapped
@@ -171,6 +171,14 @@ def _keeper(length: int, with_text: bool):
     return kernel
 
 
+def _with_repeat(places: DataFrame, kind: str) -> DataFrame:
+    """Add ``repeat``: whether the same kind stands at an earlier place of the same anchor."""
+    place = F.struct("row", "start")
+    # Written down: Spark splits a frequent key of a join, but not beneath an aggregate.
+    firsts = staged(places.groupBy("anchor", kind).agg(F.min(place).alias("first")), "firsts")
+    return places.join(firsts, ["anchor", kind]).withColumn("repeat", place != F.col("first"))
+
+
 def _repeated_runs(texts: DataFrame, length: int) -> DataFrame:
     """(row, runs): the runs of windows of each document that also start earlier.
 
@@ -183,26 +191,29 @@ def _repeated_runs(texts: DataFrame, length: int) -> DataFrame:
 
     Every stretch and window is compared with the first of its kind only, and
     each task sends one row for a kind, so copies are never paired with each other.
+    Anchors and kinds are aggregated and joined back, so no task has to hold all
+    places of a frequent anchor.
     """
-    seeds = texts.mapInArrow(_seeds(length), _SEEDS)
-    of_anchor = Window.partitionBy("anchor")
-    of_kind = Window.partitionBy("anchor", "context").orderBy("row", "start")
+    seeds = staged(texts.mapInArrow(_seeds(length), _SEEDS), "seeds")
+    met = seeds.filter("not again").drop("again")
+    shared = staged(
+        met.groupBy("anchor")
+        .agg(F.count(F.lit(1)).alias("places"), (F.min("context") != F.max("context")).alias("several"))
+        .filter("places > 1")
+        .drop("places"),
+        "anchors",
+    )
+    stretches = _with_repeat(staged(met.join(shared, "anchor"), "shared"), "context")
+    known = seeds.filter("again").select("row", "start", "n", F.lit(True).alias("repeat"))
     found = staged(
-        seeds.withColumn("several", F.min("context").over(of_anchor) != F.max("context").over(of_anchor))
-        .withColumn("repeat", F.col("again") | (F.row_number().over(of_kind) > 1))
-        .filter("repeat or several")
-        .select("row", "start", "n", "repeat"),
-        "stretches",
+        stretches.filter("repeat or several").select("row", "start", "n", "repeat").union(known), "stretches"
     )
     run = F.struct("start", "n")
     opened = found.filter("not repeat").groupBy("row").agg(F.collect_list(run).alias("runs"))
-    windows = texts.join(opened, "row").mapInArrow(_windows(length), _WINDOWS)
-    of_window = Window.partitionBy("anchor", "hash").orderBy("row", "start")
-    single = (
-        windows.withColumn("repeat", F.col("again") | (F.row_number().over(of_window) > 1))
-        .filter("repeat")
-        .select("row", "start", F.lit(1).alias("n"))
-    )
+    windows = staged(texts.join(opened, "row").mapInArrow(_windows(length), _WINDOWS), "windows")
+    one = ["row", "start", F.lit(1).alias("n")]
+    single = _with_repeat(windows.filter("not again"), "hash").filter("repeat").select(*one)
+    single = single.union(windows.filter("again").select(*one))
     repeats = found.filter("repeat").select("row", "start", "n").union(single)
     return staged(repeats.groupBy("row").agg(F.collect_list(run).alias("runs")), "repeats")
 

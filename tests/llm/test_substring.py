@@ -39,6 +39,48 @@ def test_few_words_many_repeats(spark):
         assert got == brute.without_repeats(docs, length), length
 
 
+def test_frequent_anchor_is_split(spark, monkeypatch):
+    """A phrase in every document among different neighbours: its rows meet the anchor in several tasks."""
+    rng = random.Random(2)
+    phrase = [f"common3-{i}" for i in range(16)]  # holds the smallest seed of most windows around it
+    docs = []
+    for i in range(3000):
+        ws = [f"w{rng.randrange(10**6)}" for _ in range(40)]
+        ws[20:20] = phrase
+        docs.append((i, " ".join(ws)))
+    docs += [(5000 + i, docs[i][1]) for i in range(20)]
+    settings = {
+        "spark.sql.shuffle.partitions": "31",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    plans = {}
+    whole = substring.staged
+
+    def seen(df, label):
+        if label == "shared":
+            df.collect()
+            plans["final"] = df._jdf.queryExecution().executedPlan().toString()
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return whole(df, label)
+
+    monkeypatch.setattr(substring, "staged", seen)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        got = _results(substring.remove_repeats(spark.createDataFrame(docs, SCHEMA).repartition(9)))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == brute.without_repeats(docs, 20)
+    assert not [label for label, plan in plans.items() if "Window" in plan]
+    assert "skewed" in plans["final"]
+
+
 def test_edge_cases(spark):
     passage = " ".join(f"w{i}" for i in range(30))
     docs = [
