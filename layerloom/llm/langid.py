@@ -197,19 +197,21 @@ def labelled_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
 
 
 def _predictor(network: Network | None):
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Language and score of each text, as columns of a struct."""
+
+    def kernel(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pairs = network.byte_pairs() if network else None
-        for batch in batches:
-            languages: list[str] = [UNDECIDED] * batch.num_rows
-            scores = [0.0] * batch.num_rows
+        for texts in batches:
+            languages: list[str] = [UNDECIDED] * len(texts)
+            scores = [0.0] * len(texts)
             pending: list[tuple[int, np.ndarray]] = []
             size = 0
-            for i, text in enumerate(batch.column("text")):
+            for i, text in enumerate(texts):
                 text = text.as_py()
                 if network and text is not None and _LETTER.search(text):
                     pending.append((i, windows_of(_prepared(text))))
                     size += len(pending[-1][1])
-                if pending and (size >= _BATCH_WINDOWS or i + 1 == batch.num_rows):
+                if pending and (size >= _BATCH_WINDOWS or i + 1 == len(texts)):
                     found = probabilities(network, np.concatenate([w for _, w in pending]), pairs)
                     begins = np.cumsum([0] + [len(w) for _, w in pending[:-1]])
                     means = np.add.reduceat(found, begins, axis=0)
@@ -218,12 +220,12 @@ def _predictor(network: Network | None):
                         languages[k] = network.languages[best]
                         scores[k] = min(1.0, float(total[best]) / len(w))
                     pending, size = [], 0
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(languages, pa.string()), pa.array(scores, pa.float64())],
-                names=["doc", "lang_pred", "score"],
+            yield pa.StructArray.from_arrays(
+                [pa.array(languages, pa.string()), pa.array(scores, pa.float64())], names=["lang_pred", "score"]
             )
 
-    return kernel
+    # Like a nondeterministic function it runs once for a row, before any filter on its result.
+    return F.arrow_udf(kernel, "lang_pred string, score double").asNondeterministic()
 
 
 def learnt_from(id_col: str) -> Column:
@@ -259,5 +261,5 @@ def predict(
     rows = wrapped(docs, id_col, text_col).select(
         F.struct(*[F.col(f"doc.`{c}`").alias(c) for c in columns]).alias("doc"), "text"
     )
-    kind = rows.schema["doc"].dataType.simpleString()
-    return rows.mapInArrow(_predictor(network), f"doc {kind}, lang_pred string, score double")
+    found = rows.select("doc", _predictor(network)("text").alias("found"))
+    return found.select("doc", "found.lang_pred", "found.score")

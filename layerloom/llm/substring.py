@@ -138,15 +138,14 @@ def _windows(length: int):
     return kernel
 
 
-def _keeper(length: int, with_text: bool):
-    """Cut the words covered by repeated windows out of each text."""
-
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words, n_removed, digests, texts = [], [], [], []
-            for text, runs in zip(batch.column("text"), batch.column("runs").to_pylist()):
-                text = text.as_py()
-                words = (text or b"").split()
+def _keeper(length: int):
+    """Cut the words covered by repeated windows out of each text; ``text`` is NULL where none are."""
+
+    def kernel(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, of_rows in batches:
+            n_words, n_removed, digests, cut = [], [], [], []
+            for text, runs in zip(texts, of_rows):
+                words, runs = (text.as_py() or b"").split(), runs.as_py()
                 covered = np.zeros(len(words) + 1, np.int32)
                 for run in runs or ():
                     covered[run["start"]] += 1
@@ -156,19 +155,19 @@ def _keeper(length: int, with_text: bool):
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(kept))
                 digests.append(hashlib.sha256(joined).hexdigest())
-                texts.append(text if n_removed[-1] == 0 else joined)
-            out = [
-                batch.column("doc"),
-                pa.array(n_words, pa.int64()),
-                pa.array(n_removed, pa.int64()),
-                pa.array(digests, pa.string()),
-            ]
-            names = ["doc", "n_words", "n_removed", "kept_sha256"]
-            if with_text:
-                out, names = [*out, pa.array(texts, pa.binary())], [*names, "text"]
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                cut.append(None if n_removed[-1] == 0 else joined)
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array(n_words, pa.int64()),
+                    pa.array(n_removed, pa.int64()),
+                    pa.array(digests, pa.string()),
+                    pa.array(cut, pa.binary()),
+                ],
+                names=["n_words", "n_removed", "kept_sha256", "cut"],
+            )
 
-    return kernel
+    columns = "n_words bigint, n_removed bigint, kept_sha256 string, cut binary"
+    return F.arrow_udf(kernel, columns).asNondeterministic()
 
 
 def _with_repeat(places: DataFrame, kind: str) -> DataFrame:
@@ -246,9 +245,9 @@ def remove_repeats(
         F.col(ROW).alias("row"), F.struct(*others).alias("doc"), F.col("text").cast("binary").alias("text")
     )
     repeats = _repeated_runs(keyed.select("row", "text"), length)
-    doc = keyed.schema["doc"].dataType.simpleString()
-    schema = f"doc {doc}, n_words bigint, n_removed bigint, kept_sha256 string"
-    out = keyed.join(repeats, "row", "left").mapInArrow(
-        _keeper(length, with_text), schema + (", text binary" if with_text else "")
-    )
-    return out.withColumn("text", F.col("text").cast("string")) if with_text else out
+    found = keyed.join(repeats, "row", "left").select("doc", "text", _keeper(length)("text", "runs").alias("found"))
+    columns = ["doc", "found.n_words", "found.n_removed", "found.kept_sha256"]
+    if with_text:
+        # Only what was cut comes back from Python; other texts stay as they were.
+        columns.append(F.coalesce("found.cut", "text").cast("string").alias("text"))
+    return found.select(*columns)

@@ -19,9 +19,9 @@ from tokenizers import Tokenizer
 from layerloom.llm.words import RunHashes
 
 #: Known pieces per Python worker; they are learnt anew beyond it.
-KNOWN_PIECES = 3_000_000
+KNOWN_PIECES = 1_000_000
 #: Bytes of text that are worked on at a time, and the longest piece that is remembered.
-_CHUNK_BYTES = 1 << 21
+_CHUNK_BYTES = 1 << 20
 _LONGEST = 64
 
 # Classes of bytes: white space, and first bytes of what may ask for the text to be taken whole.
