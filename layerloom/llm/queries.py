@@ -17,6 +17,7 @@ from layerloom.llm.preference import preference_pairs, with_other_ending
 from layerloom.llm.quality import judged
 from layerloom.llm.rans import read_ids, write_ids
 from layerloom.llm.registry import query, table
+from layerloom.llm.repair import Repair, damaged
 from layerloom.llm.simhash import near_duplicates
 from layerloom.llm.sql import PREFERENCE_SQL, QUALITY_SQL
 from layerloom.llm.substring import remove_repeats
@@ -122,3 +123,18 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_pieces(encoded, model).select(
         F.col("id").alias("doc_id"), "n_pieces", "ids_crc32", (F.xxhash64("text") == F.col("given")).alias("round_trip")
     )
+
+
+@query("op11_repair")
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged by a checksum of its turns, and its cheapest repair."""
+    turns = table(spark, sf_dir, "conversations")
+    found = Repair(damaged(turns)).summary()
+    every = turns.select("conv_id").distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )

@@ -1,0 +1,192 @@
+"""Repair of conversations against a plain dynamic program."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import defaultdict
+from functools import cache
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from layerloom.llm import repair
+from layerloom.llm.queries import op11_repair
+from layerloom.llm.registry import table
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def _faults(rows):
+    seen, out = set(), []
+    for _, role, text in rows:
+        end = text.rstrip(WHITE)
+        if not end:
+            out.append("blank")
+        elif (role, text) in seen:
+            out.append("duplicate")
+        elif end[-1] not in ".!?":
+            out.append("truncated")
+        else:
+            out.append("")
+        seen.add((role, text))
+    return out
+
+
+def _cheapest(rows, faults):
+    """(cost, audit) by trying everything; two inserts in a row at most, as more undo each other."""
+
+    @cache
+    def best(i, last, inserts):
+        found = []
+        expected = {"": "u", "s": "u", "u": "a", "a": "u"}[last]
+        if i == len(rows) and last in ("", "a"):
+            found.append((0, ""))
+        if inserts < 2:
+            cost, audit = best(i, expected, inserts + 1)
+            found.append((cost + 2, "I" + audit))
+        if i < len(rows):
+            cost, audit = best(i + 1, last, 0)
+            found.append((cost + 3, "D" + audit))
+            if faults[i] not in ("blank", "duplicate"):
+                more, role = int(faults[i] == "truncated"), rows[i][1][:1]
+                if role and (role == expected or (role == "s" and last == "")):
+                    cost, audit = best(i + 1, role, 0)
+                    found.append((cost + more, "K" + audit))
+                for to in "ua":
+                    if to == expected:
+                        cost, audit = best(i + 1, to, 0)
+                        found.append((cost + 2 + more, "R" + audit))
+        return min(found, default=(1 << 50, ""))
+
+    for i in range(len(rows), -1, -1):  # from the end, so that nothing recurses far
+        for last in ("", "s", "u", "a"):
+            best(i, last, 0)
+    return best(0, "", 0)
+
+
+def _brute(rows):
+    """Expected columns of one conversation, after damage."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    faults = _faults(rows)
+    turns = [t for t, *_ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    cost, audit = _cheapest(rows, faults)
+    out, i = [], 0
+    for letter in audit:
+        expected = "user" if not out or out[-1][0][:1] != "u" else "assistant"
+        if letter == "I":
+            out.append((expected, ""))
+            continue
+        if letter in "KR":
+            out.append((rows[i][1] if letter == "K" else expected, rows[i][2]))
+        i += 1
+    assert re.fullmatch("(s?(ua)+)?", "".join(r[:1] for r, _ in out))
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
+    counts = [faults.count(f) for f in ("blank", "duplicate", "truncated")]
+    return gaps, *counts, illegal, cost, audit, digest
+
+
+def _damage(rows):
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        out[conv]  # every conversation
+        if kind == 0:
+            continue
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = re.sub("[.!?]", "", text)
+        if kind == 4:
+            role = "user"
+        out[conv] += [(turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+NAMES = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
+
+
+def test_whole_table(spark, sf_dir):
+    given = [tuple(r[c] for c in ("conv_id", "turn", "role", "text")) for r in table(spark, sf_dir, "conversations").collect()]
+    expected = {conv: _brute(rows) for conv, rows in _damage(given).items()}
+    found = op11_repair(spark, sf_dir).collect()
+    assert {r.conv_id: (*[r[c] for c in NAMES], r.repaired_sha256) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_search_is_cheapest_and_first(seed):
+    rng = random.Random(seed)
+    for _ in range(120):
+        codes = "".join(rng.choices(repair._CODES, [3, 6, 6, 1, 1, 2, 2, 1, 1, 1, 1, 1], k=rng.randint(1, 14)))
+        rows = [(i, repair._initials(c), "") for i, c in enumerate(codes)]
+        faults = ["blank" if c in repair._GONE else "truncated" if c in repair._TRUNCATED else "" for c in codes]
+        assert repair.whole(codes) == _cheapest(rows, faults), codes
+        # The same in parts of any length.
+        cuts = sorted(rng.sample(range(1, len(codes)), rng.randint(0, min(3, len(codes) - 1)))) if len(codes) > 1 else []
+        parts = [codes[a:b] for a, b in zip([0, *cuts], [*cuts, len(codes)])]
+        solved = [repair.part(p) for p in parts]
+        ranks = [[sorted(e[4 * (i // 4) : 4 * (i // 4) + 4]).index(x) for i, x in enumerate(e)] for _, e in solved]
+        cost, states = repair.chosen(np.array([c for c, _ in solved]), np.array(ranks))
+        audit = "".join(e[4 * a + b] for (_, e), a, b in zip(solved, states, states[1:])) + repair._CLOSING[states[-1]]
+        assert (cost, audit) == repair.whole(codes)
+
+
+def _summary(df):
+    found = repair.Repair(df).summary().collect()
+    return {r.conv: (*[r[c] for c in NAMES], r.digest) for r in found}
+
+
+def test_long_and_hot_conversations(spark):
+    """One conversation holds most rows and spans many blocks."""
+    rng = random.Random(9)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool"]
+    texts = ["Yes.", "No", " ", "Really?", "Why not!"]
+    rows = [(1, i, rng.choice(roles), rng.choice(texts) if i % 7 else f"{i}.") for i in range(1500)]
+    rows += [(2, i, "user" if i % 2 == 0 else "assistant", f"{i}.") for i in range(256)]
+    rows += [(3, i, rng.choice(roles), f"{i} {rng.choice(texts)}") for i in range(257)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    by_conv = defaultdict(list)
+    for conv, *row in rows:
+        by_conv[conv].append(tuple(row))
+    expected = {conv: _brute(r) for conv, r in by_conv.items()}
+    assert _summary(df) == expected
+    edits = repair.Repair(df).edits().orderBy("conv", "position").collect()
+    for conv, row in expected.items():
+        mine = [e for e in edits if e.conv == conv]
+        assert "".join(e.edit for e in mine) == row[6]
+        assert [e.position for e in mine] == list(range(len(mine)))
+        text = "\n".join(f"{e.role}:{e.text}" for e in mine if e.edit != "D")
+        assert hashlib.sha256(text.encode()).hexdigest() == row[7]
+
+
+def test_edge_cases(spark):
+    rows = [
+        (None, 0, "user", "Hi."), (None, None, "assistant", "a."), (None, None, "assistant", "a."),
+        (1, None, None, None), (2, 5, "", "x."), (2, 9, "user", "x" * 200_000 + "."), (3, 0, "system", "s."),
+        (4, 0, "user", "a."), (4, 0, "user", "a."), (4, 0, "assistant", "a."), (5, 1, "sage", "s\n."), (5, 2, "uncle", "?\t"),
+        (5, 3, "aunt", " "),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({"pos": F.lit(1), "conv": F.lit("x"), "block": F.lit(2)})
+    by_conv = defaultdict(list)
+    for conv, *row in rows:
+        by_conv[conv].append(tuple(" " if v is None and i else v for i, v in enumerate(row)))
+    assert _summary(df) == {conv: _brute(r) for conv, r in by_conv.items()}
+    empty = repair.Repair(spark.createDataFrame([], SCHEMA))
+    assert empty.summary().collect() == [] and empty.edits().collect() == []
+
+
+def test_damage(spark):
+    rows = [(c, t, r, x) for c in (None, 1, 2, 3) for t in (None, *range(30)) for r, x in ((None, "A. b!"), ("assistant", None))]
+    found = defaultdict(list)
+    for r in repair.damaged(spark.createDataFrame(rows, SCHEMA)).collect():
+        found[r.conv_id].append((r.turn, r.role, r.text))
+    expected = _damage(rows)
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
+    assert {c: sorted(v, key=key) for c, v in found.items()} == {c: sorted(v, key=key) for c, v in expected.items()}
