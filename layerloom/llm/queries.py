@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom.llm.alignment import Alignment
 from layerloom.llm.forest import nearest
 from layerloom.llm.katz import katz_scores
 from layerloom.llm.langid import learnt_from, predict
@@ -138,3 +139,11 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("digest", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
     )
+
+
+@query("op12_alignment")
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = Alignment(docs, *paths).measures()
+    return found.withColumnsRenamed({"id": "doc_id", "digest": "groups_sha256"})
