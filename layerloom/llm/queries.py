@@ -13,6 +13,7 @@ from layerloom.llm.forest import nearest
 from layerloom.llm.katz import katz_scores
 from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.packing import pack
+from layerloom.llm.parity import overlapping
 from layerloom.llm.pieces import decode_pieces, encode_pieces
 from layerloom.llm.preference import preference_pairs, with_other_ending
 from layerloom.llm.quality import judged
@@ -147,3 +148,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     found = Alignment(docs, *paths).measures()
     return found.withColumnsRenamed({"id": "doc_id", "digest": "groups_sha256"})
+
+
+@query("op13_parity")
+def op13_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = overlapping(docs, shingle=4, percent=85)
+    return found.withColumnsRenamed({"id": "doc_id", "n": "n_shingles", "component": "component_id"})
