@@ -20,6 +20,8 @@ _CHUNK_WORDS = 1 << 17
 _SHORT = 8
 #: A scheme has so many segments more than it needs, as a share; each document leaves its weakest ones out.
 _SPARE = 4
+#: A band spans so many times what a set can reach: wider ones ask fewer sets for the keys of two schemes.
+_REACHES = 2
 
 
 class Bands:
@@ -38,7 +40,9 @@ class Bands:
     def start(self, band: int) -> int:
         while len(self._starts) <= band:
             last = self._starts[-1]
-            self._starts.append(max(-(-100 * last // self.percent), last + 1))
+            for _ in range(_REACHES):
+                last = max(-(-100 * last // self.percent), last + 1)
+            self._starts.append(last)
         return self._starts[band]
 
     def of(self, size: int) -> int:
@@ -150,6 +154,25 @@ def _keyed(shingle: int, percent: int):
     return kernel
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key and node, with the first node of their key; keys of one node are left out."""
+    key = first = held = None  # of the last row; held is a node whose key may go on
+    for batch in batches:
+        k, v = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+        if not len(k):
+            continue
+        begins = np.r_[key is None or k[0] != key, k[1:] != k[:-1]]
+        at = np.maximum.accumulate(np.where(begins, np.arange(len(k)), -1))
+        firsts = np.where(at >= 0, v[at], 0 if first is None else first)
+        several = ~begins | np.r_[~begins[1:], False]
+        out = [k[several], v[several], firsts[several]]
+        if held is not None and not begins[0]:
+            out = [np.r_[x, y] for x, y in zip((key, held, held), out)]
+        held = v[-1] if begins[-1] else None
+        key, first = k[-1], firsts[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["key", "node", "first"])
+
+
 def _listed(shingle: int):
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _sets(batches, shingle):
@@ -200,39 +223,56 @@ class _Join:
         return pairs.join(u, "u").join(v, "v").mapInArrow(_verified(self._percent), "u bigint, v bigint")
 
     def _candidates(self, pairs: DataFrame) -> DataFrame:
-        """Distinct pairs that sizes and sketches do not rule out."""
+        """Those pairs (a, b) with their n that sizes and sketches do not rule out, as (u, v, n)."""
         u, v = self._nodes.alias("u"), self._nodes.alias("v")
-        met = pairs.join(u, pairs["a"] == F.col("u.node")).join(v, pairs["b"] == F.col("v.node"))
-        return met.filter(self._may_link()).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        met = pairs.alias("p").join(u, F.col("p.a") == F.col("u.node")).join(v, F.col("p.b") == F.col("v.node"))
+        return met.filter(self._may_link()).select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("p.n").alias("n"))
 
     def links(self) -> DataFrame:
         """(u, v) pairs that connect what is linked, directly or over others.
 
-        Sets that share a key are first compared with one of them only, and what
-        that links is one component. Keys that then still hold several components
-        are joined again for pairs across components, so no link is lost, and
-        copies of one text are not compared with each other.
+        Each set is first compared with one other: of the first sets of its keys,
+        the one that it shares most keys with. Then with the other first sets, if
+        they are not in one component with it yet. Keys that still hold several
+        components are joined for pairs across components, so no link is lost, and
+        the copies of one text are not compared with each other.
         """
-        reps = self._nodes.select("node")
-        keys = staged(
-            self._texts_of(reps).mapInArrow(_keyed(self._shingle, self._percent), "key bigint, node bigint"), "keys"
+        keys = self._texts_of(self._nodes.select("node")).mapInArrow(
+            _keyed(self._shingle, self._percent), "key bigint, node bigint"
         )
-        met = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1").drop("n")
-        shared = staged(keys.join(met, "key"), "shared")
-        stars = shared.filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-        tried = staged(self._candidates(stars), "tried")
+        # One pass over sorted keys: a frequent key streams by, nothing of it is held.
+        sorted_keys = keys.repartition("key").sortWithinPartitions("key", "node")
+        shared = staged(sorted_keys.mapInArrow(_buckets, "key bigint, node bigint, first bigint"), "shared")
+        stars = shared.filter("node != first").groupBy("first", "node").agg(F.count(F.lit(1)).alias("n"))
+        pairs = stars.select(F.col("first").alias("a"), F.col("node").alias("b"), "n")
+        near = staged(self._candidates(pairs), "stars")
+
+        best = near.groupBy("v").agg(F.max(F.struct("n", (-F.col("u")).alias("u"))).alias("best"))
+        tried = staged(best.select((-F.col("best")["u"]).alias("u"), "v"), "tried")
         linked = staged(self._checked(tried), "links")
+        labels = connected_components(linked)
+        others = staged(self._across(near.select("u", "v"), labels).join(tried, ["u", "v"], "left_anti"), "others")
+        linked = staged(linked.union(self._checked(others)), "links")
+        tried = tried.union(others)
 
         labels = connected_components(linked)
         named = shared.drop("first").join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
         named = staged(named.select("key", "node", "label"), "named")
-        mixed_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-        rest = staged(named.join(mixed_keys.select("key"), "key").join(self._nodes, "node"), "rest")
+        several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+        rest = staged(named.join(several.select("key"), "key").join(self._nodes, "node"), "rest")
         u, v = rest.alias("u"), rest.alias("v")
         across = (F.col("u.key") == F.col("v.key")) & (F.col("u.label") < F.col("v.label")) & self._may_link()
         low, high = F.least("u.node", "v.node").alias("u"), F.greatest("u.node", "v.node").alias("v")
-        others = u.join(v, across).select(low, high).distinct().join(tried, ["u", "v"], "left_anti")
-        return linked.union(staged(self._checked(staged(others, "others")), "links"))
+        left = staged(u.join(v, across).select(low, high).distinct().join(tried, ["u", "v"], "left_anti"), "left")
+        return linked.union(staged(self._checked(left), "links"))
+
+    def _across(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The pairs (u, v) that are not in one component."""
+        of_u = labels.select(F.col("node").alias("u"), F.col("component").alias("label_u"))
+        of_v = labels.select(F.col("node").alias("v"), F.col("component").alias("label_v"))
+        found = pairs.join(of_u, "u", "left").join(of_v, "v", "left")
+        apart = F.coalesce("label_u", "u") != F.coalesce("label_v", "v")
+        return found.filter(apart).select("u", "v")
 
 
 def overlapping(

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +125,22 @@ def test_edge_cases(spark):
     ]
     assert rows == sorted((i is None, i or 0, n, c is None, c or 0) for i, n, c in expected)
     assert parity.overlapping(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_buckets_across_batches():
+    """However rows are cut into batches, keys with several nodes come out with their first."""
+    rng = random.Random(6)
+    for _ in range(200):
+        rows = sorted((rng.randint(0, 6), rng.randint(0, 99)) for _ in range(rng.randint(0, 15)))
+        by_key = {}
+        for k, v in rows:
+            by_key.setdefault(k, []).append(v)
+        expected = [(k, v, vs[0]) for k, vs in by_key.items() if len(vs) > 1 for v in vs]
+        batches, i = [], 0
+        while i < len(rows):
+            n = rng.randint(0, 4)
+            part = rows[i : i + n]
+            batches.append(pa.RecordBatch.from_pydict({"key": pa.array([k for k, _ in part], pa.int64()), "node": pa.array([v for _, v in part], pa.int64())}))
+            i += n
+        found = [tuple(r.values()) for b in parity._buckets(iter(batches)) for r in b.to_pylist()]
+        assert found == expected
