@@ -35,9 +35,21 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
+def _plain_text(field: T.StructField) -> Column:
+    """A column as text. Floats are written without an exponent where that loses nothing."""
+    column = F.col(f"`{field.name}`")
+    text = column.cast("string")
+    if not isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        return text
+    exact = text.try_cast("decimal(38,18)")
+    plain = F.regexp_replace(exact.cast("string"), r"\.?0+$", "")
+    same = exact.cast(field.dataType.simpleString()) == column
+    return F.when(column == 0, "0").when(same, plain).otherwise(text)
+
+
 def as_strings(df: DataFrame) -> DataFrame:
-    """Cast every column to string, in one projection."""
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    """Every column as a string, in one projection. A float reads the same whatever its size."""
+    return df.select(*[_plain_text(f).alias(f.name) for f in df.schema.fields])
 
 
 # Text that may be a number, with the blanks and control characters a cast trims.

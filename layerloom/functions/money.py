@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Digits kept of amounts whose type does not say how many they have.
-FLOAT_SCALE = 6
+#: Digits kept of each amount whose type does not say how many it has: far below what a sum of them can show.
+FLOAT_SCALE = 12
 _WIDEST = 38
 
 
@@ -20,7 +20,7 @@ def exact(df: DataFrame, name: str) -> Column:
     """An amount column as a decimal that loses nothing when it is summed."""
     kind, amount = df.schema[name].dataType, F.col(name)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return amount.cast(f"decimal(28,{FLOAT_SCALE})")
+        return amount.cast(f"decimal({_WIDEST},{FLOAT_SCALE})")
     return amount if isinstance(kind, T.DecimalType) else amount.cast("decimal(20,0)")
 
 

@@ -25,9 +25,17 @@ class Sources:
     jdbc_splits: Mapping[str, jdbc.Split | None] = field(default_factory=dict)
 
 
-def read_source(lake: Lake, config: TableConfig, sources: Sources, run: RunContext) -> DataFrame:
+# Folder column of landed rows: sound ones, and records that could not be read.
+RECORDS, SOUND, BROKEN = "_Records", "sound", "broken"
+_CHECKS = [files.SOURCE_FILE, files.BAD_RECORD, files.BAD_REASON]
+
+
+def read_source(lake: Lake, config: TableConfig, sources: Sources) -> DataFrame:
+    """Rows of a source; those of files and answers come with what could not be read (``read_checked``)."""
     if config.source_type == FILES:
         path = f"{sources.folder}/{config.source_name}"
+        if config.file_format in (files.CSV, files.JSON):
+            return files.read_checked(lake.spark, path, config.file_format)
         return files.read_files(lake.spark, path, config.file_format)
     if config.source_type == DATABASE:
         if config.table_name not in sources.jdbc_splits:
@@ -38,7 +46,7 @@ def read_source(lake: Lake, config: TableConfig, sources: Sources, run: RunConte
         return jdbc.read_table(lake.spark, config.source_name, sources.jdbc_options, split)
     if config.source_type == API:
         path = f"{sources.folder}/{config.source_name}"
-        return rates.read_answers(lake.spark, path)
+        return rates.checked_answers(lake.spark, path)
     raise ValueError(f"unknown source type {config.source_type!r}")
 
 
@@ -48,9 +56,14 @@ def land(lake: Lake, config: TableConfig, sources: Sources, run: RunContext) ->
     Incremental tables take the rows past the mark that the silver layer has
     committed: a run that fails on the way is repeated from the same mark. Rows
     without a readable watermark are taken every time, so that they end up
-    among the rejected rows instead of vanishing.
+    among the rejected rows instead of vanishing. Records that could not be
+    read are landed beside the rows and counted as rejected.
     """
-    source = read_source(lake, config, sources, run)
+    source = read_source(lake, config, sources)
+    for name in _CHECKS:
+        if name not in source.columns:
+            source = source.withColumn(name, F.lit(None).cast("string"))
+    broken = F.col(files.BAD_RECORD).isNotNull()
     if config.watermark_column and config.watermark_column in source.columns:
         mark = lake.last_mark(SILVER, config.table_name)
         by = F.col(config.watermark_column).try_cast("timestamp")
@@ -59,14 +72,32 @@ def land(lake: Lake, config: TableConfig, sources: Sources, run: RunContext) ->
         source = load_slice(
             marked, config.load_type, "__mark", literal, inclusive=True, undated=True
         ).drop("__mark")
-    header = {"header": True} if config.file_format == files.CSV else {}
     return lake.write(
-        cols.stamp_landed(source, run),
+        cols.stamp_landed(source, run).withColumn(RECORDS, F.when(broken, BROKEN).otherwise(SOUND)),
         LANDING,
         config.table_name,
         run,
         table_format=config.file_format,
-        options=header,
+        partition_by=[RECORDS],
+        rejected=broken,
+    )
+
+
+def landed_rows(lake: Lake, name: str) -> DataFrame:
+    """The sound rows of the last landing."""
+    return lake.read(LANDING, name).where(F.col(RECORDS) == SOUND).drop(RECORDS, *_CHECKS)
+
+
+def bad_records(lake: Lake, name: str) -> DataFrame | None:
+    """(file, reason, record, batch) of what no run could read."""
+    landed = lake.read_batches(LANDING, name)
+    if landed is None:
+        return None
+    return landed.where(F.col(RECORDS) == BROKEN).select(
+        F.col(files.SOURCE_FILE).alias("file"),
+        F.col(files.BAD_REASON).alias("reason"),
+        F.col(files.BAD_RECORD).alias("record"),
+        F.col("BatchID").alias("batch"),
     )
 
 
@@ -85,9 +116,8 @@ def to_bronze(
 
 
 def load_bronze(lake: Lake, config: TableConfig, run: RunContext) -> AuditRow:
-    landed = lake.read(LANDING, config.table_name)
     return lake.write(
-        to_bronze(landed, run),
+        to_bronze(landed_rows(lake, config.table_name), run),
         BRONZE,
         config.table_name,
         run,

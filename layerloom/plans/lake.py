@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from layerloom.context import RunContext
 from layerloom.metadata import SCHEMAS, Metadata
 from layerloom.operators.evolution import schema_changes, widened
-from layerloom.sources.files import CSV, JSON
+from layerloom.sources.files import CSV, JSON, LANDED, escaped, unescaped
 
 LANDING, BRONZE, SILVER, GOLD = "landing", "bronze", "silver", "gold"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
@@ -98,11 +98,15 @@ class Lake:
             (F.col("layer") == layer) & (F.col("table_name") == table) & (F.col("status") == SUCCESS)
         )
 
-    def commits(self, layer: str, table: str, since: datetime | None = None) -> list[AuditRow]:
-        """Successful writes of one table after a moment, oldest first."""
+    def commits(
+        self, layer: str, table: str, since: datetime | None = None, *, batch_id: str | None = None
+    ) -> list[AuditRow]:
+        """Successful writes of one table after a moment, or of one batch, oldest first."""
         found = self._successes(layer, table)
         if found is None:
             return []
+        if batch_id is not None:
+            found = found.where(F.col("batch_id") == batch_id)
         if since is not None:
             found = found.where(F.col("processed_at") > F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
         names = [f.name for f in fields(AuditRow)]
@@ -164,9 +168,11 @@ class Lake:
                 schema = T.StructType([T.StructField(n, T.StringType()) for n in schema.names])
             reader = self.spark.read.format(table_format).schema(schema).option("basePath", folder)
             if table_format == CSV:
-                # Values may hold line breaks.
-                reader = reader.option("header", True).option("multiLine", True)
-            frames.append(reader.load(paths).drop(BATCH_FOLDER))
+                reader = reader.options(**LANDED)
+            rows = reader.load(paths).drop(BATCH_FOLDER)
+            if table_format == CSV:
+                rows = rows.select(*[unescaped(F.col(f"`{c}`")).alias(c) for c in rows.columns])
+            frames.append(rows)
         return widened(frames)
 
     def read(self, layer: str, table: str) -> DataFrame:
@@ -178,7 +184,7 @@ class Lake:
 
     def read_batch(self, layer: str, table: str, batch_id: str) -> DataFrame:
         """The rows of one committed batch."""
-        found = [c for c in self.commits(layer, table) if c.batch_id == batch_id]
+        found = self.commits(layer, table, batch_id=batch_id)
         if not found:
             raise LookupError(f"batch {batch_id} of {layer}/{table} has not been written")
         return self._load(found)
@@ -240,7 +246,11 @@ class Lake:
             )
 
         try:
-            writer = df.observe(observed, *metrics).write.mode("overwrite").format(table_format)
+            rows = df.observe(observed, *metrics)
+            if table_format == CSV:
+                rows = rows.select(*[escaped(F.col(f"`{c}`")).alias(c) for c in rows.columns])
+                options = LANDED | dict(options or {})
+            writer = rows.write.mode("overwrite").format(table_format)
             writer = writer.options(**(options or {}))
             if partition_by:
                 writer = writer.partitionBy(*partition_by)

@@ -1,0 +1,139 @@
+"""Text sources as they are in practice, and landing that gives values back unchanged."""
+
+import json
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerloom.context import RunContext
+from layerloom.functions.columns import as_strings
+from layerloom.metadata import Metadata
+from layerloom.plans.ingest import Sources, bad_records, land, landed_rows, load_bronze, to_bronze
+from layerloom.plans.lake import BRONZE, LANDING, SILVER, Lake
+from layerloom.sources import files, rates
+from layerloom.streaming.files import REJECTS, ingest_files
+
+RUN = RunContext("R", "b1", datetime(2024, 5, 3, 9), date(2024, 5, 3))
+
+AWKWARD = [
+    None, "", " ", "  both  ", "a\nb", "a\r\nb\r", "\\", "\\N", "\\E", "\\n", "\\\\n", "\\\n\\", 'q"u"o', '"', ",", ',"\n\\', "\t",
+    "NULL", "é\u2028 ", "\x01", "'", "a\\", '\\"', "\r",
+]
+
+
+def test_landing_gives_awkward_values_back(spark, tmp_path):
+    rows = [(i, a, b) for i, (a, b) in enumerate(zip(AWKWARD, reversed(AWKWARD)))]
+    lake = Lake(spark, str(tmp_path))
+    df = spark.createDataFrame(rows, "id int, `a b` string, b string")
+    lake.write(df, LANDING, "t", RUN, table_format="csv", partition_by=["b"])
+    found = lake.read(LANDING, "t").select("id", "a b").collect()
+    assert sorted((int(r[0]), r[1]) for r in found) == [r[:2] for r in rows]
+    lake.write(df, LANDING, "u", RUN, table_format="csv")
+    assert sorted((int(i), a, b) for i, a, b in lake.read(LANDING, "u").collect()) == rows
+    # One record a line: files can be split.
+    lines = [n for f in (tmp_path / "landing" / "u").rglob("*.csv") for n in f.read_bytes().split(b"\n")[1:-1]]
+    assert len(lines) == len(rows)
+
+
+def test_files_are_matched_by_header(spark, tmp_path):
+    odd = tmp_path / "a b [1]{x}"
+    odd.mkdir()
+    (odd / "1.csv").write_text("id,name\n1,x\n")
+    (odd / "2.csv").write_text('\ufeffname,id\n"y\nz",2\n')
+    (odd / "3.csv").write_text("id,extra\n3,e\n")
+    (odd / "4.csv").write_text("")
+    (odd / "5.csv").write_text("id,name\n")
+    groups = files.csv_files(spark, files.literal_paths([str(odd)]))
+    assert sorted((g.columns, g.breaks, len(g.paths)) for g in groups) == [
+        (("id", "extra"), False, 1), (("id", "name"), False, 2), (("name", "id"), True, 1),
+    ]
+    found = files.sound(files.read_checked(spark, files.literal_paths([str(odd)]), "csv", ["id", "name", "none"]))
+    assert found.columns == ["id", "name", "none", "extra"]
+    assert sorted(map(tuple, found.collect())) == [
+        ("1", "x", None, None), ("2", "y\nz", None, None), ("3", None, None, "e"),
+    ]
+    (odd / "6.csv").write_text("id,ID\n1,2\n")
+    with pytest.raises(ValueError, match="twice"):
+        files.csv_files(spark, files.literal_paths([str(odd)]))
+    (tmp_path / "none").mkdir()
+    assert files.read_checked(spark, str(tmp_path / "none"), "csv", ["id"]).collect() == []
+
+
+def test_broken_records_keep_their_text(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "a.csv").write_text('a,b\n1,2\n3\n4,5,6\n"x\ny",7\n\n"",8\n')
+    checked = files.read_checked(spark, str(tmp_path / "csv"), "csv")
+    # A source's '' and its missing values are the same to Spark.
+    assert sorted(files.sound(checked).collect(), key=str) == [("1", "2"), ("x\ny", "7"), (None, "8")]
+    found = files.bad(checked).collect()
+    assert sorted((r.reason, r.record) for r in found) == [("not 2 fields", "3"), ("not 2 fields", "4,5,6")]
+    assert all(r.file.endswith("a.csv") for r in found)
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json" / "a.json").write_text('{"a": 1, "b": {"c": 2.50}}\n{"a": 2\n3\n{"b": null}\nx\n')
+    for columns in (None, ["a", "b"]):
+        checked = files.read_checked(spark, str(tmp_path / "json"), "json", columns)
+        assert sorted((r.reason, r.record) for r in files.bad(checked).collect()) == [
+            ("not a JSON object", t) for t in sorted(["x", "3", '{"a": 2'])
+        ]
+        assert files.sound(checked).count() == 2
+
+
+def test_cut_answers_are_rejected_and_dated_by_themselves(spark, tmp_path):
+    folder = tmp_path / "src" / "exchange_rates"
+    folder.mkdir(parents=True)
+    whole = {"base_code": "USD", "time_last_update_unix": 1714608000, "conversion_rates": {"INR": 83.1, "EUR": 0.9}}
+    (folder / "1.json").write_text(json.dumps(whole, indent=2))
+    (folder / "2.json").write_text(json.dumps(whole)[:70])
+    (folder / "3.json").write_text('{"result": "error"}')
+    assert sorted(map(tuple, rates.read_answers(spark, str(folder)).collect())) == [
+        ("USD", "EUR", 0.9, date(2024, 5, 2)), ("USD", "INR", 83.1, date(2024, 5, 2)),
+    ]
+    lake = Lake(spark, str(tmp_path / "lake"))
+    config = lake.metadata.table("exchange_rates")
+    landed = land(lake, config, Sources(str(tmp_path / "src")), RUN)
+    assert (landed.records_written, landed.records_rejected) == (2, 2)
+    broken = bad_records(lake, "exchange_rates").collect()
+    assert sorted(r.file.rsplit("/", 1)[1] for r in broken) == ["2.json", "3.json"]
+    assert load_bronze(lake, config, RUN).records_written == 2
+
+
+def test_bad_records_of_a_source_are_landed_beside_its_rows(spark, tmp_path):
+    (tmp_path / "src" / "customers").mkdir(parents=True)
+    text = "CustomerID,CustomerName,LastUpdated\n1,A,2024-05-01 00:00:00\n2\n3, C ,2024-05-01 00:00:00,x\n4,  D,\n"
+    (tmp_path / "src" / "customers" / "a.csv").write_text(text)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    config = lake.metadata.table("customers")
+    row = land(lake, config, Sources(str(tmp_path / "src")), RUN)
+    assert (row.records_read, row.records_written, row.records_rejected) == (4, 2, 2)
+    assert {r.CustomerName for r in landed_rows(lake, "customers").collect()} == {"A", "  D"}
+    assert {r.record for r in bad_records(lake, "customers").collect()} == {"2", "3, C ,2024-05-01 00:00:00,x"}
+    load_bronze(lake, config, RUN)
+    assert "_BadRecord" not in lake.read(BRONZE, "customers").columns
+    assert bad_records(lake, "orders") is None
+
+
+def test_stream_matches_columns_by_name(spark, tmp_path):
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+    config = lake.metadata.table("products")
+    columns = ["ProductID", "ProductName", "Category"]
+    (folder / "a.csv").write_text("ProductName,ProductID\nbook,1\n")
+    (folder / "b.csv").write_text('Category,Other,ProductID,ProductName\nBooks,x,2,"two\nlines"\nBooks,3\n')
+    ingest_files(lake, config, str(folder), columns, RUN, str(tmp_path / "c")).awaitTermination()
+    rows = lake.read_batches(BRONZE, "products").select(*columns).collect()
+    assert sorted(map(tuple, rows)) == [("1", "book", None), ("2", "two\nlines", "Books")]
+    assert [r.record for r in lake.read_batches(REJECTS, "products").collect()] == ["Books,3"]
+    assert lake.read_batches(SILVER, "products").count() == 2
+
+
+def test_floats_have_one_text(spark):
+    values = [12345678.9, 0.1, -2.0, 0.0, -0.0, 1e-7, 4e-7, 1e22, 1e300, float("nan"), None, 100.0, 123456789012345.6]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    found = [r[0] for r in as_strings(df).collect()]
+    assert found == [
+        "12345678.9", "0.1", "-2", "0", "0", "0.0000001", "0.0000004", "1.0E22", "1.0E300", "NaN", None, "100", "123456789012345.6",
+    ]
+    assert [None if t is None else float(t) for t in found if t != "NaN"] == [v for v in values if v is None or v == v]
+    hashes = to_bronze(spark.createDataFrame([(12345678.9,)], "x double"), RUN).select("_RecordHash").first()[0]
+    assert hashes == spark.range(1).select(F.sha2(F.lit("12345678.9"), 256)).first()[0]
