@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.functions import money
+from layerloom.operators.asof import with_version_as_of
 
 # Columns of the fact and of the customer summary.
 FACT_MEASURES = ["Quantity", "UnitPrice", "Discount", "TotalAmount"]
@@ -35,30 +36,20 @@ def with_customer_key_as_of(
 ) -> DataFrame:
     """Look up the version that was valid at the row's date.
 
-    An equi-join on the customer with the interval as a further condition;
-    versions of a customer do not overlap, so a row matches at most one. The
+    Versions of a customer do not overlap, so a row matches at most one. The
     first version of a customer holds for earlier dates too, unless
     ``first_holds_before`` is off; then such rows keep a NULL key.
     """
-    begins = F.col("_StartDate")
-    if first_holds_before:
-        firsts = versions.groupBy("CustomerID").agg(F.min("_StartDate").alias("__first"))
-        versions = versions.join(firsts, "CustomerID")
-        begins = F.when(begins > F.col("__first"), begins)
-    v = versions.select(
-        F.col("CustomerID"),
-        F.col("CustomerSK"),
-        begins.alias("__from"),
-        F.col("_EndDate").alias("__to"),
-    ).alias("v")
-    r = rows.alias("r")
-    since = F.col(f"r.{when}") >= F.col("v.__from")
-    valid = (
-        (F.col("r.CustomerID") == F.col("v.CustomerID"))
-        & (F.col("v.__from").isNull() | since if first_holds_before else since)
-        & (F.col("v.__to").isNull() | (F.col(f"r.{when}") < F.col("v.__to")))
+    return with_version_as_of(
+        rows,
+        versions,
+        "CustomerID",
+        when,
+        "CustomerSK",
+        begins="_StartDate",
+        ends="_EndDate",
+        first_holds_before=first_holds_before,
     )
-    return r.join(v, valid, "left").select("r.*", "v.CustomerSK")
 
 
 def fact_sales(

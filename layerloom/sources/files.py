@@ -112,10 +112,13 @@ def csv_files(spark: SparkSession, paths: str | Sequence[str]) -> list[CsvFiles]
 
 def _checked(frame: DataFrame, columns: Sequence[str], reason: Column) -> DataFrame:
     bad = F.col(BAD_RECORD)
+    if columns:
+        # Always true: Spark refuses to read broken records without another column.
+        bad = F.when(F.xxhash64(f"`{columns[0]}`") >= -(1 << 63), bad)
     # A broken record has no values: what could be read of it may be shifted.
     values = [F.when(bad.isNull(), F.col(f"`{c}`")).alias(c) for c in columns]
     file = F.col("_metadata.file_path").alias(SOURCE_FILE)
-    return frame.select(*values, file, bad, F.when(bad.isNotNull(), reason).alias(BAD_REASON))
+    return frame.select(*values, file, bad.alias(BAD_RECORD), F.when(bad.isNotNull(), reason).alias(BAD_REASON))
 
 
 def _read_csv_files(spark: SparkSession, files: CsvFiles) -> DataFrame:
@@ -167,10 +170,8 @@ def sound(checked: DataFrame) -> DataFrame:
 
 def bad(checked: DataFrame) -> DataFrame:
     """(file, reason, record) of the broken ones."""
-    # Spark reads broken records only together with other columns.
-    record = F.coalesce(BAD_RECORD, F.concat_ws("", *[f"`{c}`" for c in checked.columns[:1]]))
     broken = checked.where(F.col(BAD_RECORD).isNotNull())
-    return broken.select(F.col(SOURCE_FILE).alias("file"), F.col(BAD_REASON).alias("reason"), record.alias("record"))
+    return broken.select(*[F.col(c).alias(n) for c, n in ((SOURCE_FILE, "file"), (BAD_REASON, "reason"), (BAD_RECORD, "record"))])
 
 
 # Landed text: all values quoted, quotes doubled, nothing trimmed, one record a line.
