@@ -12,6 +12,7 @@ from layerloom.operators.asof import with_version_as_of
 
 # Columns of the fact and of the customer summary.
 FACT_MEASURES = ["Quantity", "UnitPrice", "Discount", "TotalAmount"]
+DAY, PERIOD = "_Day", "_Period"
 SUMMARY_CUSTOMER_COLUMNS = [
     "CustomerSK",
     "CustomerID",
@@ -164,7 +165,11 @@ def customer_sales_summary_of_orders(
     key before they meet the dimension: the join sees no frequent keys, and the
     customers' attributes never travel with the order rows.
     """
-    per_key = _summed(totals, "CustomerSK").alias("k")
+    return _per_customer(_summed(totals, "CustomerSK"), customers, ordered)
+
+
+def _per_customer(per_key: DataFrame, customers: DataFrame, ordered: bool) -> DataFrame:
+    per_key = per_key.alias("k")
     dim = customers.select(*SUMMARY_CUSTOMER_COLUMNS).alias("c")
     joined = per_key.join(dim, F.col("k.CustomerSK") == F.col("c.CustomerSK"), "left")
     # Adds up nothing but the keys without a current version.
@@ -175,6 +180,34 @@ def customer_sales_summary_of_orders(
     return result.orderBy(F.desc("TotalSales"), F.asc("CustomerSK")) if ordered else result
 
 
+def with_period(rows: DataFrame, grain: str = "month") -> DataFrame:
+    """Add the period of the order date: the unit in which the sales tables are rewritten."""
+    return rows.withColumn(PERIOD, F.to_date(F.date_trunc(grain, "OrderDate")))
+
+
+def customer_days(fact: DataFrame) -> DataFrame:
+    """What each customer ordered on each day: the rows that both summaries add up.
+
+    The rows of an order have one date and one customer.
+    """
+    by = [PERIOD, DAY, "CustomerID", "CustomerSK"]
+    return _summed(order_totals(fact.withColumn(DAY, F.to_date("OrderDate")), *by), *by)
+
+
+def _added_up(days: DataFrame, *by: str) -> DataFrame:
+    return days.groupBy(*by).agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
+def sales_summary_of_days(days: DataFrame) -> DataFrame:
+    """The daily summary from ``customer_days``."""
+    return _finished(_added_up(days, DAY), DAY).withColumnRenamed(DAY, "OrderDate")
+
+
+def customer_sales_summary_of_days(days: DataFrame, customers: DataFrame) -> DataFrame:
+    """The customer summary from ``customer_days``, unsorted."""
+    return _per_customer(_added_up(days, "CustomerSK"), customers, ordered=False)
+
+
 def top_customers(summary: DataFrame, n: int) -> DataFrame:
     """The n customers with the highest sales; ties go to the lower key."""
     return summary.orderBy(F.desc("TotalSales"), F.asc("CustomerSK")).limit(n)

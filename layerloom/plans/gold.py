@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerloom.context import RunContext
 from layerloom.metadata import DIM, FACT, TYPE2, TableConfig
 from layerloom.operators import sales, scd
-from layerloom.operators.keys import dense_key
-from layerloom.plans.lake import GOLD, AuditRow, Lake
+from layerloom.operators.incremental import INCREMENTAL
+from layerloom.operators.keys import dense_key, keep_latest
+from layerloom.plans.lake import GOLD, AuditRow, Lake, now
 from layerloom.plans.silver import key_columns, valid_rows
 from layerloom.storage import staged
 
@@ -22,6 +26,9 @@ SURROGATE_KEYS = {
 FACT_TABLE = "fact_sales"
 SALES_SUMMARY = "sales_summary"
 CUSTOMER_SALES_SUMMARY = "customer_sales_summary"
+# Ours: what the summaries add up, and the periods that runs have changed in the fact.
+CUSTOMER_DAYS = "customer_days"
+TOUCHED = "fact_sales_touched"
 
 # Folder column of versioned dimensions.
 STATE, CURRENT, CLOSED = "_VersionState", "current", "closed"
@@ -42,7 +49,7 @@ def versions(lake: Lake, name: str) -> DataFrame:
 def gold_table(lake: Lake, name: str) -> DataFrame:
     """A gold table as its readers see it."""
     rows = lake.read(GOLD, name)
-    return versions(lake, name) if STATE in rows.columns else rows
+    return versions(lake, name) if STATE in rows.columns else rows.drop(sales.PERIOD)
 
 
 def load_versions(
@@ -96,29 +103,152 @@ def load_dimension(lake: Lake, config: TableConfig, name: str, run: RunContext)
     return lake.write(keyed, GOLD, name, run, table_format=config.target_file_format)
 
 
+def _last_run(lake: Lake) -> AuditRow | None:
+    """The last run that built all sales tables; the customer summary is the last of them."""
+    return lake.last_commit(GOLD, CUSTOMER_SALES_SUMMARY)
+
+
+def _on(periods: Sequence[date | None]) -> Column:
+    """Rows of some periods, as a filter on the folders."""
+    found = F.col(sales.PERIOD).isin([d for d in periods if d is not None])
+    return found | F.col(sales.PERIOD).isNull() if None in periods else found
+
+
+def _periods(frame: DataFrame) -> DataFrame:
+    return frame.select(sales.PERIOD).distinct()
+
+
+def _collected(periods: DataFrame) -> list[date | None]:
+    """The periods reach the driver: one for each month of the calendar at most."""
+    return [r[0] for r in periods.distinct().collect()]
+
+
+def _rekeyed(lake: Lake, fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Periods with rows whose customer or product has another key now than when they were written.
+
+    Customers are looked up in the table of customers and days. Products are only
+    sought in the fact if the dimension itself has changed.
+    """
+    held = lake.read(GOLD, CUSTOMER_DAYS).select(sales.PERIOD, "CustomerID", "CustomerSK")
+    now = customers.select("CustomerID", F.col("CustomerSK").alias("__now"))
+    periods = _periods(held.join(now, "CustomerID", "left").where(~F.col("CustomerSK").eqNullSafe(F.col("__now"))))
+    before = lake.commits(GOLD, "product_dim", batch_id=_last_run(lake).batch_id)
+    keys = products.select("ProductID", "ProductSK")
+    if before:
+        keys = keys.join(lake.load(before).select("ProductID", "ProductSK"), ["ProductID", "ProductSK"], "left_anti")
+        if not keys.head(1):
+            return periods
+    moved = fact.select(sales.PERIOD, "ProductID").join(keys.select("ProductID"), "ProductID", "left_semi")
+    return periods.union(_periods(moved))
+
+
+def _periods_of_keys(fact: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Periods in which the fact holds rows with the keys of a batch.
+
+    The lowest and highest key go to the scan as filters: where keys grow with
+    time, only the files of recent periods are read.
+    """
+    low, high = batch.agg(F.min(keys[0]), F.max(keys[0])).first()
+    near = fact.where(F.col(keys[0]).between(F.lit(low), F.lit(high)))
+    return _periods(near.select(sales.PERIOD, *keys).join(batch.select(*keys), keys, "left_semi"))
+
+
 def load_fact(lake: Lake, config: TableConfig, run: RunContext) -> AuditRow | None:
-    orders = valid_rows(lake, config, run)
-    if orders is None:
-        return None
+    """Bring the fact up to date, rewriting only the periods that something happened to.
+
+    Those are the months of the order rows that came in since the last run, those
+    in which their earlier versions lie, and those with rows whose customer or
+    product has a new key. They are written down first: a run that fails further
+    on leaves them to the next one. The result is that of building everything anew.
+    Full tables, and the first run, do build everything anew.
+    """
+    began = now()
+    last = _last_run(lake)
     names = run.columns
-    fact = sales.fact_sales(
-        orders,
-        current_versions(lake, "customer_dim"),
-        lake.read(GOLD, "product_dim"),
-        audit=[names.batch_id, names.run_id, names.processed_at],
+    audit = [names.batch_id, names.run_id, names.processed_at]
+    planned = [] if last is None else lake.commits(GOLD, TOUCHED, batch_id=last.batch_id)
+    since = planned[0].started_at if planned and config.load_type == INCREMENTAL else None
+    batch = valid_rows(lake, config, run, since=since)
+    customers, products = current_versions(lake, "customer_dim"), lake.read(GOLD, "product_dim")
+    if since is None:
+        if batch is None:
+            return None
+        everything = lake.spark.createDataFrame([(None, True)], f"{sales.PERIOD} date, everything boolean")
+        lake.write(everything, GOLD, TOUCHED, run, started=began)
+        fact = sales.with_period(sales.fact_sales(batch, customers, products, audit=audit))
+        return lake.write(
+            fact, GOLD, FACT_TABLE, run, table_format=config.target_file_format, partition_by=[sales.PERIOD], replace=True
+        )
+
+    fact = lake.read(GOLD, FACT_TABLE)
+    keys = key_columns(config.primary_key)
+    missing = [k for k in keys if k not in fact.columns]
+    if missing:
+        raise ValueError(f"the fact lacks the key columns {missing} of {config.table_name}")
+    own = [c for c in fact.columns if c not in ("CustomerSK", "ProductSK")]
+    periods = _rekeyed(lake, fact, customers, products)
+    if batch is not None:
+        batch = staged(sales.with_period(batch).select(*own), "orders-batch")
+        periods = periods.union(_periods(batch)).union(_periods_of_keys(fact, batch, keys))
+    unfinished = lake.read_batches(GOLD, TOUCHED, since=last.processed_at)
+    if unfinished is not None:
+        periods = periods.union(_periods(unfinished.where("not everything")))
+    periods = staged(periods.distinct(), "touched")
+    lake.write(periods.withColumn("everything", F.lit(False)), GOLD, TOUCHED, run, started=began)
+
+    rows = fact.where(_on(_collected(periods))).select(*own)
+    if batch is not None:
+        # Of the rows with a key of the batch the latest stays, as in a rebuild; the others pass.
+        met = rows.join(batch.select(*keys), keys, "left_semi").unionByName(batch)
+        order = [config.watermark_column] if config.watermark_column in own else []
+        latest = keep_latest(met, keys, [*order, names.processed_at])
+        rows = rows.join(batch.select(*keys), keys, "left_anti").unionByName(latest)
+    renewed = sales.fact_sales(rows.drop(sales.PERIOD), customers, products, audit=audit)
+    # What replaces a folder must not be read from it meanwhile.
+    renewed = staged(sales.with_period(renewed).select(*fact.columns), "fact-periods")
+    return lake.write(
+        renewed,
+        GOLD,
+        FACT_TABLE,
+        run,
+        table_format=config.target_file_format,
+        partition_by=[sales.PERIOD],
+        replace=periods,
     )
-    return lake.write(fact, GOLD, FACT_TABLE, run, table_format=config.target_file_format)
 
 
 def load_summaries(lake: Lake, run: RunContext) -> list[AuditRow]:
-    """Both summaries, written unsorted: order is a matter of the reader."""
+    """Both summaries, written unsorted: order is a matter of the reader.
+
+    They add up a table of customers and days, of which only the periods are
+    replaced that the fact has touched since the last run; the daily summary
+    keeps its days of other periods. The customer summary, written last, ends the run.
+    """
+    last = _last_run(lake)
+    touched = lake.read_batches(GOLD, TOUCHED, since=last.processed_at if last else None)
+    if touched is None:
+        return []
     fact = lake.read(GOLD, FACT_TABLE)
-    daily = sales.sales_summary(fact, ordered=False)
     customers = current_versions(lake, "customer_dim")
-    by_customer = sales.customer_sales_summary(fact, customers, ordered=False)
+    everything = last is None or bool(touched.where("everything").head(1))
+    periods = _periods(touched)
+    if not everything:
+        chosen = _on(_collected(periods))
+        fact = fact.where(chosen)
+    by_customer = lake.write(
+        sales.customer_days(fact), GOLD, CUSTOMER_DAYS, run, partition_by=[sales.PERIOD], replace=everything or periods
+    )
+    held = lake.read(GOLD, CUSTOMER_DAYS)
+    if everything:
+        daily = sales.sales_summary_of_days(held)
+    else:
+        before = lake.read(GOLD, SALES_SUMMARY)
+        others = sales.with_period(before).where(~F.coalesce(chosen, F.lit(False))).drop(sales.PERIOD)
+        daily = others.unionByName(sales.sales_summary_of_days(held.where(chosen)))
     return [
+        by_customer,
         lake.write(daily, GOLD, SALES_SUMMARY, run),
-        lake.write(by_customer, GOLD, CUSTOMER_SALES_SUMMARY, run),
+        lake.write(sales.customer_sales_summary_of_days(held, customers), GOLD, CUSTOMER_SALES_SUMMARY, run),
     ]
 
 

@@ -29,6 +29,10 @@ LANDING, BRONZE, SILVER, GOLD = "landing", "bronze", "silver", "gold"
 SUCCESS, FAILED = "SUCCESS", "FAILED"
 AUDIT = "audit_log"
 BATCH_FOLDER = "_LoadBatch"
+# Tables of which runs replace some partitions live in one folder; their audit rows say so.
+PARTITIONS_FOLDER, IN_PARTITIONS = "_Partitions", "/partitions"
+# False in the row that stands for a replaced partition, so that one without rows is replaced too.
+KEPT = "_Kept"
 
 
 @dataclass(frozen=True)
@@ -64,7 +68,7 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
-def _now() -> datetime:
+def now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
@@ -153,26 +157,32 @@ class Lake:
     def exists(self, layer: str, table: str) -> bool:
         return self.last_commit(layer, table) is not None
 
-    def _load(self, commits: Sequence[AuditRow]) -> DataFrame:
+    def load(self, commits: Sequence[AuditRow]) -> DataFrame:
         """The rows of some batches: one scan for all that share a schema."""
         batches: dict[tuple[str, str, str], list[str]] = {}
         for c in commits:
             folder = self.path(c.layer, c.table_name)
             batch = f"{folder}/{BATCH_FOLDER}={c.batch_id}"
-            batches.setdefault((folder, c.table_format, c.table_schema), []).append(batch)
+            if c.table_format.endswith(IN_PARTITIONS):
+                folder = batch = f"{folder}/{PARTITIONS_FOLDER}"
+            paths = batches.setdefault((folder, c.table_format, c.table_schema), [])
+            if batch not in paths:
+                paths.append(batch)
         frames = []
         for (folder, table_format, text), paths in batches.items():
             schema = T.StructType.fromJson(json.loads(text))
             if table_format in (CSV, JSON):
                 # Text is read as it was written: every value a string.
                 schema = T.StructType([T.StructField(n, T.StringType()) for n in schema.names])
+            in_partitions = table_format.endswith(IN_PARTITIONS)
+            table_format = table_format.removesuffix(IN_PARTITIONS)
             reader = self.spark.read.format(table_format).schema(schema).option("basePath", folder)
             if table_format == CSV:
                 reader = reader.options(**LANDED)
             rows = reader.load(paths).drop(BATCH_FOLDER)
             if table_format == CSV:
                 rows = rows.select(*[unescaped(F.col(f"`{c}`")).alias(c) for c in rows.columns])
-            frames.append(rows)
+            frames.append(rows.where(KEPT).drop(KEPT) if in_partitions else rows)
         return widened(frames)
 
     def read(self, layer: str, table: str) -> DataFrame:
@@ -180,14 +190,14 @@ class Lake:
         commit = self.last_commit(layer, table)
         if commit is None:
             raise LookupError(f"table {layer}/{table} has not been written")
-        return self._load([commit])
+        return self.load([commit])
 
     def read_batch(self, layer: str, table: str, batch_id: str) -> DataFrame:
         """The rows of one committed batch."""
         found = self.commits(layer, table, batch_id=batch_id)
         if not found:
             raise LookupError(f"batch {batch_id} of {layer}/{table} has not been written")
-        return self._load(found)
+        return self.load(found)
 
     def read_or_none(self, layer: str, table: str) -> DataFrame | None:
         return self.read(layer, table) if self.exists(layer, table) else None
@@ -197,7 +207,7 @@ class Lake:
     ) -> DataFrame | None:
         """Rows of every batch, or of those committed after a moment."""
         commits = self.commits(layer, table, since)
-        return self._load(commits) if commits else None
+        return self.load(commits) if commits else None
 
     def write(
         self,
@@ -211,15 +221,36 @@ class Lake:
         partition_by: Sequence[str] = (),
         rejected: Column | None = None,
         watermark: Column | None = None,
+        replace: DataFrame | bool | None = None,
+        started: datetime | None = None,
     ) -> AuditRow:
         """Write one batch and commit it. Counts and mark are taken while the
-        rows are written, so the table is never read again to count it."""
+        rows are written, so the table is never read again to count it.
+
+        With ``replace`` the table is kept by partition: the batch takes the
+        place of the partitions that ``replace`` names (a frame of the partition
+        columns, which must hold those of all rows), or of all if it is True.
+        Other partitions are not touched. Spark swaps partitions in one after
+        the other, so a run that fails there has to be repeated.
+        """
         if self.is_committed(layer, table, run.batch_id):
             raise ValueError(f"batch {run.batch_id} of {layer}/{table} is committed already")
-        started = _now()
+        started = started or now()
+        target = f"{self.path(layer, table)}/{BATCH_FOLDER}={run.batch_id}"
+        named_format, counted = table_format, F.lit(True)
+        if replace is not None:
+            target = f"{self.path(layer, table)}/{PARTITIONS_FOLDER}"
+            named_format, counted = table_format + IN_PARTITIONS, F.col(KEPT)
+            # Files of fair size, whatever the partitions hold.
+            df = df.withColumn(KEPT, F.lit(True)).hint("rebalance", *partition_by)
+            if replace is not True:
+                stands = replace.select(*partition_by).distinct().withColumn(KEPT, F.lit(False))
+                df = df.unionByName(stands, allowMissingColumns=True)
+            mode = "static" if replace is True else "dynamic"
+            options = {"partitionOverwriteMode": mode} | dict(options or {})
         observed = Observation()
         metrics = [
-            F.count(F.lit(1)).alias("total"),
+            F.count_if(counted).alias("total"),
             F.count_if(F.lit(False) if rejected is None else rejected).alias("bad"),
             F.max(F.lit(None) if watermark is None else watermark)
             .cast("timestamp_ntz")
@@ -234,13 +265,13 @@ class Lake:
                 layer,
                 table,
                 started,
-                _now(),
+                now(),
                 total,
                 None if total is None else total - bad,
                 None if total is None else bad,
                 status,
                 counts.get("mark"),
-                table_format,
+                named_format,
                 json.dumps(df.schema.jsonValue()),
                 error,
             )
@@ -254,7 +285,7 @@ class Lake:
             writer = writer.options(**(options or {}))
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
-            writer.save(f"{self.path(layer, table)}/{BATCH_FOLDER}={run.batch_id}")
+            writer.save(target)
         except Exception as error:
             self._append_audit(row(FAILED, {}, str(error)))
             raise
