@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerloom.llm.rows import ROW, with_row_key
 from layerloom.storage import staged
 
 BITS = 64  # length of a hash string
@@ -83,25 +84,35 @@ def _nearest(rows: pd.DataFrame, queries: pd.DataFrame, k: int, probed: float, t
     if len(rows) and len(queries):
         x, y = (np.stack(f["vector"].to_numpy()).astype(np.float64) for f in (rows, queries))
         ids, query_ids = rows["id"].to_numpy(), queries["id"].to_numpy()
+        own, query_own = rows["row"].to_numpy(), queries["row"].to_numpy()
+        x, y = _scaled(x), _scaled(y)
         lengths, query_lengths = (np.sqrt((v * v).sum(axis=1)) for v in (x, y))
         unit = x / lengths[:, None]
         forest = Forest(unit, trees)
         wanted = max(math.ceil(probed * len(rows)), 4 * k)
         for q, found in enumerate(forest.candidates(y / query_lengths[:, None], wanted)):
-            found = found[ids[found] != query_ids[q]]
+            found = found[own[found] != query_own[q]]
             rough = unit[found] @ (y[q] / query_lengths[q])
             if len(found) > k:
                 # A margin above rounding keeps all that may tie.
                 found = found[rough >= np.partition(rough, -k)[-k] - 1e-9]
             # Row by row, so that equal vectors get equal scores wherever they lie.
             scores = (x[found] * y[q]).sum(axis=1) / (lengths[found] * query_lengths[q])
-            best = np.lexsort((ids[found], -scores))[:k]
-            out += [(query_ids[q], i, s) for i, s in zip(ids[found][best].tolist(), scores[best].tolist())]
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
-        {"query_id": "int64", "vec_id": "int64", "score": "float64"}
+            best = found[np.lexsort((own[found], ids[found], -scores))[:k]]
+            of = dict(zip(found.tolist(), scores.tolist()))
+            out += [(query_own[q], query_ids[q], own[i], ids[i], of[i]) for i in best.tolist()]
+    return pd.DataFrame(out, columns=["query", "query_id", "row", "vec_id", "score"]).astype(
+        {"query": "int64", "query_id": "int64", "row": "int64", "vec_id": "int64", "score": "float64"}
     )
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors whose squares would leave the range of doubles, times a power of two; others as they are."""
+    largest = np.abs(vectors).max(axis=1)
+    power = np.where((largest > 1e100) | (largest < 1e-100), np.frexp(largest)[1], 0)
+    return np.ldexp(vectors, -power[:, None])
+
+
 def _usable(vector: Column) -> Column:
     """Whether a vector has a direction: no NULL, NaN or infinite component, and not all zero."""
     finite = F.forall(vector, lambda v: v.isNotNull() & (F.abs(v) < float("inf")))
@@ -131,7 +142,7 @@ def nearest(
 
     - Rows with a NULL id, and vectors that are NULL, empty, zero or hold a NULL,
       NaN or infinite component, take no part.
-    - Of rows that share an id the smallest vector counts.
+    - Rows that share an id are rows of their own: each is a candidate, also for the others, and each asks.
     - ``is_query`` may use any column of the table; vectors of another dimension
       than a query's are not compared with it.
     - An empty table, or one without queries, gives an empty result.
@@ -142,7 +153,7 @@ def nearest(
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
     rows = rows.filter(F.col("id").isNotNull() & _usable(F.col("vector")))
-    rows = rows.groupBy("id").agg(F.min(F.struct("vector", "asks")).alias("row")).select("id", "row.*")
+    rows = with_row_key(rows, "id", ["vector", "asks"]).withColumnRenamed(ROW, "row")
     rows = staged(rows.withColumn("size", F.size("vector")), "vectors")
     sizes = rows.groupBy("size").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("asked")
@@ -150,7 +161,7 @@ def nearest(
     shards = F.ceil(F.col("n") / SHARD_ROWS).cast("int")
     blocks = F.ceil(F.col("asked") / QUERY_ROWS).cast("int")
     plan = sizes.filter("asked > 0").select("size", shards.alias("shards"), blocks.alias("blocks"))
-    placed = rows.join(plan, "size").withColumn("place", F.xxhash64("id"))
+    placed = rows.join(plan, "size").withColumn("place", F.xxhash64("row"))
     own_shard, own_block = F.pmod("place", "shards"), F.pmod("place", "blocks")
     by_shard = placed.withColumn("shard", own_shard.cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -161,15 +172,15 @@ def nearest(
         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     )
     key = ["size", "shard", "block"]
-    met = by_shard.select(*key, "id", "vector", F.lit(False).alias("asks")).union(
-        by_block.select(*key, "id", "vector", F.lit(True).alias("asks"))
+    met = by_shard.select(*key, "row", "id", "vector", F.lit(False).alias("asks")).union(
+        by_block.select(*key, "row", "id", "vector", F.lit(True).alias("asks"))
     )
     # Cells are few and heavy, so they are dealt out whatever their size in bytes.
     cells = plan.agg(F.sum(F.col("shards").cast("long") * F.col("blocks"))).first()[0] or 1
     found = met.repartition(2 * cells, *key).groupBy(*key).applyInPandas(
         lambda rows: _nearest(rows[~rows["asks"]], rows[rows["asks"]], k, probed, trees),
-        "query_id bigint, vec_id bigint, score double",
+        "query bigint, query_id bigint, row bigint, vec_id bigint, score double",
     )
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

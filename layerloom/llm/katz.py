@@ -26,12 +26,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from layerloom.llm.words import lower_ascii, mixed, word_hashes
 from layerloom.storage import shared_folder, staged
 
 #: Words from which a block is closed after its document.
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 21
+#: Words of the corpus for each part of the key space, so that what a task holds of one stays the same.
+PART_WORDS = 1 << 20
 #: Counts above this are taken as they are, without discount.
 MOST_DISCOUNTED = 5
 
@@ -407,14 +410,17 @@ def _finish(kind: pa.DataType):
     return kernel
 
 
-def _bucketed(blocks: DataFrame) -> DataFrame:
-    """Write blocks down in buckets by number: answers are brought to them, the texts stay where they are."""
+def _bucketed(blocks: DataFrame) -> tuple[DataFrame, str]:
+    """Write blocks down in buckets by number: answers are brought to them, the texts stay where they are.
+
+    Returns them with the name of their table, which only lists files in the shared folder.
+    """
     spark = blocks.sparkSession
     name = f"texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{shared_folder(spark)}/{name}"
     blocks.write.bucketBy(buckets, "block").saveAsTable(name, format="parquet", path=path)
-    return spark.table(name)
+    return spark.table(name), name
 
 
 def katz_scores(
@@ -431,7 +437,7 @@ def katz_scores(
     Texts are lower-cased (A-Z) words, closed by an end token. The model learns
     from the documents that are not held out and scores all, in log10. The count
     tables of both levels and the backoff weights are written to ``tables`` in
-    ``parts`` parts of the key space (by default twice the shuffle width).
+    ``parts`` parts of the key space (by default one for each ``PART_WORDS`` words).
 
     - NULL and empty texts are the end token alone.
     - A NULL ``held_out`` counts as held out.
@@ -441,20 +447,22 @@ def katz_scores(
     """
     spark = docs.sparkSession
     tables = tables or f"{shared_folder(spark)}/katz-{uuid.uuid4().hex}"
-    parts = parts or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.coalesce(held_out, F.lit(True)).alias("held"),
         F.col(text_col).cast("binary").alias("text"),
     )
     kind = dict(rows.dtypes)["id"]
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-    blocks = _bucketed(
+    arrow = to_arrow_type(rows.schema["id"].dataType)
+    blocks, name = _bucketed(
         rows.mapInArrow(
             _blocks, f"ids array<{kind}>, held array<boolean>, lengths array<bigint>, words binary, often binary, tokens binary"
         ).withColumn("block", F.monotonically_increasing_id())
     )
 
+    words = F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b))
+    parts = parts or max(-(-(blocks.agg(words).first()[0] or 0) // PART_WORDS), 2)
+
     counted = f"{tables}/counts"
     blocks.mapInArrow(_ask(parts), _ASKED).groupBy("level", "part").applyInPandas(_tell, _TOLD).write.parquet(counted)
     told = spark.read.schema(_TOLD).parquet(counted)
@@ -473,6 +481,7 @@ def katz_scores(
         ),
         "scored",
     )
+    spark.sql(f"drop table {name}")
 
     backoff = f"{tables}/backoff"
     handed = scored.filter("kind <> 'texts'").select("kind", "part", "block", "keys", "data")

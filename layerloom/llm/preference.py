@@ -106,22 +106,26 @@ def preference_pairs(
     )
 
 
-def with_other_ending(turns: DataFrame) -> DataFrame:
-    """Each conversation with the last turn of the next one in place of its own.
+def with_other_tail(turns: DataFrame) -> DataFrame:
+    """Each conversation up to some turn, and from there on the turns of the next one.
 
-    Columns are conv_id, turn, role and text; conversations follow each other by
-    id, and the first one follows the last. Turns without a conversation or
-    number are left out; of repeated last turns one stays.
+    Columns are conv_id, turn (counted anew from 0), role and text. Conversations
+    follow each other by id, the first one follows the last. The n-th of them
+    keeps n modulo its length turns, so cuts lie at all depths; if the next one
+    is shorter, nothing follows.
+
+    Turns without a conversation are left out. NULL numbers, roles and texts, and
+    repeated turns, are taken as by ``preference_pairs``.
     """
-    given = turns.select("conv_id", "turn", "role", "text").filter("conv_id is not null and turn is not null")
-    last = given.groupBy("conv_id").agg(F.max(F.struct("turn", "role", "text")).alias("last"))
-    numbered = dense_key(last, ["conv_id"], "number", key_type="bigint")
-    n = F.lit(last.count())
-    endings = numbered.select(
-        (F.pmod(F.col("number") - 2, n) + 1).alias("number"), F.col("last.role").alias("role"), F.col("last.text").alias("text")
+    given = _turns(turns, "conv_id", "turn", "role", "text", "own")
+    numbered = dense_key(given, ["pair"], "number", key_type="bigint")
+    n = F.lit(numbered.count())
+    following = numbered.select((F.pmod(F.col("number") - 2, n) + 1).alias("number"), F.col("own").alias("next"))
+    cut = F.pmod("number", F.size("own")).cast("int")
+    beyond = F.greatest(F.size("next"), F.lit(1))
+    joined = numbered.join(following, "number").select(
+        "pair", F.concat(F.slice("own", F.lit(1), cut), F.slice("next", cut + 1, beyond)).alias("turns")
     )
-    ends = numbered.select("number", "conv_id", F.col("last.turn").alias("turn"))
-    body = given.join(ends.select("conv_id", F.col("turn").alias("end")), "conv_id").filter("turn < end")
-    return body.select("conv_id", "turn", "role", "text").union(
-        ends.join(endings, "number").select("conv_id", "turn", "role", "text")
+    return joined.select(F.col("pair").alias("conv_id"), F.posexplode("turns").alias("turn", "t")).select(
+        "conv_id", "turn", "t.role", "t.text"
     )

@@ -15,7 +15,7 @@ from layerloom.llm.langid import learnt_from, predict
 from layerloom.llm.packing import pack
 from layerloom.llm.parity import overlapping
 from layerloom.llm.pieces import decode_pieces, encode_pieces
-from layerloom.llm.preference import preference_pairs, with_other_ending
+from layerloom.llm.preference import preference_pairs, with_other_tail
 from layerloom.llm.quality import judged
 from layerloom.llm.rans import read_ids, write_ids
 from layerloom.llm.registry import query, table
@@ -96,9 +96,9 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_preference", PREFERENCE_SQL)
 def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation is preferred to itself with the ending of another one."""
+    """Every conversation is preferred to one that goes on, from some turn, like the next one."""
     turns = table(spark, sf_dir, "conversations")
-    pairs = preference_pairs(turns, with_other_ending(turns))
+    pairs = preference_pairs(turns, with_other_tail(turns))
 
     def spans(mask: str) -> Column:
         return F.array_join(F.transform(mask, lambda s: F.concat(s["start"], F.lit("-"), s["end"])), ",").alias(mask)

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from layerloom.llm.rows import ROW, running_total, with_row_key, wrapped
 from layerloom.llm.tokens import encoder
@@ -273,7 +274,7 @@ def write_ids(
     spark = docs.sparkSession
     table = [(int(s), int(frequency[s])) for s in np.flatnonzero(frequency)]
     spark.createDataFrame(table, "symbol bigint, frequency bigint").coalesce(1).write.parquet(f"{path}/table")
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    arrow = to_arrow_type(ids.schema["id"].dataType)
     blocks = ids.mapInArrow(
         _encode(enc.dtype, frequency, arrow), f"first bigint, n bigint, ids array<{kind}>, payload binary"
     )
@@ -319,7 +320,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.parquet(f"{path}/blocks")
     places = running_total(blocks.select("first", "n"), [], ["first"], "n", "before").select("first", "before")
     kind = dict(blocks.dtypes)["ids"][len("array<") : -1]
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    arrow = to_arrow_type(blocks.schema["ids"].dataType.elementType)
     placed = blocks.join(places, "first").select("before", "ids", "payload")
     schema = f"id {kind}, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
     return placed.mapInArrow(_decode(frequency, arrow), schema)

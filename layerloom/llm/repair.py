@@ -390,7 +390,9 @@ class Repair:
         blocks = in_block.select("conv", "block", F.array_join("turns.code", "").alias("codes"))
         kind = blocks.schema["conv"].dataType.simpleString()
         schema = f"conv {kind}, block bigint, costs array<bigint>, ranks array<bigint>, edits array<string>, illegal bigint, rim string"
-        solved = staged(blocks.mapInArrow(_solve, schema), "solved")
+        # Few bytes but much work: dealt out to as many tasks as a shuffle has.
+        width = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        solved = staged(blocks.repartition(width).mapInArrow(_solve, schema), "solved")
         alone = solved.filter(F.size("costs") == 1).select(
             "conv",
             "block",

@@ -94,36 +94,54 @@ from judged j left join chosen c
 
 PREFERENCE_SQL = r"""
 with turns as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  where conv_id is not null and turn is not null
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as pos
+  from conversations where conv_id is not null
 ),
-last as (
-  select conv_id, max({'turn': turn, 'role': role, 'text': text}) as l from turns group by conv_id
+sizes as (
+  select conv_id, count(*) as n, row_number() over (order by conv_id) as number, count(*) over () as convs
+  from turns group by conv_id
 ),
-numbered as (select *, row_number() over (order by conv_id) as number, count(*) over () as n from last),
-endings as (
-  select a.conv_id, a.l.turn as turn, b.l.role as role, b.l.text as text
-  from numbered a join numbered b on b.number = a.number % a.n + 1
+cuts as (
+  select a.conv_id, b.conv_id as next, a.number % a.n as cut
+  from sizes a join sizes b on b.number = a.number % a.convs + 1
 ),
-pairs as (
-  select conv_id, turn, t.role, t.text, l.turn as end, e.role as r_role, e.text as r_text,
-         turn = l.turn as ends, e.role = t.role and e.text = t.text as same
-  from turns t join last l using (conv_id) left join endings e using (conv_id, turn)
+other as (
+  select conv_id, pos, role, text from turns join cuts using (conv_id) where pos < cut
+  union all
+  select c.conv_id, t.pos, t.role, t.text from cuts c join turns t on t.conv_id = c.next where t.pos >= c.cut
+),
+aligned as (
+  select coalesce(c.conv_id, r.conv_id) as conv_id, coalesce(c.pos, r.pos) as pos,
+         coalesce(c.role = r.role and c.text = r.text, false) as same
+  from turns c full join other r on c.conv_id = r.conv_id and c.pos = r.pos
+),
+prefix as (
+  select conv_id, coalesce(min(pos) filter (where not same), count(*)) as shared from aligned group by conv_id
 ),
 rendered as (
-  select conv_id, turn, ends, coalesce(same, true) as shared,
-         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as c,
-         '<|' || r_role || '|>' || chr(10) || r_text || '<|end|>' || chr(10) as r,
-         role = 'assistant' as c_learnt, r_role = 'assistant' as r_learnt,
-         length(role) + 5 as c_from, length(r_role) + 5 as r_from
-  from pairs
+  select side, conv_id, pos, shared, role = 'assistant' as learnt, length(role) + 5 as head,
+         '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) as line
+  from (select 'c' as side, * from turns union all select 'r', conv_id, role, text, pos from other) join prefix using (conv_id)
+),
+placed as (
+  select *, coalesce(sum(length(line)) over (partition by side, conv_id order by pos
+                                            rows between unbounded preceding and 1 preceding), 0) as begins
+  from rendered where pos >= shared
+),
+tails as (
+  select conv_id,
+         string_agg(line, '' order by pos) filter (where side = 'c') as chosen,
+         string_agg(line, '' order by pos) filter (where side = 'r') as rejected,
+         string_agg((begins + head) || '-' || (begins + length(line)), ',' order by pos) filter (where side = 'c' and learnt) as chosen_mask,
+         string_agg((begins + head) || '-' || (begins + length(line)), ',' order by pos) filter (where side = 'r' and learnt) as rejected_mask
+  from placed group by conv_id
+),
+prompts as (
+  select conv_id, string_agg(line, '' order by pos) as prompt from rendered where side = 'c' and pos < shared group by conv_id
 )
-select conv_id,
-       (count(*) filter (where shared))::int as prompt_turns,
-       coalesce(string_agg(c, '' order by turn) filter (where shared), '') as prompt,
-       coalesce(max(c) filter (where not shared), '') as chosen,
-       coalesce(max(r) filter (where not shared), '') as rejected,
-       coalesce(max(c_from || '-' || length(c)) filter (where not shared and c_learnt), '') as chosen_mask,
-       coalesce(max(r_from || '-' || length(r)) filter (where not shared and r_learnt), '') as rejected_mask
-from rendered group by conv_id
+select conv_id, shared::int as prompt_turns, coalesce(prompt, '') as prompt, coalesce(chosen, '') as chosen,
+       coalesce(rejected, '') as rejected, coalesce(chosen_mask, '') as chosen_mask, coalesce(rejected_mask, '') as rejected_mask
+from prefix left join prompts using (conv_id) left join tails using (conv_id)
+where conv_id in (select conv_id from other)
 """

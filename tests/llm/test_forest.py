@@ -80,8 +80,17 @@ def test_rows_that_take_no_part(spark):
     ]
     df = spark.createDataFrame(rows, SCHEMA).withColumns({"id": F.lit("x"), "vector": F.lit(1), "size": F.lit(2)})
     found = _found(forest.nearest(df, F.col("vec_id") % 50 == 0, k=5))
-    assert {q: [i for i, _ in v] for q, v in found.items()} == {0: [1, 8]}
-    assert found[0][1][1] == -1.0
+    assert {q: [i for i, _ in v] for q, v in found.items()} == {0: [8, 8, 1, 8]}
+    assert found[0][3][1] == -1.0
+
+
+def test_rows_that_share_an_id_and_vectors_of_any_size(spark):
+    """A query's own row takes no part, another one with its id does; squares may overflow or vanish."""
+    rows = [(1, [1e200, 0.0]), (1, [1e-200, 0.0]), (2, [1e200, 1e200]), (3, [0.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = forest.nearest(df, F.col("vec_id") == 1, k=3).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in found) == sorted([(1, 1, 1), (1, 2, 2), (1, 3, 3)] * 2)
+    assert all(abs(r.score - {1: 1.0, 2: 0.5**0.5, 3: 0.0}[r.vec_id]) < 1e-15 for r in found)
 
 
 def test_empty(spark):

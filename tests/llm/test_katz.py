@@ -148,3 +148,11 @@ def test_tables_hold_the_counts(spark, tmp_path):
         counts[r.level] += katz._unpacked(bytes(r.data), "<i8").tolist()
     assert sorted(counts[1]) == sorted(model.one.values())
     assert sorted(counts[2]) == sorted(model.two.values())
+
+
+def test_ids_of_other_types_and_a_clean_catalog(spark):
+    rows = [(float(i), "a b a c") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id double, text string")
+    found = katz.katz_scores(docs, F.col("doc_id") == 0.0).collect()
+    assert sorted(r.id for r in found) == [0.0, 1.0, 2.0]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("texts_")]

@@ -1,9 +1,13 @@
 import random
 from collections import defaultdict
 
+import duckdb
 from pyspark.sql import functions as F
 
 from layerloom.llm import preference
+from layerloom.llm.queries import op4_preference
+from layerloom.llm.sql import PREFERENCE_SQL
+from tests.oracle import spark_result, sql_result
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
@@ -83,13 +87,41 @@ def test_edge_cases(spark):
     assert got[2][2:] == (("", []), ("", []))
 
 
-def test_other_endings(spark):
-    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (5, 0, "user", "c"), (9, 3, "assistant", "d"), (None, 0, "user", "e")]
-    got = {tuple(r) for r in preference.with_other_ending(spark.createDataFrame(turns, SCHEMA)).collect()}
-    assert got == {(1, 0, "user", "a"), (1, 1, "user", "c"), (5, 0, "assistant", "d"), (9, 3, "assistant", "b")}
+def test_other_tails(spark):
+    """The n-th conversation keeps n modulo its length turns and goes on like the next."""
+    turns = [
+        (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 1, "assistant", "b"), (5, None, "user", None), (5, 4, "assistant", "c"),
+        (9, 3, "assistant", "d"), (9, 4, "user", "e"), (9, 9, None, "f"), (9, 10, "user", "g"), (None, 0, "user", "x"),
+    ]
+    got = sorted(tuple(r) for r in preference.with_other_tail(spark.createDataFrame(turns, SCHEMA)).collect())
+    assert got == [
+        (1, 0, "user", "a"), (1, 1, "assistant", "c"),
+        (5, 0, "assistant", "d"), (5, 1, "user", "e"), (5, 2, "", "f"), (5, 3, "user", "g"),
+        (9, 0, "assistant", "d"), (9, 1, "user", "e"), (9, 2, "", "f"),
+    ]
+
+
+def test_query_has_prompts_of_many_lengths(spark, sf_dir):
+    rows = op4_preference(spark, sf_dir).collect()
+    assert len({r.prompt_turns for r in rows}) >= 4
+    assert any("," in r.chosen_mask for r in rows) and any("," in r.rejected_mask for r in rows)
+
+
+def test_sql_treats_null_and_repeated_turns_alike(spark, tmp_path):
+    """The query and its SQL on turns with NULL numbers, repeats and ties."""
+    rng = random.Random(8)
+    rows = []
+    for conv in [None, *range(60)]:
+        for _ in range(rng.randint(1, 7)):
+            row = (conv, rng.choice([None, 0, 1, 2, 3]), rng.choice(["user", "assistant", None]), rng.choice(["a", "b", None, "ü"]))
+            rows += [row] * rng.choice([1, 1, 1, 2])
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert spark_result(op4_preference(spark, str(tmp_path))) == sql_result(con, PREFERENCE_SQL)
 
 
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert preference.preference_pairs(empty, empty).collect() == []
-    assert preference.with_other_ending(empty).collect() == []
+    assert preference.with_other_tail(empty).collect() == []
