@@ -18,7 +18,8 @@ from layerloom.storage import staged
 _CHUNK_WORDS = 1 << 17
 #: 64-bit words of the short sketch that candidates are compared by.
 _SHORT = 8
-#: A scheme has so many segments more than it needs, as a share; each document leaves its weakest ones out.
+#: A scheme has more segments than it needs, by one in so many. Half of these may be left out by each
+#: set, the others have to agree too.
 _SPARE = 4
 #: A band spans so many times what a set can reach: wider ones ask fewer sets for the keys of two schemes.
 _REACHES = 2
@@ -54,6 +55,11 @@ class Bands:
     def limit(self, band: int) -> int:
         return differences(self.percent, 2 * (self.start(band + 1) - 1))
 
+    def agreeing(self, size: int) -> int:
+        """Keys that a set of this size shares at least with each smaller one that it is linked to."""
+        _, spare, left_out = _segments(self.limit(self.of(size)))
+        return 1 + spare - left_out
+
     def schemes(self, size: int) -> list[int]:
         """Schemes that a set of this size takes part in: of its band, and of the next one if that is in reach."""
         band = self.of(size)
@@ -67,16 +73,22 @@ def differences(percent: int, sizes: int) -> int:
     return (100 - percent) * sizes // (100 + percent)
 
 
+def _segments(limit: int) -> tuple[int, int, int]:
+    """Segments that are needed so that one agrees, more than that, and how many a set may leave out."""
+    need = limit + 1
+    spare = -(-need // _SPARE)
+    return need, spare, spare // 2
+
+
 def strongest(shingles: np.ndarray, scheme: int, limit: int) -> np.ndarray:
     """Keys of the segments of a parity sketch that the set is joined on.
 
     Every shingle flips one bit of one segment, so a shingle that only one of two
     sets holds changes one segment. Segments with the fewest bits say least: the
-    weakest spare ones are left out. The order is that of the segments' contents,
-    so the strongest segment that two sets share is kept by both.
+    weakest are left out. The order is that of the segments' contents, so of the
+    segments that two sets share both leave out the same ones first.
     """
-    need = limit + 1
-    spare = -(-need // _SPARE)
+    need, spare, left_out = _segments(limit)
     spread = mixed(shingles)
     segment = ((spread >> np.uint64(32)) * np.uint64(need + spare)) >> np.uint64(32)
     sketch = np.zeros(need + spare, np.uint64)
@@ -84,7 +96,7 @@ def strongest(shingles: np.ndarray, scheme: int, limit: int) -> np.ndarray:
     place = np.arange(need + spare, dtype=np.uint64) | np.uint64(scheme << 32)
     with np.errstate(over="ignore"):
         keys = mixed(sketch * np.uint64(0x9E3779B97F4A7C15) ^ mixed(place))
-    return keys[np.lexsort((keys, np.bitwise_count(sketch)))[spare:]]
+    return keys[np.lexsort((keys, np.bitwise_count(sketch)))[left_out:]]
 
 
 def _short_sketch(shingles: np.ndarray) -> np.ndarray:
@@ -115,10 +127,11 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _described(shingle: int):
-    """Size, two checksums and the short sketch of each set."""
+def _described(shingle: int, percent: int):
+    """Size, two checksums, the short sketch and the least number of shared keys of each set."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent)
         for part, sets in _sets(batches, shingle):
             with np.errstate(over="ignore"):
                 sums = np.array([mixed(s).sum(dtype=np.uint64) for s in sets], np.uint64)
@@ -133,8 +146,9 @@ def _described(shingle: int):
                     _signed(sums),
                     _signed(other),
                     pa.ListArray.from_arrays(offsets, pa.array(short)),
+                    pa.array([bands.agreeing(len(s)) if len(s) else 0 for s in sets], pa.int64()),
                 ],
-                names=["id", "row", "n", "sum", "other", "sketch"],
+                names=["id", "row", "n", "sum", "other", "sketch", "agreeing"],
             )
 
     return kernel
@@ -214,6 +228,11 @@ class _Join:
         room = F.floor((F.col("u.n") + F.col("v.n")) * (100 - self._percent) / (100 + self._percent))
         return (small * 100 >= large * self._percent) & (apart <= room)
 
+    @staticmethod
+    def _agreeing() -> Column:
+        """Keys that a link of u and v shares at least."""
+        return F.when(F.col("u.n") >= F.col("v.n"), F.col("u.agreeing")).otherwise(F.col("v.agreeing"))
+
     def _checked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (u, v) that are links, by their whole sets."""
         ends = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
@@ -223,10 +242,10 @@ class _Join:
         return pairs.join(u, "u").join(v, "v").mapInArrow(_verified(self._percent), "u bigint, v bigint")
 
     def _candidates(self, pairs: DataFrame) -> DataFrame:
-        """Those pairs (a, b) with their n that sizes and sketches do not rule out, as (u, v, n)."""
+        """Those pairs (a, b) with n shared keys that sizes, sketches and n do not rule out, as (u, v, n)."""
         u, v = self._nodes.alias("u"), self._nodes.alias("v")
         met = pairs.alias("p").join(u, F.col("p.a") == F.col("u.node")).join(v, F.col("p.b") == F.col("v.node"))
-        return met.filter(self._may_link()).select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("p.n").alias("n"))
+        return met.filter(self._may_link() & (F.col("p.n") >= self._agreeing())).select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("p.n").alias("n"))
 
     def links(self) -> DataFrame:
         """(u, v) pairs that connect what is linked, directly or over others.
@@ -235,7 +254,9 @@ class _Join:
         the one that it shares most keys with. Then with the other first sets, if
         they are not in one component with it yet. Keys that still hold several
         components are joined for pairs across components, so no link is lost, and
-        the copies of one text are not compared with each other.
+        the copies of one text are not compared with each other. A link shares a
+        number of keys; with fewer a pair is passed over, in the first steps as
+        well, which see a part of its keys only.
         """
         keys = self._texts_of(self._nodes.select("node")).mapInArrow(
             _keyed(self._shingle, self._percent), "key bigint, node bigint"
@@ -263,7 +284,11 @@ class _Join:
         u, v = rest.alias("u"), rest.alias("v")
         across = (F.col("u.key") == F.col("v.key")) & (F.col("u.label") < F.col("v.label")) & self._may_link()
         low, high = F.least("u.node", "v.node").alias("u"), F.greatest("u.node", "v.node").alias("v")
-        left = staged(u.join(v, across).select(low, high).distinct().join(tried, ["u", "v"], "left_anti"), "left")
+        # Here all shared keys of a pair meet, so their number decides.
+        met = u.join(v, across).select(low, high, self._agreeing().alias("agreeing"))
+        enough = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.min("agreeing").alias("agreeing"))
+        enough = enough.filter("n >= agreeing").select("u", "v")
+        left = staged(enough.join(tried, ["u", "v"], "left_anti"), "left")
         return linked.union(staged(self._checked(left), "links"))
 
     def _across(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -306,10 +331,10 @@ def overlapping(
     keyed = with_row_key(wrapped(docs, id_col, text_col), "id", ["text"])
     texts = keyed.select(F.col(ROW).alias("row"), F.col("text").cast("binary").alias("text"))
     kind = dict(keyed.dtypes)["id"]
-    described = f"id {kind}, row bigint, n bigint, sum bigint, other bigint, sketch array<bigint>"
+    described = f"id {kind}, row bigint, n bigint, sum bigint, other bigint, sketch array<bigint>, agreeing bigint"
     sets = staged(
         keyed.select("id", F.col(ROW).alias("row"), F.col("text").cast("binary").alias("text")).mapInArrow(
-            _described(shingle), described
+            _described(shingle, percent), described
         ),
         "sets",
     )
@@ -317,10 +342,10 @@ def overlapping(
     nodes = staged(
         sets.filter("n > 0")
         .groupBy(*same)
-        .agg(F.min("row").alias("node"), F.min("id").alias("first"), F.min("sketch").alias("sketch")),
+        .agg(F.min("row").alias("node"), F.min("id").alias("first"), F.min("sketch").alias("sketch"), F.min("agreeing").alias("agreeing")),
         "nodes",
     )
-    labels = connected_components(_Join(texts, nodes.select("node", "n", "sketch"), shingle, percent).links())
+    labels = connected_components(_Join(texts, nodes.select("node", "n", "sketch", "agreeing"), shingle, percent).links())
     linked = nodes.select("node", "first").join(labels, "node")
     reached = linked.groupBy("component").agg(F.min("first").alias("reached"))
     of_node = linked.join(reached, "component").select("node", "reached")
