@@ -13,11 +13,13 @@ WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 def shared_folder(spark: SparkSession) -> str:
     """Folder that the driver and all executors reach, as named by the session.
 
-    Without the setting it is a folder of the warehouse, which a cluster shares too.
+    A cluster must name one. In local mode, without the setting, it is a folder of the warehouse.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
     return f"{spark.conf.get(WAREHOUSE_SETTING).rstrip('/')}/_staged"
 
 

@@ -147,3 +147,12 @@ def test_schema_difference_and_union(spark):
     assert schema_difference(old, old).count() == 0
     text = evolve_union(old, spark.createDataFrame([("x",)], "id string"))
     assert sorted(r["id"] for r in text.collect()) == ["1", "x"]
+
+
+def test_many_small_doubles_add_up(spark):
+    """100,000 amounts of 4e-7 are 0.04: none is rounded away before the sum."""
+    df = spark.range(100_000).select(F.lit(4e-7).alias("amount"), F.lit(1).alias("g"))
+    summed = df.groupBy("g").agg(F.sum(money.exact(df, "amount")).alias("s"), F.count("amount").alias("n"))
+    scale = summed.schema["s"].dataType.scale
+    row = summed.select(money.total(F.col("s")).alias("t"), money.mean(F.col("s"), F.col("n"), scale).alias("m")).first()
+    assert (row.t, row.m) == (Decimal("0.04"), Decimal("0.00"))
