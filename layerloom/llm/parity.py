@@ -56,7 +56,10 @@ class Bands:
         return differences(self.percent, 2 * (self.start(band + 1) - 1))
 
     def agreeing(self, size: int) -> int:
-        """Keys that a set of this size shares at least with each smaller one that it is linked to."""
+        """Keys that a set of this size shares at least with each smaller one that it is linked to.
+
+        It grows with the size, so with a larger one it shares no fewer.
+        """
         _, spare, left_out = _segments(self.limit(self.of(size)))
         return 1 + spare - left_out
 
@@ -263,7 +266,10 @@ class _Join:
         )
         # One pass over sorted keys: a frequent key streams by, nothing of it is held.
         sorted_keys = keys.repartition("key").sortWithinPartitions("key", "node")
-        shared = staged(sorted_keys.mapInArrow(_buckets, "key bigint, node bigint, first bigint"), "shared")
+        met = staged(sorted_keys.mapInArrow(_buckets, "key bigint, node bigint, first bigint"), "met")
+        able = self._able(met.drop("first"))
+        firsts = able.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
+        shared = staged(able.join(firsts.drop("last"), "key"), "shared")
         stars = shared.filter("node != first").groupBy("first", "node").agg(F.count(F.lit(1)).alias("n"))
         pairs = stars.select(F.col("first").alias("a"), F.col("node").alias("b"), "n")
         near = staged(self._candidates(pairs), "stars")
@@ -280,7 +286,8 @@ class _Join:
         named = shared.drop("first").join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
         named = staged(named.select("key", "node", "label"), "named")
         several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-        rest = staged(named.join(several.select("key"), "key").join(self._nodes, "node"), "rest")
+        left = staged(self._able(named.join(several.select("key"), "key")), "left")
+        rest = staged(left.join(self._nodes, "node"), "rest")
         u, v = rest.alias("u"), rest.alias("v")
         across = (F.col("u.key") == F.col("v.key")) & (F.col("u.label") < F.col("v.label")) & self._may_link()
         low, high = F.least("u.node", "v.node").alias("u"), F.greatest("u.node", "v.node").alias("v")
@@ -288,8 +295,14 @@ class _Join:
         met = u.join(v, across).select(low, high, self._agreeing().alias("agreeing"))
         enough = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.min("agreeing").alias("agreeing"))
         enough = enough.filter("n >= agreeing").select("u", "v")
-        left = staged(enough.join(tried, ["u", "v"], "left_anti"), "left")
-        return linked.union(staged(self._checked(left), "links"))
+        others = staged(enough.join(tried, ["u", "v"], "left_anti"), "others")
+        return linked.union(staged(self._checked(others), "links"))
+
+    def _able(self, keys: DataFrame) -> DataFrame:
+        """The rows of sets that still have as many keys as a link of theirs shares at least."""
+        held = keys.groupBy("node").agg(F.count(F.lit(1)).alias("held"))
+        able = held.join(self._nodes.select("node", "agreeing"), "node").filter("held >= agreeing")
+        return keys.join(able.select("node"), "node", "left_semi")
 
     def _across(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """The pairs (u, v) that are not in one component."""
