@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerloom.llm.components import connected_components
@@ -215,6 +215,11 @@ def _verified(percent: int):
     return kernel
 
 
+def _passed_over(agreeing: str) -> Column:
+    """Frequent keys that a set leaves out of the last join; it grows with ``agreeing``."""
+    return F.floor(F.col(agreeing) / 2)
+
+
 class _Join:
     """Links between the distinct sets of a table."""
 
@@ -259,7 +264,8 @@ class _Join:
         components are joined for pairs across components, so no link is lost, and
         the copies of one text are not compared with each other. A link shares a
         number of keys; with fewer a pair is passed over, in the first steps as
-        well, which see a part of its keys only.
+        well, which see a part of its keys only. Pairs are counted before they meet
+        sketches.
         """
         keys = self._texts_of(self._nodes.select("node")).mapInArrow(
             _keyed(self._shingle, self._percent), "key bigint, node bigint"
@@ -267,11 +273,10 @@ class _Join:
         # One pass over sorted keys: a frequent key streams by, nothing of it is held.
         sorted_keys = keys.repartition("key").sortWithinPartitions("key", "node")
         met = staged(sorted_keys.mapInArrow(_buckets, "key bigint, node bigint, first bigint"), "met")
-        able = self._able(met.drop("first"))
-        firsts = able.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
-        shared = staged(able.join(firsts.drop("last"), "key"), "shared")
-        stars = shared.filter("node != first").groupBy("first", "node").agg(F.count(F.lit(1)).alias("n"))
-        pairs = stars.select(F.col("first").alias("a"), F.col("node").alias("b"), "n")
+        # Dealt by node alone, the pairs are counted and meet their set without a second shuffle.
+        stars = met.filter("node != first").repartition("node").groupBy("node", "first").agg(F.count(F.lit(1)).alias("n"))
+        enough = stars.join(self._nodes.select("node", "agreeing"), "node").filter("n >= agreeing")
+        pairs = enough.select(F.col("first").alias("a"), F.col("node").alias("b"), "n")
         near = staged(self._candidates(pairs), "stars")
 
         best = near.groupBy("v").agg(F.max(F.struct("n", (-F.col("u")).alias("u"))).alias("best"))
@@ -283,26 +288,36 @@ class _Join:
         tried = tried.union(others)
 
         labels = connected_components(linked)
-        named = shared.drop("first").join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+        named = met.drop("first").join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
         named = staged(named.select("key", "node", "label"), "named")
-        several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-        left = staged(self._able(named.join(several.select("key"), "key")), "left")
-        rest = staged(left.join(self._nodes, "node"), "rest")
+        several = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("often"))
+        several = several.filter("low != high").select("key", "often")
+        left = staged(self._rarest(named.join(several, "key")), "left")
+        rest = left.join(self._nodes, "node")
         u, v = rest.alias("u"), rest.alias("v")
         across = (F.col("u.key") == F.col("v.key")) & (F.col("u.label") < F.col("v.label")) & self._may_link()
         low, high = F.least("u.node", "v.node").alias("u"), F.greatest("u.node", "v.node").alias("v")
-        # Here all shared keys of a pair meet, so their number decides.
+        # Here all keys left that a pair shares meet, so their number decides.
         met = u.join(v, across).select(low, high, self._agreeing().alias("agreeing"))
-        enough = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.min("agreeing").alias("agreeing"))
-        enough = enough.filter("n >= agreeing").select("u", "v")
+        counted = met.groupBy("u", "v").agg(F.count(F.lit(1)).alias("n"), F.min("agreeing").alias("agreeing"))
+        enough = counted.filter(F.col("n") >= F.col("agreeing") - _passed_over("agreeing")).select("u", "v")
         others = staged(enough.join(tried, ["u", "v"], "left_anti"), "others")
         return linked.union(staged(self._checked(others), "links"))
 
-    def _able(self, keys: DataFrame) -> DataFrame:
-        """The rows of sets that still have as many keys as a link of theirs shares at least."""
-        held = keys.groupBy("node").agg(F.count(F.lit(1)).alias("held"))
-        able = held.join(self._nodes.select("node", "agreeing"), "node").filter("held >= agreeing")
-        return keys.join(able.select("node"), "node", "left_semi")
+    def _rarest(self, keys: DataFrame) -> DataFrame:
+        """The keys of sets that have as many as a link shares, without the most frequent ones of each set.
+
+        Frequency orders keys alike for all sets. So of the keys that a link shares,
+        both sets pass over the first ones in that order, together no more than the
+        larger set does: ``agreeing`` less that number are left to the pair. The rows
+        of a set are bounded by its shingles.
+        """
+        of_set = Window.partitionBy("node")
+        ranked = keys.withColumn("place", F.row_number().over(of_set.orderBy(F.desc("often"), "key")))
+        ranked = ranked.withColumn("held", F.count(F.lit(1)).over(of_set))
+        kept = ranked.join(self._nodes.select("node", "agreeing"), "node")
+        kept = kept.filter((F.col("held") >= F.col("agreeing")) & (F.col("place") > _passed_over("agreeing")))
+        return kept.select("key", "node", "label")
 
     def _across(self, pairs: DataFrame, labels: DataFrame) -> DataFrame:
         """The pairs (u, v) that are not in one component."""
