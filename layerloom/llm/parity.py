@@ -17,7 +17,7 @@ from layerloom.storage import staged
 #: Words of documents that are worked on at a time; a longer document is worked on alone.
 _CHUNK_WORDS = 1 << 17
 #: 64-bit words of the short sketch that candidates are compared by.
-_SHORT = 8
+_SHORT = 6
 #: A scheme has more segments than it needs, by one in so many. Half of these may be left out by each
 #: set, the others have to agree too.
 _SPARE = 4
@@ -103,7 +103,8 @@ def strongest(shingles: np.ndarray, scheme: int, limit: int) -> np.ndarray:
 
 
 def _short_sketch(shingles: np.ndarray) -> np.ndarray:
-    bits = np.bincount((mixed(~shingles) & np.uint64(64 * _SHORT - 1)).astype(np.int64), minlength=64 * _SHORT) & 1
+    place = ((mixed(~shingles) >> np.uint64(32)) * np.uint64(64 * _SHORT)) >> np.uint64(32)
+    bits = np.bincount(place.astype(np.int64), minlength=64 * _SHORT) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -217,7 +218,7 @@ def _verified(percent: int):
 
 def _passed_over(agreeing: str) -> Column:
     """Frequent keys that a set leaves out of the last join; it grows with ``agreeing``."""
-    return F.floor(F.col(agreeing) / 2)
+    return F.floor(F.col(agreeing) * 3 / 4)
 
 
 class _Join:
