@@ -43,15 +43,22 @@ def initial_versions(
 
 
 def classify(
-    dimension: DataFrame, source: DataFrame, key: str, run: RunContext, *, hash_column: str | None = None
+    dimension: DataFrame,
+    source: DataFrame,
+    key: str,
+    run: RunContext,
+    *,
+    hash_column: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """(key, change) for every key in the current dimension or the source.
 
-    Only key and hash are read and shuffled. Hashes are compared null-safely.
+    Only key and hash are read and shuffled, and the columns of the current
+    version in ``carry``. Hashes are compared null-safely.
     """
     h = hash_column or run.columns.record_hash
     before = current_rows(dimension, run).select(
-        key, F.col(h).alias("hash_before"), F.lit(True).alias("in_dimension")
+        key, F.col(h).alias("hash_before"), F.lit(True).alias("in_dimension"), *carry
     )
     after = source.select(key, F.col(h).alias("hash_after"), F.lit(True).alias("in_source"))
     change = (
@@ -60,7 +67,7 @@ def classify(
         .when(F.col("hash_before").eqNullSafe(F.col("hash_after")), SAME)
         .otherwise(CHANGED)
     )
-    return before.join(after, key, "full_outer").select(key, change.alias("change"))
+    return before.join(after, key, "full_outer").select(key, change.alias("change"), *carry)
 
 
 def new_rows(dimension: DataFrame, source: DataFrame, key: str, run: RunContext) -> DataFrame:
@@ -94,42 +101,57 @@ def highest_key(dimension: DataFrame, surrogate: str) -> int:
     return dimension.agg(F.max(surrogate).alias("top")).first()["top"] or 0
 
 
-def merge_current(
+def find_changes(
     current: DataFrame,
     source: DataFrame,
     key: str,
     run: RunContext,
     *,
-    highest: int,
     surrogate: str | None = None,
     hash_column: str | None = None,
     close_missing: bool = False,
 ) -> DataFrame:
-    """What a load makes of the current versions: some are closed, the others
-    stay, and new ones are opened with keys above ``highest``.
+    """(key, change, surrogate key of the current version) of all keys that a load
+    opens or closes a version of, written down."""
+    surrogate = surrogate or run.columns.surrogate_key
+    wanted = [NEW, CHANGED, MISSING] if close_missing else [NEW, CHANGED]
+    found = classify(current, source, key, run, hash_column=hash_column, carry=[surrogate])
+    return staged(found.where(F.col("change").isin(wanted)), "scd-changes")
+
+
+def opening() -> Column:
+    """Changes that open a version; the others, and changed keys, close one."""
+    return F.col("change").isin(NEW, CHANGED)
+
+
+def closing() -> Column:
+    return F.col("change").isin(CHANGED, MISSING)
+
 
-    Earlier history is neither read nor returned. See ``merge_versions``.
+def apply_changes(
+    current: DataFrame,
+    source: DataFrame,
+    changes: DataFrame,
+    key: str,
+    run: RunContext,
+    *,
+    highest: int,
+    surrogate: str | None = None,
+) -> DataFrame:
+    """Close and open the versions that ``changes`` names; other rows of ``current`` stay.
+
+    ``current`` may be a part of the current versions that holds all those to be closed.
     """
     names = run.columns
     surrogate = surrogate or names.surrogate_key
-    closing = [CHANGED, MISSING] if close_missing else [CHANGED]
-
-    changes = staged(
-        classify(current, source, key, run, hash_column=hash_column).where(
-            F.col("change").isin(NEW, *closing)
-        ),
-        "scd-changes",
-    )
     numbered = dense_key(
-        changes.where(F.col("change").isin(NEW, CHANGED)).select(key),
+        changes.where(opening()).select(key),
         [key],
         surrogate,
         start=highest,
         key_type=current.schema[surrogate].dataType.simpleString(),
     )
-    closed_keys = changes.where(F.col("change").isin(closing)).select(
-        key, F.lit(True).alias("__closing")
-    )
+    closed_keys = changes.where(closing()).select(key, F.lit(True).alias("__closing"))
     is_closing = F.col("__closing").isNotNull()
     survivors = (
         current.join(closed_keys, key, "left")
@@ -164,16 +186,13 @@ def merge_versions(
     row per key (see ``keep_latest``) and no NULL key. Columns that exist on one
     side only are kept and filled with NULL.
     """
-    merged = merge_current(
-        current_rows(dimension, run),
-        source,
-        key,
-        run,
-        highest=highest_key(dimension, surrogate or run.columns.surrogate_key),
-        surrogate=surrogate,
-        hash_column=hash_column,
-        close_missing=close_missing,
+    surrogate = surrogate or run.columns.surrogate_key
+    current = current_rows(dimension, run)
+    changes = find_changes(
+        current, source, key, run, surrogate=surrogate, hash_column=hash_column, close_missing=close_missing
     )
+    highest = highest_key(dimension, surrogate)
+    merged = apply_changes(current, source, changes, key, run, highest=highest, surrogate=surrogate)
     history = dimension.where(~F.col(run.columns.is_current))
     return history.unionByName(merged, allowMissingColumns=True)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from layerloom.context import RunContext
 from layerloom.operators import checks
-from layerloom.plans.gold import FACT_TABLE, SURROGATE_KEYS
+from layerloom.plans.gold import FACT_TABLE, SURROGATE_KEYS, gold_table
 from layerloom.plans.lake import BRONZE, GOLD, SILVER, Lake
 from layerloom.plans.silver import OUTCOME, VALID, rejected_rows
 
@@ -38,12 +38,12 @@ def layer_tests(lake: Lake, run: RunContext) -> DataFrame:
             F.col(OUTCOME) == VALID,
         )
     for name in [*SURROGATE_KEYS, FACT_TABLE]:
-        tests[f"{name} Gold Exists"] = (lake.read_or_none(GOLD, name), None)
+        tests[f"{name} Gold Exists"] = (gold_table(lake, name) if lake.exists(GOLD, name) else None, None)
     # The reject table has rows once any batch of any table had a reject.
     log = lake.audit_log()
     tests["Reject Table Exists"] = (log, F.col("records_rejected") > 0)
     tests["SCD Current Records"] = (
-        lake.read_or_none(GOLD, "customer_dim"),
+        gold_table(lake, "customer_dim") if lake.exists(GOLD, "customer_dim") else None,
         F.col(run.columns.is_current),
     )
     tests["Audit Table"] = (log, None)

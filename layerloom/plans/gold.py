@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -30,19 +30,46 @@ CUSTOMER_SALES_SUMMARY = "customer_sales_summary"
 CUSTOMER_DAYS = "customer_days"
 TOUCHED = "fact_sales_touched"
 
-# Folder column of versioned dimensions.
+# Folder columns of versioned dimensions.
 STATE, CURRENT, CLOSED = "_VersionState", "current", "closed"
+FOLDER = "_KeyRange"
+#: Surrogate keys in one range of a versioned dimension: what a single change rewrites.
+RANGE_KEYS = 1_000_000
+RANGES = "{}_ranges"
+RANGES_SCHEMA = "key_range bigint, batch_id string, range_keys bigint, highest_key bigint"
 
 
-def current_versions(lake: Lake, name: str) -> DataFrame:
-    """Read from the last run's folder of current rows alone."""
-    return lake.read(GOLD, name).where(F.col(STATE) == CURRENT).drop(STATE)
+def _folder(key_range: Column, batch_id: Column) -> Column:
+    """Folders of one range differ from batch to batch, so their names say all."""
+    return F.concat_ws("-", key_range.cast("string"), batch_id)
+
+
+def key_ranges(lake: Lake, name: str, batch_id: str) -> DataFrame:
+    """The ranges of a versioned dimension after a batch, each with the batch that wrote it last."""
+    return lake.read_batch(GOLD, RANGES.format(name), batch_id)
+
+
+def current_versions(lake: Lake, name: str, only: Collection[int] | None = None) -> DataFrame:
+    """Of each range of keys, or of some, the current rows in its latest folder. Other folders are not read.
+
+    Names of ranges reach the driver: one for each million versions.
+    """
+    last = lake.last_commit(GOLD, name)
+    if last is None:
+        raise LookupError(f"dimension {name} has not been built")
+    ranges = key_ranges(lake, name, last.batch_id)
+    if only is not None:
+        ranges = ranges.where(F.col("key_range").isin(list(only)))
+    live = ranges.select("batch_id", _folder(F.col("key_range"), F.col("batch_id")).alias(FOLDER)).collect()
+    # The last batch is read for its columns even if it wrote no range.
+    commits = lake.commits(GOLD, name, batch_id=[*{r["batch_id"] for r in live}, last.batch_id])
+    rows = lake.load(commits).where((F.col(STATE) == CURRENT) & F.col(FOLDER).isin([r[FOLDER] for r in live]))
+    return rows.drop(STATE, FOLDER)
 
 
 def versions(lake: Lake, name: str) -> DataFrame:
-    """All versions of a dimension: what each run closed, and the current rows
-    of the last run."""
-    closed = lake.read_batches(GOLD, name).where(F.col(STATE) == CLOSED).drop(STATE)
+    """All versions of a dimension: what each run closed, and the current rows."""
+    closed = lake.read_batches(GOLD, name).where(F.col(STATE) == CLOSED).drop(STATE, FOLDER)
     return closed.unionByName(current_versions(lake, name), allowMissingColumns=True)
 
 
@@ -53,44 +80,73 @@ def gold_table(lake: Lake, name: str) -> DataFrame:
 
 
 def load_versions(
-    lake: Lake, config: TableConfig, name: str, run: RunContext, key: str
+    lake: Lake, config: TableConfig, name: str, run: RunContext, key: str, *, range_keys: int = RANGE_KEYS
 ) -> AuditRow | None:
     """Merge the silver batches that came in since the dimension was last
     built. Reading from the start of that build makes a batch committed
     meanwhile count as new; merging a batch twice changes nothing.
 
-    A run writes the current rows and those it closed. Versions closed by
-    earlier runs stay in the folders of those runs and are never rewritten.
+    Current rows lie in ranges of surrogate keys. A run finds the changes from
+    keys and hashes alone, and writes the ranges in which it closes or opens a
+    version, and the rows it closed. All other ranges stay in the folders of
+    earlier runs, and so do versions closed earlier. Which run wrote a range
+    last, and the highest key given so far, are written down before the rows
+    are committed, so readers see the old state or the new one as a whole.
+    ``range_keys`` holds from the first run on.
     """
+    began = now()
     surrogate = SURROGATE_KEYS[name]
     last = lake.last_commit(GOLD, name)
     source = valid_rows(lake, config, run, since=last.started_at if last else None)
     if source is not None:
         # Read twice below, and reducing it to the latest rows is a shuffle.
         source = staged(source, f"{name}-batch")
+    held: dict[int, str] = {}
+    highest, touched = 0, set()
     if last is None:
         if source is None:
             return None
         rows = scd.initial_versions(source, key, run, surrogate=surrogate)
+        opened = rows.count()
     else:
-        rows = current_versions(lake, name)
-        if source is not None:
-            rows = scd.merge_current(
-                rows,
-                source,
-                key,
-                run,
-                highest=scd.highest_key(versions(lake, name), surrogate),
-                surrogate=surrogate,
-            )
-    state = F.when(F.col(run.columns.is_current), CURRENT).otherwise(CLOSED)
+        for r in key_ranges(lake, name, last.batch_id).collect():
+            held[r["key_range"]], range_keys = r["batch_id"], r["range_keys"]
+            highest = max(highest, r["highest_key"])
+        rows, opened = current_versions(lake, name), 0
+    range_of = F.expr(f"({surrogate} - 1) div {range_keys}")
+    if last is not None and source is None:
+        rows = rows.limit(0)
+    elif last is not None:
+        changes = scd.find_changes(rows, source, key, run, surrogate=surrogate)
+        opened = changes.where(scd.opening()).count()
+        closing = changes.where(scd.closing()).select(range_of.alias("r")).distinct()
+        touched = {r["r"] for r in closing.collect()}
+    if opened:
+        touched |= set(range(highest // range_keys, (highest + opened - 1) // range_keys + 1))
+    if last is not None and source is not None:
+        rows = current_versions(lake, name, only=touched)
+        rows = scd.apply_changes(rows, source, changes, key, run, highest=highest, surrogate=surrogate)
+
+    held |= dict.fromkeys(touched, run.batch_id)
+    ranges = [(k, batch, range_keys, highest + opened) for k, batch in sorted(held.items())]
+    ranges = lake.spark.createDataFrame(ranges, RANGES_SCHEMA)
+    lake.write(ranges.coalesce(1), GOLD, RANGES.format(name), run, started=began)
+    is_current = F.col(run.columns.is_current)
+    rows = rows.withColumns(
+        {
+            STATE: F.when(is_current, CURRENT).otherwise(CLOSED),
+            FOLDER: F.when(is_current, _folder(range_of, F.lit(run.batch_id))),
+        }
+    )
     return lake.write(
-        rows.withColumn(STATE, state),
+        # The first versions are sorted by key already.
+        rows if last is None else rows.hint("rebalance", STATE, FOLDER),
         GOLD,
         name,
         run,
         table_format=config.target_file_format,
-        partition_by=[STATE],
+        partition_by=[STATE, FOLDER],
+        started=began,
     )
 
 

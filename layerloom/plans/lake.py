@@ -103,14 +103,19 @@ class Lake:
         )
 
     def commits(
-        self, layer: str, table: str, since: datetime | None = None, *, batch_id: str | None = None
+        self,
+        layer: str,
+        table: str,
+        since: datetime | None = None,
+        *,
+        batch_id: str | Sequence[str] | None = None,
     ) -> list[AuditRow]:
-        """Successful writes of one table after a moment, or of one batch, oldest first."""
+        """Successful writes of one table after a moment, or of one or more batches, oldest first."""
         found = self._successes(layer, table)
         if found is None:
             return []
         if batch_id is not None:
-            found = found.where(F.col("batch_id") == batch_id)
+            found = found.where(F.col("batch_id").isin([batch_id] if isinstance(batch_id, str) else list(batch_id)))
         if since is not None:
             found = found.where(F.col("processed_at") > F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
         names = [f.name for f in fields(AuditRow)]
