@@ -336,4 +336,7 @@ def load_gold(lake: Lake, run: RunContext) -> list[AuditRow]:
                 done.append(load_dimension(lake, config, name, run))
     if lake.exists(GOLD, FACT_TABLE):
         done.extend(load_summaries(lake, run))
+    # What the loads wrote down for readers and for the next run is in the audit log as well.
+    for name in [*[RANGES.format(d) for d in SURROGATE_KEYS], TOUCHED]:
+        done.extend(lake.commits(GOLD, name, batch_id=run.batch_id))
     return [row for row in done if row is not None]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,9 @@ from layerloom.plans import gold
 from layerloom.plans.lake import GOLD, SILVER, Lake
 from layerloom.plans.silver import OUTCOME, VALID
 from layerloom.queries import dimensions, inputs
-from layerloom.queries.dimensions import FIRST, HISTORY_SQL, MERGED_SQL, SECOND, THIRD, VERSION_SQL
-from layerloom.queries.inputs import FIRST_LOAD, SECOND_LOAD, THIRD_LOAD
-from layerloom.queries.registry import query, table
+from layerloom.queries.dimensions import FIRST, MERGED_SQL, SECOND, VERSION_SQL
+from layerloom.queries.inputs import FIRST_LOAD, SECOND_LOAD
+from layerloom.queries.registry import query, run_at, table
 from layerloom.queries.sales import CUSTOMER_SUMMARY_SQL, FACT_COLUMNS_SQL, MEASURES_SQL, PRODUCTS_SQL, _plain
 from layerloom.storage import shared_folder
 
@@ -131,6 +132,10 @@ def customers_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Small, so that the given customers fill many ranges.
 RANGE_KEYS = 20
+#: A few days after the second load, so that most ranges stay as they are.
+LATE_LOAD = date(1996, 12, 4)
+LATE = run_at(LATE_LOAD, "batch-late")
+LATE_SQL = dimensions._merge_sql(f"select * from {MERGED_SQL}", LATE_LOAD)
 
 
 @lru_cache(maxsize=4)
@@ -138,13 +143,13 @@ def three_loads(spark: SparkSession, sf: str) -> Lake:
     """A lake whose customers were loaded three times, in small ranges of keys."""
     lake = Lake(spark, f"{shared_folder(spark)}/ranges-{uuid.uuid4().hex}")
     config = lake.metadata.table("customers")
-    for run, day in ((FIRST, FIRST_LOAD), (SECOND, SECOND_LOAD), (THIRD, THIRD_LOAD)):
+    for run, day in ((FIRST, FIRST_LOAD), (SECOND, SECOND_LOAD), (LATE, LATE_LOAD)):
         _silver(lake, "customers", inputs.customers_as_of(spark, sf, day), run)
         gold.load_versions(lake, config, "customer_dim", run, "CustomerID", range_keys=RANGE_KEYS)
     return lake
 
 
-@query("scd2_ranges", f"select {VERSION_SQL} from {HISTORY_SQL}")
+@query("scd2_ranges", f"select {VERSION_SQL} from {LATE_SQL}")
 def scd2_ranges(spark: SparkSession, sf: str) -> DataFrame:
     """All versions after three loads, read from the ranges that each load rewrote."""
     rows = gold.versions(three_loads(spark, sf), "customer_dim")
@@ -154,16 +159,16 @@ def scd2_ranges(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "scd2_range_writes",
     f"""select (CustomerSK - 1) // {RANGE_KEYS} as key_range,
-               case when max(greatest(_StartDate, coalesce(_EndDate, _StartDate))) = date '{THIRD_LOAD}' then '{THIRD.batch_id}'
+               case when max(greatest(_StartDate, coalesce(_EndDate, _StartDate))) = date '{LATE_LOAD}' then '{LATE.batch_id}'
                     when max(greatest(_StartDate, coalesce(_EndDate, _StartDate))) = date '{SECOND_LOAD}' then '{SECOND.batch_id}'
                     else '{FIRST.batch_id}' end as batch_id,
                count(*) filter (_IsCurrent) as n_current, max(max(CustomerSK)) over () as highest_key
-        from {HISTORY_SQL} group by 1""",
+        from {LATE_SQL} group by 1""",
 )
 def scd2_range_writes(spark: SparkSession, sf: str) -> DataFrame:
     """Which load wrote each range last: the last one that opened or closed a version in it."""
     lake = three_loads(spark, sf)
-    ranges = gold.key_ranges(lake, "customer_dim", THIRD.batch_id).drop("range_keys")
+    ranges = gold.key_ranges(lake, "customer_dim", LATE.batch_id).drop("range_keys")
     held = gold.current_versions(lake, "customer_dim").groupBy(F.expr(f"(CustomerSK - 1) div {RANGE_KEYS}").alias("key_range"))
     counted = held.agg(F.count(F.lit(1)).alias("n"))
     return ranges.join(counted, "key_range", "left").select(
