@@ -36,34 +36,58 @@ FOLDER = "_KeyRange"
 #: Surrogate keys in one range of a versioned dimension: what a single change rewrites.
 RANGE_KEYS = 1_000_000
 RANGES = "{}_ranges"
-RANGES_SCHEMA = "key_range bigint, batch_id string, range_keys bigint, highest_key bigint"
+RANGES_SCHEMA = "key_range bigint, batch_id string, range_keys bigint, highest_key bigint, folder_ranges bigint"
 
 
-def _folder(key_range: Column, batch_id: Column) -> Column:
-    """Folders of one range differ from batch to batch, so their names say all."""
-    return F.concat_ws("-", key_range.cast("string"), batch_id)
+def _folder(key_range: Column, folder_ranges: int, batch_id: Column) -> Column:
+    """Folders of one range, or of neighbouring ones, differ from batch to batch, so their names say all."""
+    return F.concat_ws("-", F.floor(key_range / folder_ranges).cast("string"), batch_id)
+
+
+def _range_of(surrogate: str, range_keys: int) -> Column:
+    return F.expr(f"({surrogate} - 1) div {range_keys}")
 
 
 def key_ranges(lake: Lake, name: str, batch_id: str) -> DataFrame:
     """The ranges of a versioned dimension after a batch, each with the batch that wrote it last."""
-    return lake.read_batch(GOLD, RANGES.format(name), batch_id)
+    ranges = lake.read_batch(GOLD, RANGES.format(name), batch_id)
+    # Batches written before ranges could share a folder have one for each.
+    return ranges if "folder_ranges" in ranges.columns else ranges.withColumn("folder_ranges", F.lit(1).cast("bigint"))
+
 
+def _layout(ranges: DataFrame) -> tuple[int | None, int | None, int]:
+    """Keys in a range, ranges in a folder (None where there are no ranges), and the highest key given so far."""
+    found = ranges.agg(F.max("range_keys"), F.max("folder_ranges"), F.max("highest_key")).first()
+    return found[0], found[1], found[2] or 0
 
-def current_versions(lake: Lake, name: str, only: Collection[int] | None = None) -> DataFrame:
-    """Of each range of keys, or of some, the current rows in its latest folder. Other folders are not read.
 
-    Names of ranges reach the driver: one for each million versions.
+def current_versions(lake: Lake, name: str, only: Collection[int] | DataFrame | None = None) -> DataFrame:
+    """Of each range of keys, or of some, the current rows of the batch that wrote it last. Folders without
+    such rows are not read. ``only`` names the ranges, as a frame (``key_range``) where they may be many.
+
+    Names of folders reach the driver: one for each million versions, or for each of the ranges that are larger.
     """
     last = lake.last_commit(GOLD, name)
     if last is None:
         raise LookupError(f"dimension {name} has not been built")
     ranges = key_ranges(lake, name, last.batch_id)
-    if only is not None:
+    range_keys, folder_ranges, _ = _layout(ranges)
+    if isinstance(only, DataFrame):
+        ranges = ranges.join(only, "key_range", "left_semi")
+    elif only is not None:
         ranges = ranges.where(F.col("key_range").isin(list(only)))
-    live = ranges.select("batch_id", _folder(F.col("key_range"), F.col("batch_id")).alias(FOLDER)).collect()
+    ranges = ranges.select(
+        "key_range", "batch_id", _folder(F.col("key_range"), folder_ranges or 1, F.col("batch_id")).alias(FOLDER)
+    )
+    live = ranges.select("batch_id", FOLDER).distinct().collect()
     # The last batch is read for its columns even if it wrote no range.
     commits = lake.commits(GOLD, name, batch_id=[*{r["batch_id"] for r in live}, last.batch_id])
     rows = lake.load(commits).where((F.col(STATE) == CURRENT) & F.col(FOLDER).isin([r[FOLDER] for r in live]))
+    if folder_ranges is not None and folder_ranges > 1:
+        # A folder may hold ranges that a later batch wrote again.
+        wanted = ranges.select(F.col("key_range").alias("__range"), F.col(FOLDER).alias("__folder"))
+        here = _range_of(SURROGATE_KEYS[name], range_keys)
+        rows = rows.join(wanted, (here == F.col("__range")) & (F.col(FOLDER) == F.col("__folder")), "left_semi")
     return rows.drop(STATE, FOLDER)
 
 
@@ -80,7 +104,14 @@ def gold_table(lake: Lake, name: str) -> DataFrame:
 
 
 def load_versions(
-    lake: Lake, config: TableConfig, name: str, run: RunContext, key: str, *, range_keys: int = RANGE_KEYS
+    lake: Lake,
+    config: TableConfig,
+    name: str,
+    run: RunContext,
+    key: str,
+    *,
+    range_keys: int = RANGE_KEYS,
+    folder_ranges: int = 1,
 ) -> AuditRow | None:
     """Merge the silver batches that came in since the dimension was last
     built. Reading from the start of that build makes a batch committed
@@ -92,7 +123,10 @@ def load_versions(
     earlier runs, and so do versions closed earlier. Which run wrote a range
     last, and the highest key given so far, are written down before the rows
     are committed, so readers see the old state or the new one as a whole.
-    ``range_keys`` holds from the first run on.
+
+    What a run writes of ``folder_ranges`` neighbouring ranges shares a folder:
+    small ranges would otherwise make as many folders, each with a few rows.
+    ``range_keys`` and ``folder_ranges`` hold from the first run on.
     """
     began = now()
     surrogate = SURROGATE_KEYS[name]
@@ -101,41 +135,49 @@ def load_versions(
     if source is not None:
         # Read twice below, and reducing it to the latest rows is a shuffle.
         source = staged(source, f"{name}-batch")
-    held: dict[int, str] = {}
-    highest, touched = 0, set()
+    held, touched, highest = None, None, 0
     if last is None:
         if source is None:
             return None
         rows = scd.initial_versions(source, key, run, surrogate=surrogate)
         opened = rows.count()
     else:
-        for r in key_ranges(lake, name, last.batch_id).collect():
-            held[r["key_range"]], range_keys = r["batch_id"], r["range_keys"]
-            highest = max(highest, r["highest_key"])
+        held = key_ranges(lake, name, last.batch_id)
+        keys, in_folder, highest = _layout(held)
+        range_keys, folder_ranges = keys or range_keys, in_folder or folder_ranges
         rows, opened = current_versions(lake, name), 0
-    range_of = F.expr(f"({surrogate} - 1) div {range_keys}")
+    range_of = _range_of(surrogate, range_keys)
     if last is not None and source is None:
         rows = rows.limit(0)
     elif last is not None:
         changes = scd.find_changes(rows, source, key, run, surrogate=surrogate)
         opened = changes.where(scd.opening()).count()
-        closing = changes.where(scd.closing()).select(range_of.alias("r")).distinct()
-        touched = {r["r"] for r in closing.collect()}
+        touched = changes.where(scd.closing()).select(range_of.alias("key_range"))
     if opened:
-        touched |= set(range(highest // range_keys, (highest + opened - 1) // range_keys + 1))
+        filled = lake.spark.range(highest // range_keys, (highest + opened - 1) // range_keys + 1).toDF("key_range")
+        touched = filled if touched is None else touched.union(filled)
+    if touched is not None:
+        touched = touched.distinct()
     if last is not None and source is not None:
+        # Asked for by the rows, their folders and the ranges below.
+        touched = staged(touched, "touched-ranges")
         rows = current_versions(lake, name, only=touched)
         rows = scd.apply_changes(rows, source, changes, key, run, highest=highest, surrogate=surrogate)
 
-    held |= dict.fromkeys(touched, run.batch_id)
-    ranges = [(k, batch, range_keys, highest + opened) for k, batch in sorted(held.items())]
-    ranges = lake.spark.createDataFrame(ranges, RANGES_SCHEMA)
-    lake.write(ranges.coalesce(1), GOLD, RANGES.format(name), run, started=began)
+    ranges = lake.spark.createDataFrame([], "key_range bigint, batch_id string")
+    if touched is not None:
+        ranges = touched.withColumn("batch_id", F.lit(run.batch_id))
+    if held is not None:
+        others = held if touched is None else held.join(touched, "key_range", "left_anti")
+        ranges = ranges.unionByName(others.select("key_range", "batch_id"))
+    settled = {"range_keys": range_keys, "highest_key": highest + opened, "folder_ranges": folder_ranges}
+    ranges = ranges.withColumns({c: F.lit(v).cast("bigint") for c, v in settled.items()})
+    lake.write(ranges.hint("rebalance"), GOLD, RANGES.format(name), run, started=began)
     is_current = F.col(run.columns.is_current)
     rows = rows.withColumns(
         {
             STATE: F.when(is_current, CURRENT).otherwise(CLOSED),
-            FOLDER: F.when(is_current, _folder(range_of, F.lit(run.batch_id))),
+            FOLDER: F.when(is_current, _folder(range_of, folder_ranges, F.lit(run.batch_id))),
         }
     )
     return lake.write(

@@ -132,6 +132,8 @@ def customers_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 #: Small, so that the given customers fill many ranges.
 RANGE_KEYS = 20
+#: As many keys share a folder as in a range of the usual size.
+FOLDER_RANGES = gold.RANGE_KEYS // RANGE_KEYS
 #: A few days after the second load, so that most ranges stay as they are.
 LATE_LOAD = date(1996, 12, 4)
 LATE = run_at(LATE_LOAD, "batch-late")
@@ -145,7 +147,9 @@ def three_loads(spark: SparkSession, sf: str) -> Lake:
     config = lake.metadata.table("customers")
     for run, day in ((FIRST, FIRST_LOAD), (SECOND, SECOND_LOAD), (LATE, LATE_LOAD)):
         _silver(lake, "customers", inputs.customers_as_of(spark, sf, day), run)
-        gold.load_versions(lake, config, "customer_dim", run, "CustomerID", range_keys=RANGE_KEYS)
+        gold.load_versions(
+            lake, config, "customer_dim", run, "CustomerID", range_keys=RANGE_KEYS, folder_ranges=FOLDER_RANGES
+        )
     return lake
 
 
@@ -168,7 +172,7 @@ def scd2_ranges(spark: SparkSession, sf: str) -> DataFrame:
 def scd2_range_writes(spark: SparkSession, sf: str) -> DataFrame:
     """Which load wrote each range last: the last one that opened or closed a version in it."""
     lake = three_loads(spark, sf)
-    ranges = gold.key_ranges(lake, "customer_dim", LATE.batch_id).drop("range_keys")
+    ranges = gold.key_ranges(lake, "customer_dim", LATE.batch_id).drop("range_keys", "folder_ranges")
     held = gold.current_versions(lake, "customer_dim").groupBy(F.expr(f"(CustomerSK - 1) div {RANGE_KEYS}").alias("key_range"))
     counted = held.agg(F.count(F.lit(1)).alias("n"))
     return ranges.join(counted, "key_range", "left").select(

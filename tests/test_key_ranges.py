@@ -154,3 +154,21 @@ def test_a_new_column_in_a_later_batch(spark, tmp_path):
     _load(lake, 1, {}, silver=False)
     tiers = {r["CustomerID"]: r["Tier"] for r in gold.current_versions(lake, DIM).collect()}
     assert tiers == {1: "vip"} | {k: None for k in range(2, 7)}
+
+
+def test_ranges_that_share_folders(spark, tmp_path, loaded):
+    """Small ranges do not make as many folders, and what is written of them stays the same."""
+    lake, audits = Lake(spark, str(tmp_path)), []
+    for n, values in enumerate(LOADS):
+        rows = [(k, v, datetime(2024, 1, 1) + timedelta(days=n), v) for k, v in values.items()]
+        _silver(lake, "customers", spark.createDataFrame(rows, SCHEMA), _run(n))
+        config = lake.metadata.table("customers")
+        audits.append(gold.load_versions(lake, config, DIM, _run(n), "CustomerID", range_keys=2, folder_ranges=4))
+    assert _rows(gold.versions(lake, DIM)) == _by_hand(LOADS)
+    assert _rows(gold.current_versions(lake, DIM)) == [r for r in _by_hand(LOADS) if r[4]]
+    assert _written_by(lake, 1) == {0: "b1"} | {k: "b0" for k in range(1, 6)} | {6: "b1"}
+    assert [a.records_written for a in audits[:3]] == [12, 1 + 1 + 1, 0]
+    folders = os.listdir(f"{lake.path(GOLD, DIM)}/_LoadBatch=b0/_VersionState=current")
+    assert sorted(f for f in folders if not f.startswith(".")) == ["_KeyRange=0-b0", "_KeyRange=1-b0"]
+    some = gold.current_versions(lake, DIM, only=spark.range(7, 9).toDF("key_range"))
+    assert {(r["CustomerSK"] - 1) // 2 for r in some.collect()} <= {7, 8}
