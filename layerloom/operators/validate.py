@@ -22,13 +22,17 @@ _TEMPORARY = "__rule_"
 def with_copies(df: DataFrame, keys: Sequence[str], name: str = "_Copies") -> DataFrame:
     """Add how many rows share the key (1 for a unique row or a NULL key).
 
-    Keys are counted with a partial aggregate, and the ones that repeat are
-    written down. Their size is then known: while they are few, they are
-    broadcast and the wide rows are not shuffled at all. Beyond that, a very
-    frequent key is still a single row on that side, and the wide side of the
-    join can be split by adaptive execution.
+    Keys, which seldom repeat, are shuffled before they are counted, into as many
+    partitions as the session has: a task that counted what it reads of the table,
+    or small partitions put together, would hold all those keys in memory. The
+    ones that repeat are written down. Their size is then known: while they are
+    few, they are broadcast and the wide rows are not shuffled at all. Beyond that,
+    a very frequent key is still a single row on that side, and the wide side of
+    the join can be split by adaptive execution.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.select(*keys).repartition(parts, *keys)
+    counts = dealt.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     repeated = staged(counts.where(F.col(name) > 1), "copies")
     return df.join(repeated, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(1)))
 

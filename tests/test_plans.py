@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries
+from layerloom.operators import validate
 from layerloom.operators.incremental import load_slice
 from layerloom.operators.keys import dense_key, keep_latest
 from layerloom.queries.registry import QUERIES, table
@@ -54,3 +55,17 @@ def test_mark_of_an_incremental_source_reaches_the_scan(spark, tmp_path):
 def test_summary_adds_up_before_it_joins(spark, sf_dir):
     plan = plan_of(QUERIES["sales_summary"](spark, sf_dir))
     assert "partial_sum" in plan.split("Join")[-1]
+
+
+def _sums_follow_the_shuffle(plan: str, partial: str) -> bool:
+    return plan.count("Exchange") == 1 and plan.index(partial) < plan.index("Exchange")
+
+
+def test_copies_are_counted_after_the_shuffle(spark, monkeypatch):
+    """Nearly unique keys would fill the memory of the tasks that read them."""
+    found = []
+    monkeypatch.setattr(validate, "staged", lambda df, label: found.append(df) or df)
+    rows = spark.createDataFrame([(1, None), (1, None), (2, "a"), (2, "b")], "k int, v string")
+    counted = validate.with_copies(rows, ["k", "v"])
+    assert _sums_follow_the_shuffle(plan_of(found[0]), "partial_count")
+    assert [r["_Copies"] for r in counted.collect()] == [1] * 4
