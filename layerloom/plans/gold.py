@@ -286,7 +286,7 @@ def load_fact(lake: Lake, config: TableConfig, run: RunContext) -> AuditRow | No
     own = [c for c in fact.columns if c not in ("CustomerSK", "ProductSK")]
     periods = _rekeyed(lake, fact, customers, products)
     if batch is not None:
-        batch = staged(sales.with_period(batch).select(*own), "orders-batch")
+        batch = staged(sales.with_period(batch).select(*own), "orders-batch", "zstd")
         periods = periods.union(_periods(batch)).union(_periods_of_keys(fact, batch, keys))
     unfinished = lake.read_batches(GOLD, TOUCHED, since=last.processed_at)
     if unfinished is not None:
@@ -299,11 +299,11 @@ def load_fact(lake: Lake, config: TableConfig, run: RunContext) -> AuditRow | No
         # Of the rows with a key of the batch the latest stays, as in a rebuild; the others pass.
         met = rows.join(batch.select(*keys), keys, "left_semi").unionByName(batch)
         order = [config.watermark_column] if config.watermark_column in own else []
-        latest = keep_latest(met, keys, [*order, names.processed_at])
+        latest = keep_latest(met, keys, [*order, names.processed_at], few=True)
         rows = rows.join(batch.select(*keys), keys, "left_anti").unionByName(latest)
     renewed = sales.fact_sales(rows.drop(sales.PERIOD), customers, products, audit=audit)
     # What replaces a folder must not be read from it meanwhile.
-    renewed = staged(sales.with_period(renewed).select(*fact.columns), "fact-periods")
+    renewed = staged(sales.with_period(renewed).select(*fact.columns), "fact-periods", "zstd")
     return lake.write(
         renewed,
         GOLD,

@@ -90,8 +90,9 @@ def valid_rows(
         return None
     rows = _outcome(rows, VALID).drop(names.failed_rules)
     order = [config.watermark_column] if config.watermark_column in rows.columns else []
+    # Few batches hold the same key.
     return keep_latest(
-        rows, key_columns(config.primary_key), [*order, names.processed_at, names.record_hash]
+        rows, key_columns(config.primary_key), [*order, names.processed_at, names.record_hash], few=True
     )
 
 

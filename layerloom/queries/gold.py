@@ -18,15 +18,17 @@ from layerloom.queries.dimensions import FIRST, MERGED_SQL, SECOND, VERSION_SQL
 from layerloom.queries.inputs import FIRST_LOAD, SECOND_LOAD
 from layerloom.queries.registry import query, run_at, table
 from layerloom.queries.sales import CUSTOMER_SUMMARY_SQL, FACT_COLUMNS_SQL, MEASURES_SQL, PRODUCTS_SQL, _plain
-from layerloom.storage import shared_folder
+from layerloom.storage import shared_folder, staged
 
 
-def _orders(spark: SparkSession, sf: str, load: int) -> DataFrame:
-    """Rows of the first load, or of the second: later orders, and some earlier ones
-    that are sent again, with another quantity and a day later. Every row is an
-    order of its own, as in the retail model."""
+def _order_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows that both loads are made of, written down. Every row is an order
+    of its own, as in the retail model."""
     lines = (
         table(spark, sf, "lineitem")
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_extendedprice")
+        # One shuffle for the sums, which join few rows each, and for the headers.
+        .repartition("l_orderkey")
         .groupBy("l_orderkey", "l_linenumber")
         .agg(
             F.max("l_partkey").alias("ProductID"),
@@ -49,6 +51,12 @@ def _orders(spark: SparkSession, sf: str, load: int) -> DataFrame:
             F.col("OrderDate").cast("timestamp").alias("OrderDate"),
         )
     )
+    return staged(rows, "order-rows", "zstd")
+
+
+def _orders(rows: DataFrame, load: int) -> DataFrame:
+    """Rows of the first load, or of the second: later orders, and some earlier ones
+    that are sent again, with another quantity and a day later."""
     early = F.col("OrderDate") <= F.lit(FIRST_LOAD)
     if load == 1:
         return rows.where(early)
@@ -88,10 +96,11 @@ def two_loads(spark: SparkSession, sf: str) -> Lake:
     """
     lake = Lake(spark, f"{shared_folder(spark)}/gold-{uuid.uuid4().hex}")
     tables = {name: lake.metadata.table(name) for name in ("customers", "products", "orders")}
+    order_rows = _order_rows(spark, sf)
     for load, run, day in ((1, FIRST, FIRST_LOAD), (2, SECOND, SECOND_LOAD)):
         _silver(lake, "customers", inputs.customers_as_of(spark, sf, day), run)
         _silver(lake, "products", inputs.products(spark, sf), run)
-        _silver(lake, "orders", _orders(spark, sf, load), run)
+        _silver(lake, "orders", _orders(order_rows, load), run)
         gold.load_versions(lake, tables["customers"], "customer_dim", run, "CustomerID")
         gold.load_dimension(lake, tables["products"], "product_dim", run)
         gold.load_fact(lake, tables["orders"], run)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__  # noqa: F401  registers the queries
-from layerloom.operators import validate
+from layerloom.operators import sales, validate
 from layerloom.operators.incremental import load_slice
 from layerloom.operators.keys import dense_key, keep_latest
 from layerloom.queries.registry import QUERIES, table
@@ -69,3 +69,21 @@ def test_copies_are_counted_after_the_shuffle(spark, monkeypatch):
     counted = validate.with_copies(rows, ["k", "v"])
     assert _sums_follow_the_shuffle(plan_of(found[0]), "partial_count")
     assert [r["_Copies"] for r in counted.collect()] == [1] * 4
+
+
+def test_latest_of_few_rows_is_sought_after_the_shuffle(spark):
+    rows = [(1, 1, "a"), (1, 2, "b"), (None, 1, "c"), (None, 1, "d"), (2, None, "e")]
+    df = spark.createDataFrame(rows, "k int, t int, v string")
+    latest = keep_latest(df, ["k"], ["t"], few=True)
+    assert _sums_follow_the_shuffle(plan_of(latest), "partial_max_by")
+    assert sorted(r["v"] for r in latest.collect()) == ["b", "c", "d", "e"]
+
+
+def test_customer_days_are_added_up_in_one_shuffle(spark):
+    rows = [(1, "2024-01-01 08:00:00", 1, 7, 2, "1.50"), (1, "2024-01-01 08:00:00", 1, 7, 3, "2.00"), (2, None, 1, 7, 4, None)]
+    fact = spark.createDataFrame(rows, "OrderID int, at string, CustomerSK int, CustomerID int, Quantity int, amount string")
+    fact = fact.withColumns({"OrderDate": F.col("at").cast("timestamp"), "TotalAmount": F.col("amount").cast("decimal(18,2)")})
+    days = sales.customer_days(sales.with_period(fact))
+    assert _sums_follow_the_shuffle(plan_of(days), "partial_sum")
+    found = {tuple(r) for r in days.select("TotalOrders", "TotalQuantity", F.col("Amount").cast("string"), "Amounts").collect()}
+    assert found == {(1, 5, "3.50", 2), (1, 4, None, 0)}
