@@ -222,3 +222,28 @@ def test_pieces_have_the_ids_of_the_whole(name):
         assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(pa.array(texts))] == expected
     part = pa.array([None, *texts[:50], "q" * 5000, None]).slice(1, 51)
     assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(part)][:50] == expected[:50]
+
+
+@pytest.mark.parametrize("name, n", [("byte_bpe_50k.json", 7), ("word_bpe_49k.json", 6)])
+def test_a_word_is_one_piece_whatever_stands_behind_it(name, n):
+    text = "so word word, word. word; old, old. old; Word"
+    enc = Encoder(public_tokenizers.path(name))
+    expected = enc._plain([text.encode()])[0]
+    assert np.frombuffer(enc.encode(pa.array([text]))[0], enc.dtype).tolist() == expected
+    assert len(enc._keys) == n  # "so", " word", " old", the three signs, and " Word" where case counts
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_cases_signs_and_marks_have_the_ids_of_the_whole(name):
+    rng = random.Random(4)
+    # J, H, T, W, Y and I are composed with these marks in one case only.
+    parts = ["J", "j", "H", "h", "T", "t", "I", "i", "\u030c", "\u0331", "\u0308", "\u0307", "\u0338", "=", "'", "'S", "'s", "'LL", "_", ".", " ", "9", "<"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 8))) for _ in range(5000)]
+    texts += ["a<|startoftext|>B", "x<|", "<|endoftext", "|>", "a <|endoftext|>, b"]
+    path = public_tokenizers.path(name)
+    enc = Encoder(path)
+    expected = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    for one_by_one in (True, False):
+        chunks = [pa.array([t]) for t in texts] if one_by_one else [pa.array(texts)]
+        found = [x for c in chunks for x in enc.encode(c)]
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in found] == expected
