@@ -86,20 +86,24 @@ def _segments(limit: int) -> tuple[int, int, int]:
 def strongest(shingles: np.ndarray, scheme: int, limit: int) -> np.ndarray:
     """Keys of the segments of a parity sketch that the set is joined on.
 
-    Every shingle flips one bit of one segment, so a shingle that only one of two
-    sets holds changes one segment. Segments with the fewest bits say least: the
-    weakest are left out. The order is that of the segments' contents, so of the
-    segments that two sets share both leave out the same ones first.
+    Every shingle flips about half of the 64 bits of one segment, those of its own
+    hash, so a shingle that only one of two sets holds changes one segment, and
+    segments that agree hold the same shingles: with one bit a shingle, those of
+    few shingles would agree by chance, more often the more sets there are.
+    Segments with the fewest shingles say least: the weakest are left out. The
+    order is that of the segments' contents, so of the segments that two sets
+    share both leave out the same ones first.
     """
     need, spare, left_out = _segments(limit)
     spread = mixed(shingles)
-    segment = ((spread >> np.uint64(32)) * np.uint64(need + spare)) >> np.uint64(32)
+    segment = (((spread >> np.uint64(32)) * np.uint64(need + spare)) >> np.uint64(32)).astype(np.int64)
     sketch = np.zeros(need + spare, np.uint64)
-    np.bitwise_xor.at(sketch, segment.astype(np.int64), np.uint64(1) << (spread & np.uint64(63)))
+    np.bitwise_xor.at(sketch, segment, mixed(spread))
+    held = np.bincount(segment, minlength=need + spare)
     place = np.arange(need + spare, dtype=np.uint64) | np.uint64(scheme << 32)
     with np.errstate(over="ignore"):
         keys = mixed(sketch * np.uint64(0x9E3779B97F4A7C15) ^ mixed(place))
-    return keys[np.lexsort((keys, np.bitwise_count(sketch)))[left_out:]]
+    return keys[np.lexsort((keys, held))[left_out:]]
 
 
 def _short_sketch(shingles: np.ndarray) -> np.ndarray:

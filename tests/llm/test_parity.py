@@ -110,6 +110,17 @@ def test_sketches_find_every_pair():
             assert apart <= len(np.setxor1d(x, y)) <= parity.differences(85, len(x) + len(y))
 
 
+def test_sets_without_a_common_shingle_share_no_key():
+    """However many sets there are, small segments do not agree by chance."""
+    rng = np.random.default_rng(3)
+    bands = parity.Bands(85)
+    for size in (100, 400):
+        scheme = bands.of(size)
+        top = bands.start(scheme + 1) - 1
+        keys = [parity.strongest(np.unique(rng.integers(0, 1 << 63, top).astype(np.uint64)), scheme, bands.limit(scheme)) for _ in range(2000)]
+        assert len(np.unique(np.concatenate(keys))) == sum(map(len, keys))
+
+
 def test_edge_cases(spark):
     long = " ".join(f"v{i}" for i in range(30_000))
     docs = [
