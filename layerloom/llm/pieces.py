@@ -11,6 +11,7 @@ path that ends where it starts if its piece stays apart from the last one.
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -63,6 +64,12 @@ class PieceModel:
         for b, i in self.byte_ids.items():
             self.bytes_of[i] = bytes([b])
 
+    def apart(self) -> bytes:
+        """ASCII signs that stand behind an ASCII letter in no piece, so that no merge joins the two."""
+        neighbours = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
+        joined = {pair[1] for pair in neighbours if pair[0] in string.ascii_letters}
+        return "".join(c for c in string.punctuation if c not in joined).encode()
+
     def _splits(self) -> None:
         """How pieces come about: which pairs make a piece, and the last merge of each piece."""
         base = len(self.pieces)
@@ -145,41 +152,52 @@ class PieceModel:
         return ok
 
 
+def _packed(letters: np.ndarray, width: int, bits: int) -> np.ndarray:
+    """Numbers made of ``width`` neighbouring letters, the first one in the highest bits."""
+    n = letters.shape[-1] - width + 1
+    out = np.zeros((*letters.shape[:-1], n), np.int64)
+    for k in range(width):
+        out = out << bits | letters[..., k : k + n]
+    return out
+
+
 def _ranges(codes: np.ndarray, pieces: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix array of the codes to the depth of the pieces, and the range of it that starts with each piece."""
-    depth = pieces.shape[1]
-    padded = np.concatenate([codes, np.zeros(depth, codes.dtype)]).astype(np.int64)
-    rank = padded.copy()
-    width = 1
-    while width < depth:  # ranks of twice the width from ranks of the width
-        ahead = np.zeros_like(rank)
-        ahead[:-width] = rank[width:]
-        rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)[1]
-        width *= 2
-    suffixes = np.argsort(rank[: len(codes)], kind="stable")
-    # Where the first character is missing there is nothing to search for.
-    initial = codes[suffixes]
-    begin = np.searchsorted(initial, pieces[:, 0], "left")
-    end = np.searchsorted(initial, pieces[:, 0], "right")
-    some = np.flatnonzero(begin < end)
-    pieces, lengths = pieces[some], lengths[some]
-    row = np.arange(len(some))
-    bounds = [begin.copy(), begin.copy()]
-    for bound, fill in zip(bounds, (0, np.iinfo(np.int32).max)):  # the least and the greatest text with a prefix
-        wanted = np.where(np.arange(depth) < lengths[:, None], pieces, fill)
-        low, high = begin[some], end[some]
-        while (low < high).any():
-            middle = (low + high) // 2
-            text = padded[suffixes[np.minimum(middle, len(codes) - 1)][:, None] + np.arange(depth)]
-            unequal = text != wanted
-            at = unequal.argmax(axis=1)
-            # The end of a range lies behind a text that equals the piece.
-            less = np.where(unequal[row, at], text[row, at] < wanted[row, at], fill > 0)
-            open_ = low < high
-            low = np.where(open_ & less, middle + 1, low)
-            high = np.where(open_ & ~less, middle, high)
-        bound[some] = low
-    return suffixes, bounds[0], bounds[1]
+    n, depth = len(codes), pieces.shape[1]
+    low, high = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+    # Letters that are there are numbered anew, so that many of them fit into a number.
+    there = np.zeros(max(int(codes.max(initial=0)), int(pieces.max(initial=0))) + 1, bool)
+    there[codes] = there[0] = True
+    number = np.cumsum(there) - 1
+    some = np.flatnonzero(there[pieces].all(axis=1))  # the others are nowhere
+    bits = max(int(number[-1]).bit_length(), 1)
+    width = 63 // bits
+    levels = -(-depth // width)
+    padded = np.zeros(n + levels * width, np.int64)
+    padded[:n] = number[codes]
+    chunks, chunk = np.unique(_packed(padded, width, bits)[: n + (levels - 1) * width], return_inverse=True)
+    wanted = np.zeros((len(some), levels * width), np.int64)
+    wanted[:, :depth] = number[pieces[some]]
+    lengths = lengths[some]
+    rank, at = chunk[:n], np.zeros(0, np.int64)  # ranks of the first letters, and the rank that a piece has up to here
+    for level in range(levels):
+        letters = wanted[:, level * width : (level + 1) * width]
+        inside = np.arange(level * width, (level + 1) * width) < lengths[:, None]
+        # The least and the greatest letters that go on like the piece.
+        least = _packed(letters, width, bits)[:, 0]
+        greatest = _packed(np.where(inside, letters, (1 << bits) - 1), width, bits)[:, 0]
+        first, last = np.searchsorted(chunks, least, "left"), np.searchsorted(chunks, greatest, "right")
+        if level:
+            ahead = chunk[level * width : level * width + n]
+            ranks, rank = np.unique(rank * (len(chunks) + 1) + ahead, return_inverse=True)
+            first = np.searchsorted(ranks, at * (len(chunks) + 1) + first)
+            last = np.searchsorted(ranks, at * (len(chunks) + 1) + last)
+        before = np.append(0, np.cumsum(np.bincount(rank, minlength=len(chunks))))
+        ends = lengths <= (level + 1) * width
+        low[some[ends]], high[some[ends]] = before[first[ends]], before[last[ends]]
+        more = ~ends & (first < last)
+        some, wanted, lengths, at = some[more], wanted[more], lengths[more], first[more]
+    return np.argsort(rank, kind="stable"), low, high
 
 
 class PieceEncoder(PieceCache):
@@ -190,7 +208,7 @@ class PieceEncoder(PieceCache):
         if not m.cuts_spaces:
             raise ValueError("pieces with a space inside are not supported")
         # The sign for a space may stand in a text and belong to a run of spaces.
-        super().__init__(len(m.bytes_of), {SPACE.encode()})
+        super().__init__(len(m.bytes_of), {SPACE.encode()}, m.apart())
         self._code = {c: i + 1 for i, c in enumerate(m.letters)}  # 0 ends a unit
         self._code_of_point = np.zeros(ord(m.letters[-1]) + 1 if m.letters else 1, np.int64)
         for c, i in self._code.items():

@@ -53,6 +53,36 @@ def test_suffix_array_ranges():
         assert sorted(suffixes[a:b].tolist()) == [i for i in range(400) if tuple(codes[i : i + len(w)]) == w]
 
 
+def test_suffix_array_ranges_of_many_letters():
+    """A piece is longer than the letters that fit into one number."""
+    rng = random.Random(3)
+    words = [[rng.randint(1, 4000) for _ in range(rng.randint(1, 16))] for _ in range(40)]
+    codes = []
+    for _ in range(300):
+        word = rng.choice(words)
+        codes += [*word[: rng.randint(1, len(word))], rng.choice([0, 0, 4001])]
+    wanted = {tuple(w[a:b]) for w in words for a, b in [(0, len(w)), (0, len(w) - 1), (1, len(w)), (len(w) // 2, len(w))] if a < b}
+    wanted = sorted(wanted | {(5000,), (*words[0], 5000), (4001,)})
+    table = np.zeros((len(wanted), 17), np.int64)
+    for row, w in zip(table, wanted):
+        row[: len(w)] = w
+    suffixes, low, high = pieces._ranges(np.array(codes), table, np.array([len(w) for w in wanted]))
+    assert sorted(suffixes.tolist()) == list(range(len(codes)))
+    for w, a, b in zip(wanted, low, high):
+        assert sorted(suffixes[a:b].tolist()) == [i for i in range(len(codes)) if tuple(codes[i : i + len(w)]) == w]
+
+
+def test_a_word_is_one_piece_whatever_sign_stands_behind_it(library):
+    signs = ["", ".", ",", "!", "###", "'s", "-x", ")."]
+    texts = [f"{w}{s} {w}{s}\n{w.title()}{s}" for w in ("straße", "ting", "été", "a1b", "▁q") for s in signs]
+    enc = pieces.PieceEncoder(PATH)
+    ids = [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(pa.array(texts))]
+    assert ids == library.encode(texts)
+    enc = pieces.PieceEncoder(PATH)
+    enc.encode(pa.array([" ".join(f"{w}{s}" for w in ("ting", "heit") for s in ("", ".", ",", "!"))]))
+    assert len(enc._keys) == 5  # two words and three signs
+
+
 def test_whole_table(spark, sf_dir, library):
     docs = table(spark, sf_dir, "documents").collect()
     ids = library.encode([r.text for r in docs])
