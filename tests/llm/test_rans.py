@@ -3,11 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from layerloom.llm import rans
+from layerloom.llm import rans, tokens
 from layerloom.llm.queries import op10_rans
 from layerloom.llm.registry import table
 
@@ -70,6 +71,50 @@ def test_damage_is_noticed():
         rans.encode_block([1], np.array([501], np.uint32), table)
 
 
+class _Watched:
+    """A tokenizer that keeps the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, []
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_unknown_words_are_tokenized_many_at_a_time():
+    words = [f"{a}{b}{c}" for a in ("ting", "été", "STRASSE", "ñandú") for b in ("heit", "ø", "one") for c in "abcdefghijklmn"]
+    text = " ".join(words) + " sign, 1st"
+    enc = tokens.Encoder(PATH)
+    enc._tokenizer = _Watched(enc._tokenizer)
+    assert [[*np.frombuffer(x, enc.dtype), 1] for x in enc.encode(pa.array([text]))] == [x.tolist() for x in _ids([text])]
+    [parted] = [t for t in enc._tokenizer.texts if "<|" in t]
+    assert sorted(parted.split("<|startoftext|>")) == [" 1st", ","]  # the others are words
+    assert len(enc._tokenizer.texts) == 1 + -(-(len(words) + 1) // tokens._TOGETHER)
+
+
+def test_ids_of_odd_words_equal_the_library():
+    rng = random.Random(4)
+    odd = ["İstanbul", "ŉ", "ǅ", "ß", "e\u0301", "x\u0301y", "straße", "ÉTÉ", "a1b", "don't", "we'll", "'s", "été.", "日本", "привет",
+           "ﬁ", "K", "×", "a×b", "\u0307", "\u200b", "\xa0", "<|endoftext|>", "_a_", "²", "ª", "ab²", "x" * 80, "\x00", "\x1c"]
+    spaces = [" ", "\t", "\n", "\r\n", "\v", "\f", "  ", "\x85", "\u2028", ""]
+    texts = ["".join(rng.choice(odd) + rng.choice(spaces) for _ in range(rng.randint(0, 12))) for _ in range(1500)]
+    for part in (texts, [t for t in texts if t.isascii()], odd, ["İ", "İa"], ["a", "a\u0301"]):
+        enc = tokens.Encoder(PATH)
+        for _ in range(2):
+            found = [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(pa.array(part))]
+            assert found == [x[:-1].tolist() for x in _ids(part)]
+
+
+def test_distinct_hashes():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 1000, 70_000):
+        close = rng.integers(0, 50, n).astype(np.uint64) + np.uint64(1 << 60)  # differ in the lowest bits only
+        for hashes in (rng.integers(0, 1 << 64, n, np.uint64), rng.integers(0, 1 << 64, 60, np.uint64)[rng.integers(0, 60, n)], close):
+            expected = np.unique(hashes, return_index=True, return_inverse=True)
+            assert all(np.array_equal(a, b) for a, b in zip(tokens._distinct(hashes), expected))
+
+
 def test_whole_table(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").orderBy("doc_id").collect()
     expected, at = set(), 0
